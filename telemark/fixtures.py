@@ -280,13 +280,14 @@ class Tables:
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Result frame for comparison: instants without zone, doubles to 6 places."""
+    """Result frame for comparison: instants without zone, doubles to 6 places
+    (a hair upwards, so that exact ties do not hang on the last bit of a sum)."""
     out = []
     for f in df.schema.fields:
         col, kind = F.col(f"`{f.name}`"), f.dataType.simpleString()
         if kind == "timestamp":
             col = col.cast("timestamp_ntz")
         elif kind in ("double", "float"):
-            col = F.round(col.cast("double"), 6)
+            col = F.round(col.cast("double") + 1e-9, 6)
         out.append(col.alias(f.name))
     return df.select(*out)

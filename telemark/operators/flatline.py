@@ -106,7 +106,8 @@ def flat_windows_sliding(
     )
     mean = F.col("_s1") / F.col("points")
     between = F.greatest(F.col("_s2") - F.col("_s1") * mean, F.lit(0.0))
-    spread = (F.col("_m2") + between) / (F.col("points") - 1)
+    spread = F.coalesce(
+        F.try_divide(F.col("_m2") + between, F.col("points") - 1), F.lit(0.0))
     return (
         merged.withColumns({
             "variance": F.when(F.col("low") == F.col("high"), 0.0).otherwise(spread),

@@ -166,8 +166,8 @@ def psi_scores(counts: DataFrame, hist: DataFrame, keys) -> DataFrame:
     return scored.withColumn("is_significant", F.col("psi") > PSI_LIMIT)
 
 
-def psi(split: DataFrame, keys, bins: int = PSI_BINS, open_ended: bool = False) -> DataFrame:
-    counts = value_counts(split, keys)
+def psi(counts: DataFrame, keys, bins: int = PSI_BINS, open_ended: bool = False) -> DataFrame:
+    """PSI per group from `value_counts`, best stored first as it is read three times."""
     cuts = psi_cuts(counts, keys, bins)
     return psi_scores(counts, psi_hist(counts, cuts, keys, open_ended), keys)
 
@@ -178,17 +178,27 @@ def psi_updates(scores: DataFrame, keys) -> DataFrame:
 
 
 def drift_params(
-    split: DataFrame, history: DataFrame, as_of: Column, keys: tuple[str, ...] = SEASON_KEYS,
+    counts: DataFrame, history: DataFrame, as_of: Column, keys: tuple[str, ...] = SEASON_KEYS,
     min_points: int = PSI_MIN_POINTS, bins: int = PSI_BINS,
 ) -> DataFrame:
-    """New parameters for drifted groups with enough points in both periods."""
+    """New parameters for drifted groups with enough points in both periods.
+
+    Mean and deviation of the current period also come from the value counts:
+    first the weighted mean, then the squared distances from it.
+    """
     keys = list(keys)
-    drifted = psi(split, keys, bins).filter(
+    drifted = psi(counts, keys, bins).filter(
         F.col("is_significant")
         & (F.col("base_points") >= min_points) & (F.col("cur_points") >= min_points))
-    moments = split.filter("is_current").groupBy(*keys).agg(
-        F.avg("metric").alias("baseline_mean"),
-        F.coalesce(F.stddev_samp("metric"), F.lit(0.0)).alias("baseline_std"))
+    totals = counts.filter("n_cur > 0").groupBy(*keys).agg(
+        (F.sum(F.col("value") * F.col("n_cur")) / F.sum("n_cur")).alias("baseline_mean"))
+    distance = F.col("value") - F.col("baseline_mean")
+    moments = attach(counts.filter("n_cur > 0"), totals, keys, "inner").groupBy(*keys).agg(
+        F.max("baseline_mean").alias("baseline_mean"),
+        F.coalesce(
+            F.sqrt(F.try_divide(F.sum(distance * distance * F.col("n_cur")), F.sum("n_cur") - 1)),
+            F.lit(0.0),
+        ).alias("baseline_std"))
     previous = latest_params(history, tuple(keys)).select(*keys, "iqr_k", "isolation_score_threshold")
     rules = C.rules_json(source="psi_drift_detector", psi=F.round("psi", 6))
     return (

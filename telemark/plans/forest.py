@@ -129,7 +129,8 @@ class Forest:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Forest:
-        nodes = spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").toPandas()
+        nodes = spark.read.parquet(f"{path}/nodes").toPandas()
+        nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
         meta = {r["name"]: (r["a"], r["b"]) for r in spark.read.parquet(f"{path}/meta").collect()}
         size, threshold = meta.pop("_sample_size")[0], meta.pop("_threshold")[0]
         return cls(nodes, {n: meta[n] for n in FEATURES}, size, threshold)
@@ -142,11 +143,14 @@ def train(
     scaler = fit_scaler(features)
     scaled = scale(features, scaler)
     total = features.count()
-    samples = tree_samples(scaled, total, trees, size, seed)
-    nodes = (
-        samples.groupBy("tree").applyInPandas(_grow_group(seed), NODE_DDL)
-        .orderBy("tree", "node").toPandas()
-    )
+    if total == 0:
+        raise ValueError("no rows to train on")
+    # A fixed width: the samples are small, and adaptive execution would
+    # otherwise put all trees into one task.
+    width = min(trees, features.sparkSession.sparkContext.defaultParallelism)
+    samples = tree_samples(scaled, total, trees, size, seed).repartition(width, "tree")
+    nodes = samples.groupBy("tree").applyInPandas(_grow_group(seed), NODE_DDL).toPandas()
+    nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
     forest = Forest(nodes, scaler, float(min(size, total)))
     scores = score(features, forest)
     cut = scores.agg(F.percentile_approx("score", contamination, 10000).alias("cut")).first()["cut"]

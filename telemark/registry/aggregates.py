@@ -227,11 +227,9 @@ def _(t):
            min(device_id) AS first_device FROM scored GROUP BY 1, 2""")
 def _(t):
     path = scratch(t.spark, "sorted")
-    SK.append(P.to_silver_stats(t.scored), path, "silver_interface_stats")
+    SK.append(P.to_silver_stats(t.scored), path, "silver_interface_stats", ["_partition_date"])
     return t.spark.read.parquet(path).groupBy(
-        F.col("site_id").cast("string").alias("site_id"),
-        F.col("_partition_date").alias("partition_date"),
-    ).agg(F.count("*").alias("n"), F.min("device_id").alias("first_device"))
+        "site_id", F.col("_partition_date").alias("partition_date")).agg(F.count("*").alias("n"), F.min("device_id").alias("first_device"))
 
 
 @query("sort_reason_counts", """

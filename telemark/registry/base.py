@@ -21,7 +21,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         _BUILD[name] = fn
         if sql is not None:
-            _SQL[name] = with_ctes(sql)
+            _SQL[name] = settle_ties(with_ctes(sql))
         return fn
 
     return add
@@ -44,6 +44,24 @@ def with_ctes(sql: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + sql
 
 
+def settle_ties(sql: str) -> str:
+    """`round(x, 6)` as `round(x + 1e-9, 6)`, as `present` does: means of short
+    decimals often end exactly between two roundings, where the last bit of a
+    sum would decide."""
+    out, rest = "", sql
+    while "round(" in rest:
+        head, rest = rest.split("round(", 1)
+        depth, end = 1, 0
+        while depth:
+            depth += {"(": 1, ")": -1}.get(rest[end], 0)
+            end += 1
+        inner, rest = rest[: end - 1], rest[end:]
+        if inner.endswith(", 6"):
+            inner = f"({settle_ties(inner[:-3])}) + 1e-9, 6"
+        out += f"{head}round({inner})"
+    return out + rest
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: present(fn(Tables(spark, sf_dir)))

@@ -53,37 +53,38 @@ PSI_SQL = """
 """
 
 
-def split(t):
-    return B.split_periods(B.confirmed_normal(t.scored, X.as_of()), X.as_of())
+def counts(t):
+    split = B.split_periods(B.confirmed_normal(t.scored, X.as_of()), X.as_of())
+    return t.stored(B.value_counts(split, DRIFT_KEYS), "value-counts")
 
 
 @query("psi_bins", PSI_SQL + """
     SELECT interface_name, day_of_week, i - 1 AS edge, round(cuts[i], 6) AS cut
     FROM cuts, range(1, 12) r(i) WHERE i <= len(cuts)""")
 def _(t):
-    cuts = B.psi_cuts(B.value_counts(split(t), DRIFT_KEYS), DRIFT_KEYS)
+    cuts = B.psi_cuts(counts(t), DRIFT_KEYS)
     return cuts.select(*DRIFT_KEYS, F.posexplode("cuts").alias("edge", "cut")).withColumn(
         "edge", F.col("edge").cast("bigint"))
 
 
 @query("psi_hist", PSI_SQL + "SELECT * FROM hist")
 def _(t):
-    counts = B.value_counts(split(t), DRIFT_KEYS)
-    return B.psi_hist(counts, B.psi_cuts(counts, DRIFT_KEYS), DRIFT_KEYS)
+    values = counts(t)
+    return B.psi_hist(values, B.psi_cuts(values, DRIFT_KEYS), DRIFT_KEYS)
 
 
 @query("psi_score", PSI_SQL + """
     SELECT interface_name, day_of_week, base_points, cur_points, round(psi, 6) AS psi,
            psi > 0.25 AS is_significant FROM psi""")
 def _(t):
-    return B.psi(split(t), DRIFT_KEYS)
+    return B.psi(counts(t), DRIFT_KEYS)
 
 
 @query("psi_updates", PSI_SQL + """
     SELECT interface_name, day_of_week, CAST(1.5 AS DOUBLE) AS iqr_k, round(psi, 6) AS psi
     FROM psi WHERE psi > 0.25""")
 def _(t):
-    return B.psi_updates(B.psi(split(t), DRIFT_KEYS), DRIFT_KEYS)
+    return B.psi_updates(B.psi(counts(t), DRIFT_KEYS), DRIFT_KEYS)
 
 
 @query("job_psi", PSI_SQL + """
@@ -95,14 +96,16 @@ def _(t):
 def _(t):
     quiet = B.baselines(B.confirmed_normal(t.scored, X.as_of()), DRIFT_KEYS)
     history = quiet.withColumn("valid_from", X.as_of())
-    return B.drift_params(split(t), history, X.as_of(), DRIFT_KEYS).drop(
+    return B.drift_params(counts(t), history, X.as_of(), DRIFT_KEYS).drop(
         "distilled_rules", "valid_until")
 
 
 def features(t):
-    return A.hourly_features(B.confirmed_normal(
+    """Hourly features as a stored table: training and scoring pass over it several times."""
+    return t.stored(A.hourly_features(B.confirmed_normal(
         t.scored, X.as_of(),
-        present=("device_id", "interface_name", "effective_util_in", "effective_util_out")))
+        present=("device_id", "interface_name", "effective_util_in", "effective_util_out"))),
+        "features")
 
 
 @query("if_scale", """

@@ -55,7 +55,9 @@ def silver_job(t, inventory=None) -> SV.SilverJob:
     return SV.SilverJob(
         root=scratch(t.spark, "silver-job"), inventory=lambda: known,
         params=SV.Refreshing(lambda: t.spark.read.parquet(params)), keys=X.DENSE_KEYS,
-        flat_points=3, flat_eps=0.01, ingest_time=F.col("kafka_ts"))
+        flat_points=3, flat_eps=0.01, ingest_time=F.col("kafka_ts"),
+        # The test tables hold a few rows per site and day.
+        partitions={"silver_interface_stats": ("_partition_date",)})
 
 
 def run_interface(t, job=None, max_files=None):
@@ -145,7 +147,7 @@ def _(t):
 def _(t):
     return run_interface(t)["silver"].select(
         X.seq(),
-        F.col("site_id").cast("string").alias("site_id"), "ingest_z_score", "ingest_iqr_score")
+        "site_id", "ingest_z_score", "ingest_iqr_score")
 
 
 @query("st_interface_routes", "SELECT route, count(*) AS n FROM routed GROUP BY 1")
@@ -161,7 +163,7 @@ def _(t):
     source = SS.file_raw(t.spark, land(t, X.syslog_payloads(t.events)))
     job.start(source, "syslogs", once=True).awaitTermination()
     return t.spark.read.parquet(job.path("silver_syslogs")).select(
-        "device_id", F.col("site_id").cast("string").alias("site_id"), "device_ts", "severity",
+        "device_id", "site_id", "device_ts", "severity",
         "is_critical", "message")
 
 
@@ -176,7 +178,7 @@ def _(t):
     job.start(source, "inventory", once=True).awaitTermination()
     return t.spark.read.parquet(job.path("silver_replayed")).select(
         X.seq(),
-        F.col("site_id").cast("string").alias("site_id"), "role")
+        "site_id", "role")
 
 
 @query("st_baseline_ttl", """

@@ -50,10 +50,10 @@ def gather(df: DataFrame, partitions: Iterable[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(p) for p in partitions]) if partitions else df
 
 
-def sort_files(df: DataFrame, table: str) -> DataFrame:
+def sort_files(df: DataFrame, table: str, partitions: Iterable[str]) -> DataFrame:
     """Sort inside each task's partition values, as the files will be read."""
     order = SORT_ORDER.get(table)
-    return df.sortWithinPartitions(*PARTITIONS.get(table, ()), *order) if order else df
+    return df.sortWithinPartitions(*partitions, *order) if order else df
 
 
 def write(
@@ -66,11 +66,17 @@ def write(
     writer.parquet(path)
 
 
-def append(df: DataFrame, path: str, table: str) -> None:
-    """Append to a canonical table in its layout, partitioning and file order."""
-    parts = PARTITIONS.get(table, ())
+def append(
+    df: DataFrame, path: str, table: str, partitions: Iterable[str] | None = None,
+) -> None:
+    """Append to a canonical table in its layout, partitioning and file order.
+
+    `partitions` replaces the table's own partition columns, for installations
+    too small to fill (site, day) directories.
+    """
+    parts = list(PARTITIONS.get(table, ()) if partitions is None else partitions)
     aligned = gather(align(df, struct(table)), parts)
-    write(sort_files(aligned, table), path, "append", parts)
+    write(sort_files(aligned, table, parts), path, "append", parts)
 
 
 def overwrite_touched(df: DataFrame, path: str, partitions: Iterable[str]) -> None:

@@ -58,12 +58,13 @@ class SilverJob:
     flat_points: int = 30
     flat_eps: float = 0.01
     ingest_time: Column | None = None
+    partitions: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(PARTITIONS))
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def _write(self, df: DataFrame, batch_id: int, table: str) -> None:
-        write_micro_batch(df, batch_id, self.path(table), PARTITIONS.get(table, ()))
+        write_micro_batch(df, batch_id, self.path(table), self.partitions.get(table, ()))
 
     def _at(self) -> Column:
         return F.current_timestamp() if self.ingest_time is None else self.ingest_time
@@ -137,7 +138,7 @@ class SilverJob:
     def _read(self, table: str, schema: str, spark: SparkSession) -> DataFrame:
         """A table of batch directories, empty as long as nothing was written."""
         none = spark.createDataFrame([], schema)
-        write_micro_batch(none, -1, self.path(table), PARTITIONS.get(table, ()))
+        write_micro_batch(none, -1, self.path(table), self.partitions.get(table, ()))
         return spark.read.schema(f"{schema}, batch_id int").parquet(self.path(table))
 
     def start(self, messages: DataFrame, stage: str, once: bool = False) -> StreamingQuery:
