@@ -48,7 +48,7 @@ def event_base(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id", ts.alias("event_ts"), F.col("user_id").cast("string").alias("user_key"),
         "event_type", "value",
-        F.get_json_object("props", "$.k").try_cast("int").alias("k"),
+        C.once(F.get_json_object("props", "$.k").try_cast("int")).alias("k"),
     )
 
 

@@ -26,6 +26,16 @@ def as_time(col: Column) -> Column:
     return F.try_to_timestamp(col)
 
 
+def once(col: Column) -> Column:
+    """A generator of exactly this one value.
+
+    Filters on a generated column stay above it, whereas filters on a projected
+    column are pushed down with a copy of its expression each. For an expensive
+    expression (a JSON parse) that would mean one more evaluation per filter.
+    """
+    return F.explode(F.array(col))
+
+
 def as_number(col: Column) -> Column:
     return col.try_cast("double")
 

@@ -30,7 +30,7 @@ def json_field(raw: str, name: str) -> Column:
 def unpack(df: DataFrame, fields: tuple[str, ...], raw: str) -> DataFrame:
     """Known fields as text plus the rest as `_extra_cols`, from one JSON parse."""
     return (
-        df.withColumn("_all", payload_map(raw))
+        df.withColumn("_all", C.once(payload_map(raw)))
         .withColumns({f: F.col("_all")[f] for f in fields})
         .withColumn("_extra_cols", extra_cols(F.col("_all"), fields))
         .drop("_all")
