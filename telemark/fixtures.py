@@ -162,7 +162,7 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def stored(self, df: DataFrame, label: str) -> DataFrame:
+    def stored(self, df: DataFrame, label: str = "stored") -> DataFrame:
         """A dimension as the table it is in operation: written once, read by all
         its users, and of a size that is known from its files."""
         path = scratch(self.spark, label)

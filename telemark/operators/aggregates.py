@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemark.functions import columns as C
-from telemark.operators.joins import attach
+from telemark.operators.joins import Store, attach
 
 
 def rate(condition: Column) -> Column:
@@ -82,7 +82,7 @@ def group_count(df: DataFrame, *keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.lit(1).alias("_one")).agg(F.count("*").alias("groups"))
 
 
-def total_per_hour(stats: DataFrame) -> DataFrame:
+def total_per_hour(stats: DataFrame, store: Store | None = None) -> DataFrame:
     """Each row with the number of rows of its site and hour.
 
     The count is an aggregate joined back rather than a window function, so
@@ -90,7 +90,7 @@ def total_per_hour(stats: DataFrame) -> DataFrame:
     """
     keyed = stats.withColumn("window_start", F.date_trunc("hour", "device_ts"))
     totals = keyed.groupBy("site_id", "window_start").agg(F.count("*").alias("total_ifaces"))
-    return attach(keyed, totals, ["site_id", "window_start"], "inner")
+    return attach(keyed, totals, ["site_id", "window_start"], "inner", store=store)
 
 
 def hourly_features(stats: DataFrame) -> DataFrame:

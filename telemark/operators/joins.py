@@ -1,15 +1,20 @@
 """Joins of large facts with smaller tables, safe against hot keys."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-# A side is broadcast only when Catalyst's size estimate is below this bound.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# A side is broadcast only when Catalyst's size estimate is below this bound
+# (for stored tables the estimate is the size of their compressed files).
+BROADCAST_BYTES = 32 * 1024 * 1024
 # Above the bound the fact side is spread over this many salts per key.
 SALTS = 16
 
+Store = Callable[[DataFrame], DataFrame]
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (upper bound for scans and projections)."""
@@ -22,7 +27,7 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 def attach(
     fact: DataFrame, small: DataFrame, on: str | list[str], how: str = "left",
-    limit: int = BROADCAST_BYTES, salts: int = SALTS,
+    limit: int = BROADCAST_BYTES, salts: int = SALTS, store: Store | None = None,
 ) -> DataFrame:
     """Join `small` (unique or few rows per key) to `fact`.
 
@@ -30,14 +35,23 @@ def attach(
     Otherwise a shuffle join on (key, salt): the salt is a hash of the fact
     row, so one hot key, NULL included, is spread over `salts` tasks, and the
     same row gets the same salt when a lost task is run again.
+
+    An aggregate is estimated as large as its input. `store` writes such a side
+    as a table first, so that its true size decides. For two large sides pass
+    `salts=1`: copying one of them per salt would cost more than it saves, and
+    adaptive execution splits a hot partition of the fact on its own.
     """
     on = [on] if isinstance(on, str) else list(on)
+    if store and not fits_broadcast(small, limit):
+        small = store(small)
     if fits_broadcast(small, limit):
         return fact.join(F.broadcast(small), on, how)
-    hashed = [f.name for f in fact.schema.fields if not isinstance(f.dataType, MapType)]
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
     if how in ("left_semi", "left_anti"):
         small = small.select(*on).distinct()
+    if salts <= 1:
+        return fact.join(small, on, how)
+    hashed = [f.name for f in fact.schema.fields if not isinstance(f.dataType, MapType)]
+    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
     spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(spread, [*on, "_salt"], how).drop("_salt")
 

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemark.functions import columns as C
-from telemark.operators.joins import attach, attach_baseline
+from telemark.operators.joins import Store, attach, attach_baseline
 from telemark.operators.parse import season_keys
 from telemark.schema import SEASON_KEYS
 
@@ -43,7 +43,9 @@ def score_ingest(
     return add_scores(attach_baseline(keyed, params, keys)).drop("hour_of_day", "day_of_week")
 
 
-def merge_flatline(scored: DataFrame, flat_keys: DataFrame) -> DataFrame:
+def merge_flatline(
+    scored: DataFrame, flat_keys: DataFrame, store: Store | None = None,
+) -> DataFrame:
     """Add FLATLINE to the flags of every row of a flat (device, interface)."""
     keys = ["device_id", "interface_name"]
     marks = flat_keys.select(*keys).distinct().withColumn("_flat", F.lit(True))
@@ -51,7 +53,7 @@ def merge_flatline(scored: DataFrame, flat_keys: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     flags = F.coalesce(F.col("ingest_flags"), none)
     return (
-        attach(scored, marks, keys)
+        attach(scored, marks, keys, store=store)
         .withColumns({
             "ingest_flags": F.when(flat, F.array_union(flags, F.array(F.lit("FLATLINE"))))
             .otherwise(F.col("ingest_flags")),

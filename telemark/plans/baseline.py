@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemark.functions import columns as C
-from telemark.operators.joins import attach
+from telemark.operators.joins import Store, attach
 from telemark.operators.parse import season_keys
 from telemark.operators.versions import latest_by_key
 from telemark.schema import SEASON_KEYS
@@ -166,9 +166,14 @@ def psi_scores(counts: DataFrame, hist: DataFrame, keys) -> DataFrame:
     return scored.withColumn("is_significant", F.col("psi") > PSI_LIMIT)
 
 
-def psi(counts: DataFrame, keys, bins: int = PSI_BINS, open_ended: bool = False) -> DataFrame:
-    """PSI per group from `value_counts`, best stored first as it is read three times."""
+def psi(
+    counts: DataFrame, keys, bins: int = PSI_BINS, open_ended: bool = False,
+    store: Store | None = None,
+) -> DataFrame:
+    """PSI per group from `value_counts`, best stored first as it is read three times.
+    `store` also keeps the cut points, so that their true size picks the join."""
     cuts = psi_cuts(counts, keys, bins)
+    cuts = store(cuts) if store else cuts
     return psi_scores(counts, psi_hist(counts, cuts, keys, open_ended), keys)
 
 
@@ -179,7 +184,7 @@ def psi_updates(scores: DataFrame, keys) -> DataFrame:
 
 def drift_params(
     counts: DataFrame, history: DataFrame, as_of: Column, keys: tuple[str, ...] = SEASON_KEYS,
-    min_points: int = PSI_MIN_POINTS, bins: int = PSI_BINS,
+    min_points: int = PSI_MIN_POINTS, bins: int = PSI_BINS, store: Store | None = None,
 ) -> DataFrame:
     """New parameters for drifted groups with enough points in both periods.
 
@@ -187,11 +192,12 @@ def drift_params(
     first the weighted mean, then the squared distances from it.
     """
     keys = list(keys)
-    drifted = psi(counts, keys, bins).filter(
+    drifted = psi(counts, keys, bins, store=store).filter(
         F.col("is_significant")
         & (F.col("base_points") >= min_points) & (F.col("cur_points") >= min_points))
     totals = counts.filter("n_cur > 0").groupBy(*keys).agg(
         (F.sum(F.col("value") * F.col("n_cur")) / F.sum("n_cur")).alias("baseline_mean"))
+    totals = store(totals) if store else totals
     distance = F.col("value") - F.col("baseline_mean")
     moments = attach(counts.filter("n_cur > 0"), totals, keys, "inner").groupBy(*keys).agg(
         F.max("baseline_mean").alias("baseline_mean"),

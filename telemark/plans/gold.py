@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from telemark.functions import columns as C
 from telemark.operators import aggregates as A
 from telemark.operators.flatline import to_anomaly_records
-from telemark.operators.joins import attach
+from telemark.operators.joins import Store, attach
 from telemark.operators.versions import latest_by_key
 from telemark.schema import ANOMALY_KEYS, HEALTH_KEYS
 
@@ -55,9 +55,10 @@ def touched_hours(promoted: DataFrame) -> DataFrame:
 
 def site_health_touched(
     stats: DataFrame, syslogs: DataFrame, promoted: DataFrame, refreshed_at: Column | None = None,
+    store: Store | None = None,
 ) -> DataFrame:
     """Health of only those hours that received late rows."""
-    hours = touched_hours(promoted)
+    hours = store(touched_hours(promoted)) if store else touched_hours(promoted)
 
     def part(df: DataFrame) -> DataFrame:
         keyed = df.withColumn("_hour", F.date_trunc("hour", "device_ts"))

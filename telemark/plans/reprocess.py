@@ -114,7 +114,7 @@ def dlq_state(dlq: DataFrame, log: DataFrame) -> DataFrame:
     closed = log.groupBy("raw_payload").agg(
         F.max(F.struct("reprocessed_at", "quarantine_resolution")).alias("_l"))
     return attach(dlq.drop("reprocessed", "reprocessed_at", "quarantine_resolution"),
-                  closed, "raw_payload").select(
+                  closed, "raw_payload", salts=1).select(
         "raw_payload", "quarantine_reason", "source_topic", "quarantined_at",
         F.col("_l").isNotNull().alias("reprocessed"),
         F.col("_l.reprocessed_at").alias("reprocessed_at"),

@@ -210,7 +210,7 @@ def _(t):
            count(*) OVER (PARTITION BY site_id, date_trunc('hour', device_ts)) AS total_ifaces
     FROM enriched""")
 def _(t):
-    return A.total_per_hour(t.enriched).select("event_id", "site_id", "window_start", "total_ifaces")
+    return A.total_per_hour(t.enriched, t.stored).select("event_id", "site_id", "window_start", "total_ifaces")
 
 
 @query("top_recent_anomalies", """

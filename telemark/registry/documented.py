@@ -144,5 +144,5 @@ def _(t):
         t.pending, t.late_inventory, t.params, X.DENSE_KEYS, at=X.as_of()).silver
     cols = ("site_id", "device_ts", "effective_util_in", "effective_util_out", "oper_status")
     every = t.enriched.select(*cols).unionByName(promoted.select(*cols))
-    health = G.site_health_touched(every, t.silver_syslogs, promoted, X.as_of())
+    health = G.site_health_touched(every, t.silver_syslogs, promoted, X.as_of(), t.stored)
     return health.select("site_id", "window_start", "total_interface_count", "avg_util_in")

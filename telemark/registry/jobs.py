@@ -63,7 +63,7 @@ def _(t):
     FROM scored s LEFT JOIN flat f ON s.device_id = f.device_id AND s.interface_name = f.interface_name""")
 def _(t):
     flat = FL.flat_series(t.scored, min_points=3, eps=400.0)
-    return S.merge_flatline(t.scored, flat).select(
+    return S.merge_flatline(t.scored, flat, t.stored).select(
         "event_id", "ingest_anomaly", F.array_join("ingest_flags", ",").alias("ingest_flags"))
 
 

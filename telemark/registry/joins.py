@@ -67,7 +67,8 @@ def _(t):
 def _(t):
     flat = FL.flat_series(t.enriched, min_points=3, eps=400.0)
     marks = flat.select("device_id", "interface_name", F.lit(True).alias("_flat"))
-    return J.attach(t.enriched, marks, ["device_id", "interface_name"]).select(
+    keys = ["device_id", "interface_name"]
+    return J.attach(t.enriched, marks, keys, store=t.stored).select(
         "event_id", F.coalesce("_flat", F.lit(False)).alias("is_flat"))
 
 
@@ -112,7 +113,7 @@ def _(t):
         "site_id", F.col("w.start").alias("_hour"),
         F.col("critical_syslog_count").alias("critical_count"))
     keyed = t.enriched.withColumn("_hour", F.date_trunc("hour", "device_ts"))
-    return J.attach(keyed, logs, ["site_id", "_hour"]).fillna(0, ["critical_count"]).select(
+    return J.attach(keyed, logs, ["site_id", "_hour"], store=t.stored).fillna(0, ["critical_count"]).select(
         "event_id", "site_id", "critical_count")
 
 

@@ -70,21 +70,21 @@ def _(t):
 @query("psi_hist", PSI_SQL + "SELECT * FROM hist")
 def _(t):
     values = counts(t)
-    return B.psi_hist(values, B.psi_cuts(values, DRIFT_KEYS), DRIFT_KEYS)
+    return B.psi_hist(values, t.stored(B.psi_cuts(values, DRIFT_KEYS)), DRIFT_KEYS)
 
 
 @query("psi_score", PSI_SQL + """
     SELECT interface_name, day_of_week, base_points, cur_points, round(psi, 6) AS psi,
            psi > 0.25 AS is_significant FROM psi""")
 def _(t):
-    return B.psi(counts(t), DRIFT_KEYS)
+    return B.psi(counts(t), DRIFT_KEYS, store=t.stored)
 
 
 @query("psi_updates", PSI_SQL + """
     SELECT interface_name, day_of_week, CAST(1.5 AS DOUBLE) AS iqr_k, round(psi, 6) AS psi
     FROM psi WHERE psi > 0.25""")
 def _(t):
-    return B.psi_updates(B.psi(counts(t), DRIFT_KEYS), DRIFT_KEYS)
+    return B.psi_updates(B.psi(counts(t), DRIFT_KEYS, store=t.stored), DRIFT_KEYS)
 
 
 @query("job_psi", PSI_SQL + """
@@ -96,7 +96,8 @@ def _(t):
 def _(t):
     quiet = B.baselines(B.confirmed_normal(t.scored, X.as_of()), DRIFT_KEYS)
     history = quiet.withColumn("valid_from", X.as_of())
-    return B.drift_params(counts(t), history, X.as_of(), DRIFT_KEYS).drop(
+    return B.drift_params(
+        counts(t), history, X.as_of(), DRIFT_KEYS, store=t.stored).drop(
         "distilled_rules", "valid_until")
 
 

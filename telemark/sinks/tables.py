@@ -131,7 +131,7 @@ def upsert(df: DataFrame, path: str, table: str) -> None:
 def delete_matched(table: DataFrame, matched: DataFrame, keys: Iterable[str]) -> DataFrame:
     """The table without rows that have a match (NULL keys never match)."""
     keys = list(keys)
-    return attach(table, matched.select(*keys), keys, "left_anti")
+    return attach(table, matched.select(*keys), keys, "left_anti", salts=1)
 
 
 def open_rows(table: DataFrame, log: DataFrame, keys: Iterable[str]) -> DataFrame:
