@@ -32,7 +32,7 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     chosen = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or list(HEADLINE)
     spark = build_session(
         "telemark-bench", f"local[{cpus}]",

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemark.functions import rules as R
@@ -16,7 +16,10 @@ from telemark.operators.score import score_ingest
 from telemark.schema import SEASON_KEYS
 from telemark.sinks.tables import delete_matched
 
-PROMOTED, PERMANENT = "PROMOTED_TO_SILVER", "PERMANENT"
+PROMOTED, PERMANENT, RETRY = "PROMOTED_TO_SILVER", "PERMANENT", "RETRY"
+PENDING_LOG = "raw_payload string, device_id string, resolution string"
+DLQ_LOG = (
+    "raw_payload string, source_topic string, quarantine_resolution string, reprocessed_at timestamp")
 
 # Fixed decision per quarantine reason. Reasons not listed are permanent.
 ACTIONS = {
@@ -183,5 +186,11 @@ def silver_batch(
     return P.to_silver_stats(score_ingest(only(routed, ENRICHED), params, keys))
 
 
-def read_open(spark: SparkSession, pending_path: str, log_path: str) -> DataFrame:
-    return still_open(spark.read.parquet(pending_path), spark.read.parquet(log_path))
+def with_retries(pending: DataFrame, log: DataFrame) -> DataFrame:
+    """Parked rows no log row closes, with the retries the log counts for them."""
+    closing = log.filter(F.col("resolution") != RETRY)
+    tries = log.filter(F.col("resolution") == RETRY).groupBy("raw_payload").agg(
+        F.count("*").cast("int").alias("_tries"))
+    left = attach(still_open(pending, closing), tries, "raw_payload", salts=1)
+    more = F.col("retry_count") + F.coalesce("_tries", F.lit(0))
+    return left.withColumn("retry_count", more).drop("_tries")

@@ -109,6 +109,19 @@ def write_micro_batch(df: DataFrame, batch_id: int, path: str, partitions: Itera
      .partitionBy(*partitions).parquet(f"{path}/batch_id={batch_id}"))
 
 
+def read_batches(
+    spark: SparkSession, path: str, schema: str, partitions: Iterable[str] = (),
+) -> DataFrame:
+    """A table of batch directories; empty as long as nothing was written to it.
+
+    The empty batch that makes an unwritten table readable is written once and
+    then left alone, as other plans may be reading it.
+    """
+    (spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partitions)
+     .parquet(f"{path}/batch_id=-1"))
+    return spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
+
+
 def micro_batch_sink(
     path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df,
     partitions: Iterable[str] = (),

@@ -18,11 +18,10 @@ from telemark.operators.score import merge_flatline, score_ingest
 from telemark.operators.versions import latest_inventory
 from telemark.plans import reprocess as RP
 from telemark.schema import PARTITIONS, SEASON_KEYS, ddl
-from telemark.sinks.tables import write_micro_batch
+from telemark.sinks.tables import read_batches, write_micro_batch
 from telemark.streaming.bronze import to_bronze
 
 BASELINE_TTL = 1800.0
-LOG_DDL = "raw_payload string, device_id string, resolution string"
 
 
 @dataclass
@@ -128,7 +127,8 @@ class SilverJob:
         inventory = latest_inventory(history)
         arrived = history.filter(F.col("batch_id") == batch_id)
         pending = self._read("silver_pending_enrichment", ddl("silver_pending_enrichment"), spark)
-        closed = self._read("pending_log", LOG_DDL, spark).filter(F.col("batch_id") < batch_id)
+        closed = self._read("pending_log", RP.PENDING_LOG, spark).filter(
+            (F.col("resolution") != RP.RETRY) & (F.col("batch_id") < batch_id))
         waiting = RP.for_devices(RP.still_open(pending, closed), arrived)
         promoted = RP.promote_pending(waiting, inventory)
         self._write(P.to_silver_stats(self._score(promoted)), batch_id, "silver_replayed")
@@ -136,10 +136,7 @@ class SilverJob:
         self._write(log.distinct(), batch_id, "pending_log")
 
     def _read(self, table: str, schema: str, spark: SparkSession) -> DataFrame:
-        """A table of batch directories, empty as long as nothing was written."""
-        none = spark.createDataFrame([], schema)
-        write_micro_batch(none, -1, self.path(table), self.partitions.get(table, ()))
-        return spark.read.schema(f"{schema}, batch_id int").parquet(self.path(table))
+        return read_batches(spark, self.path(table), schema, self.partitions.get(table, ()))
 
     def start(self, messages: DataFrame, stage: str, once: bool = False) -> StreamingQuery:
         handler = {
