@@ -4,15 +4,18 @@ from pyspark.sql import functions as F
 from telemark import fixtures as X
 from telemark.operators import parse as P
 from telemark.operators import versions as V
-from telemark.operators.route import contract_failure
 from telemark.plans import baseline as B
 from telemark.plans import reprocess as RP
+from telemark.plans.collect import collect_topic
 from telemark.registry.base import query
 from telemark.schema import struct
 from telemark.session import scratch
 from telemark.sinks import tables as SK
 from telemark.sources import files as SF
 
+# Coarser than the default, so that the test table has records to drop.
+COLLECT_KEYS = ("device_id", "interface_name")
+
 
 @query("src_table", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def _(t):
@@ -24,15 +27,26 @@ def _(t):
     SELECT max(event_id) AS event_id, device_id, interface_name FROM stats
     WHERE k NOT IN (92, 93, 97) GROUP BY 2, 3""")
 def _(t):
-    """Read, keep what meets the contract, last record per key wins."""
-    text = P.unpack(t.payloads, P.STATS_FIELDS, "payload")
-    good = text.filter(contract_failure("interface_stats").isNull())
-    kept = V.dedup_last_wins(good, ("device_id", "interface_name"), "event_id")
+    """Read, keep what meets the contract, last record per key wins, append."""
+    got = collect_topic(t.payloads, "interface_stats", "event_id", COLLECT_KEYS)
     path = scratch(t.spark, "collected")
-    SK.write(kept.select("event_id", "device_id", "interface_name"), path)
+    SK.write(got.kept.select("event_id", "device_id", "interface_name"), path)
     return t.spark.read.parquet(path)
 
 
+@query("src_batch_collect_counts", """
+    SELECT count(*) AS consumed,
+           count(DISTINCT CASE WHEN k NOT IN (92, 93, 97) THEN device_id || '/' || interface_name END)
+               AS written,
+           count(*) FILTER (WHERE k NOT IN (92, 93, 97))
+               - count(DISTINCT CASE WHEN k NOT IN (92, 93, 97) THEN device_id || '/' || interface_name END)
+               AS duplicates_dropped,
+           count(*) FILTER (WHERE k IN (92, 93, 97)) AS parse_errors
+    FROM stats""")
+def _(t):
+    return collect_topic(t.payloads, "interface_stats", "event_id", COLLECT_KEYS).counts
+
+
 @query("src_csv", "SELECT device_id, site_id, vendor, role FROM devices")
 def _(t):
     path = scratch(t.spark, "inventory-csv")
