@@ -1,7 +1,7 @@
 """Column expressions: casts, derivations, scores. All run inside codegen."""
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values the results depend on.
@@ -119,3 +119,16 @@ def rules_json(**fields) -> Column:
 
 def nonempty(name: str) -> Column:
     return F.length(F.coalesce(F.col(name), F.lit(""))) > 0
+
+
+# Fixed: the times whose day is the `_partition_date` of the table that holds them.
+PARTITIONED_TIMES = ("device_ts", "quarantined_at")
+
+
+def since(df: DataFrame, start: Column, ts: str = "device_ts") -> DataFrame:
+    """Rows from `start` on. Where the table is partitioned by the day of `ts`, the
+    day is compared too, so that older partitions are not listed or read."""
+    keep = F.col(ts) >= start
+    if ts in PARTITIONED_TIMES and "_partition_date" in df.columns:
+        keep = keep & (F.col("_partition_date") >= F.to_date(start))
+    return df.filter(keep)

@@ -27,10 +27,9 @@ def confirmed_normal(
     present: tuple[str, ...] = ("device_id", "interface_name", "effective_util_in"),
 ) -> DataFrame:
     """Unflagged rows of the lookback period whose keys and metric are given."""
-    return stats.filter(
-        (F.col("device_ts") >= as_of - F.expr(f"INTERVAL {days} DAYS"))
-        & ~F.coalesce(F.col("ingest_anomaly"), F.lit(False))
-    ).dropna(subset=list(present))
+    recent = C.since(stats, as_of - F.expr(f"INTERVAL {days} DAYS"))
+    quiet = ~F.coalesce(F.col("ingest_anomaly"), F.lit(False))
+    return recent.filter(quiet).dropna(subset=list(present))
 
 
 def baselines(

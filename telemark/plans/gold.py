@@ -13,8 +13,8 @@ from telemark.schema import ANOMALY_KEYS, HEALTH_KEYS
 
 
 def trailing(df: DataFrame, as_of: Column, hours: int = 25, ts: str = "device_ts") -> DataFrame:
-    """Rows of the last `hours` before `as_of`; a plain comparison, so it reaches the scan."""
-    return df.filter(F.col(ts) >= as_of - F.expr(f"INTERVAL {hours} HOURS"))
+    """Rows of the last `hours` before `as_of`."""
+    return C.since(df, as_of - F.expr(f"INTERVAL {hours} HOURS"), ts)
 
 
 def site_health(stats: DataFrame, syslogs: DataFrame, refreshed_at: Column | None = None) -> DataFrame:

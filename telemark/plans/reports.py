@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from telemark.functions import columns as C
 from telemark.functions.columns import DEGRADED_BELOW
 
 TYPES = (
@@ -17,7 +18,7 @@ TYPES = (
 
 
 def since(df: DataFrame, ts: str, as_of: Column, span: str) -> DataFrame:
-    return df.filter(F.col(ts) >= as_of - F.expr(f"INTERVAL {span}"))
+    return C.since(df, as_of - F.expr(f"INTERVAL {span}"), ts)
 
 
 def percent(part: Column, whole: Column) -> Column:

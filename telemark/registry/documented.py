@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from telemark import fixtures as X
 from telemark.functions import rules as RU
 from telemark.operators import flatline as FL
-from telemark.operators import parse as P
 from telemark.operators import route as RT
 from telemark.operators import score as S
 from telemark.operators.aggregates import hourly_features

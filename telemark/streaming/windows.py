@@ -29,7 +29,7 @@ def flatline_backfill(
     """One-off batch pass over the last `hours`; 0 takes the whole history."""
     recent = silver
     if hours > 0:
-        recent = silver.filter(F.col("device_ts") >= as_of - F.expr(f"INTERVAL {hours} HOURS"))
+        recent = C.since(silver, as_of - F.expr(f"INTERVAL {hours} HOURS"))
     return FL.to_flatline_flags(FL.flat_windows(recent, **window), detected_at)
 
 

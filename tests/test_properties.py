@@ -205,6 +205,20 @@ def test_backfill_only_into_an_empty_target(spark):
     assert not SW.needs_backfill(spark.createDataFrame([("FLATLINE",)], "anomaly_type string"))
 
 
+def test_trailing_reads_only_recent_partitions(spark, t):
+    from telemark.operators import parse as P
+    from telemark.plans import gold as G
+
+    path = scratch(spark, "pruned")
+    SK.append(P.to_silver_stats(t.scored), path, "silver_interface_stats", ["_partition_date"])
+    recent = G.trailing(spark.read.parquet(path), X.as_of())
+    assert recent.count() == G.trailing(t.enriched, X.as_of()).count() > 0
+    files = recent.select("_metadata.file_path").distinct().count()
+    assert files <= 2
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_partition_date" in plan
+
+
 def test_no_local_checkpoint_and_no_cross_join():
     import pathlib
 
