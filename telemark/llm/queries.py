@@ -5,6 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from telemark.llm.tables import ship
+
 _BUILD: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -19,6 +21,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,3 +45,9 @@ def op8(spark, sf_dir):
     import public_tokenizers
     from telemark.llm.token_counts import count_tokens
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op10_ngram_jaccard_join")
+def op10(spark, sf_dir):
+    from telemark.llm.ngram_join import link
+    return link(table(spark, sf_dir, "documents"))
