@@ -90,10 +90,11 @@ def signatures(values: np.ndarray, cut: np.ndarray, percent: int) -> tuple[np.nd
         part = ((value >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         group = owner.astype(np.uint64) * np.uint64(parts) + part
         first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        total = np.concatenate([[0], np.cumsum(BW.mix(value ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)]).astype(np.uint64)
+        total = np.zeros(len(value) + 1, dtype=np.uint64)
+        np.cumsum(BW.mix(value ^ np.uint64(0x5851F42D4C957F2D)), out=total[1:])
         body = np.diff(total[np.concatenate([first, [len(value)]])])
         which, part = owner[first], part[first]
-        salt = np.uint64(level + 1) * np.uint64(0x9FB21C651E98DF25)
+        salt = np.uint64((level + 1) * 0x9FB21C651E98DF25 & 0xFFFFFFFFFFFFFFFF)
         sig = BW.mix(body + (part + np.uint64(1)) * np.uint64(0xD1342543DE82EF95) + salt)
         out_rows.append(rows[which])
         out.append(sig)
