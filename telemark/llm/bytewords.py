@@ -65,7 +65,15 @@ class Words:
     bounds: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
-    folded: np.ndarray
+    total: np.ndarray
+
+    def prefixes(self, size: int) -> np.ndarray:
+        """Hashes of the first `size` bytes of every word, 0 for words of no more bytes."""
+        longer = self.ends - self.starts > size
+        begin = self.starts[longer]
+        out = np.zeros(len(self.starts), dtype=np.uint64)
+        out[longer] = mix((self.total[begin + size] - self.total[begin]) * _power(len(self.total))[1][begin] + np.uint64(size))
+        return out
 
     def rows(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
@@ -109,7 +117,7 @@ def words(column, table: np.ndarray) -> Words:
     np.cumsum(line, out=total[1:])
     h = (total[ends] - total[starts]) * down[starts]
     h += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return Words(mix(h), np.searchsorted(starts, offsets).astype(np.int64), starts, ends, folded)
+    return Words(mix(h), np.searchsorted(starts, offsets).astype(np.int64), starts, ends, total)
 
 
 def shards(batches, text: str, limit: int = SHARD_BYTES) -> Iterator[pa.RecordBatch]:

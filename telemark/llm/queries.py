@@ -51,3 +51,17 @@ def op8(spark, sf_dir):
 def op10(spark, sf_dir):
     from telemark.llm.ngram_join import link
     return link(table(spark, sf_dir, "documents"))
+
+
+@query("op1_best_fit_packing")
+def op1(spark, sf_dir):
+    from telemark.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op3_toxicity")
+def op3(spark, sf_dir):
+    from telemark.llm import toxicity as X
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = X.score(docs, X.corpus_chain(docs, labels), X.CHAIN, ["doc_id"])
+    return scored.withColumn("rejected", scored.p_toxic >= X.THRESHOLD)
