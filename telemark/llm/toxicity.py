@@ -36,7 +36,7 @@ from telemark.llm.tables import restrict, stored
 SAMPLE_ROWS = 16_000
 FEATURE_BITS = 20
 KEPT = 8192
-Z_MIN = 5.5
+Z_MIN = 4.5
 FOLDS = 3
 THRESHOLD = 0.5
 PREFIXES = (4, 5, 6)
