@@ -65,3 +65,56 @@ def op3(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = X.score(docs, X.corpus_chain(docs, labels), X.CHAIN, ["doc_id"])
     return scored.withColumn("rejected", scored.p_toxic >= X.THRESHOLD)
+
+
+SHARD_LIMIT = 1 << 20  # bytes; small enough that the given tables need many shards
+
+
+@query("op4_sharding", f"""
+    WITH d AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+                      ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM documents),
+         l AS (SELECT depth, h >> (32 - depth) AS p, sum(n_bytes)::BIGINT AS b, count(*) AS n
+               FROM d, (SELECT unnest(range(0, 33))::INTEGER AS depth) GROUP BY ALL),
+         f AS (SELECT doc_id, n_bytes, h, l.depth, l.p, l.b,
+                      row_number() OVER (PARTITION BY doc_id, n_bytes ORDER BY l.depth) AS r
+               FROM d JOIN l ON l.p = h >> (32 - l.depth) WHERE l.b <= {SHARD_LIMIT} OR l.n = 1)
+    SELECT doc_id, n_bytes, 'b' || CASE WHEN depth = 0 THEN '' ELSE lpad(bin(p), depth, '0') END AS shard,
+           depth, b AS shard_bytes, b > {SHARD_LIMIT} AS oversize FROM f WHERE r = 1""")
+def op4(spark, sf_dir):
+    from telemark.llm.sharding import assign
+    return assign(table(spark, sf_dir, "documents"), SHARD_LIMIT)
+
+
+# Fixed rules of the contract, then the pattern rules that judge what these leave open.
+HOST_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+              ("net/es/", "block"), ("net/fr/", "block")]
+PATTERN_RULES = [("*/casino/", "block"), ("*/adult/", "block"), ("*/login/", "block"), ("*/ads/", "block"),
+                 ("blog.*/print/", "block"), ("*/tracking/*.gif", "block"), ("m.*/amp/", "block"),
+                 ("*/en/*.html", "allow"), ("org/es/*.html", "block")]
+
+
+def _regex(rule: str) -> str:
+    body = "".join(".*" if c == "*" else "\\" + c if c in ".+?()[]{}^$|\\" else c for c in rule)
+    return ("(?s)^" if rule.startswith("*") else "(?s)^(?:[^/]*\\.)?") + body + ".*"
+
+
+def _tier(rules) -> str:
+    return "VALUES " + ", ".join(f"('{r}', '{a}', '{_regex(r)}')" for r, a in rules)
+
+
+@query("op2_url_filter", f"""
+    WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+         p AS (SELECT page_id, translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                      regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM u),
+         one(rule, action, pattern) AS ({_tier(HOST_RULES)}),
+         two(rule, action, pattern) AS ({_tier(PATTERN_RULES)}),
+         a AS (SELECT DISTINCT ON (host, path) host, path, rule, action FROM (SELECT DISTINCT host, path FROM p), one
+               WHERE regexp_full_match(host || path, pattern) ORDER BY host, path, length(rule) DESC, rule),
+         b AS (SELECT DISTINCT ON (host, path) host, path, rule, action FROM (SELECT DISTINCT host, path FROM p), two
+               WHERE regexp_full_match(host || path, pattern) ORDER BY host, path, length(rule) DESC, rule)
+    SELECT page_id, host, path, a.rule AS rule, b.rule AS pattern_rule, coalesce(a.action, b.action, 'allow') AS verdict
+    FROM p LEFT JOIN a USING (host, path) LEFT JOIN b USING (host, path)""")
+def op2(spark, sf_dir):
+    from telemark.llm.url_filter import judge, rule_table
+    rules = rule_table(spark, [(r, a, 1) for r, a in HOST_RULES] + [(r, a, 2) for r, a in PATTERN_RULES])
+    return judge(table(spark, sf_dir, "pages"), rules)
