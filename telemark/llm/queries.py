@@ -118,3 +118,10 @@ def op2(spark, sf_dir):
     from telemark.llm.url_filter import judge, rule_table
     rules = rule_table(spark, [(r, a, 1) for r, a in HOST_RULES] + [(r, a, 2) for r, a in PATTERN_RULES])
     return judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op6_nearest_neighbours")
+def op6(spark, sf_dir):
+    from telemark.llm.neighbours import search
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.filter("vec_id % 20 = 0"))
