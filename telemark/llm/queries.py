@@ -125,3 +125,42 @@ def op6(spark, sf_dir):
     from telemark.llm.neighbours import search
     vectors = table(spark, sf_dir, "embeddings")
     return search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+def _license_sql() -> str:
+    from telemark.llm.licenses import CUE, MIN_COSINE, TEMPLATES
+    words = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+(?:\.[\p{{L}}\p{{N}}]+)*')"
+    notices = ", ".join(f"('{a}', '{b}')" for a, b in TEMPLATES)
+    return rf"""
+    WITH files AS (SELECT doc_id, text, concat_ws('/', source, lang, (doc_id // 100)::VARCHAR,
+                          CASE WHEN doc_id % 50 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END) AS path FROM documents),
+         found AS (SELECT doc_id, path, trim(unnest(string_split_regex(regexp_replace(text, '([.!?])\s+', '\1' || chr(10), 'g'), '\n+')), ' ') AS unit
+                   FROM files WHERE regexp_matches(text, '{CUE}')),
+         units AS (SELECT DISTINCT unit FROM found WHERE regexp_matches(unit, '{CUE}')),
+         tf AS (SELECT unit, term, count(*) AS tf FROM (SELECT unit, unnest({words.format('unit')}) AS term FROM units) GROUP BY ALL),
+         n AS (SELECT count(*)::DOUBLE AS n FROM units),
+         idf AS (SELECT term, ln((1 + max(n)) / (count(*) + 1.0)) + 1 AS idf FROM tf, n GROUP BY term),
+         tpl(license, text) AS (VALUES {notices}),
+         tw AS (SELECT license, text, k.term, k.tf * coalesce(idf, ln(1 + n) + 1) AS w
+                FROM (SELECT license, text, term, count(*) AS tf FROM (SELECT license, text, unnest({words.format('text')}) AS term FROM tpl) GROUP BY ALL) k
+                LEFT JOIN idf USING (term), n),
+         tv AS (SELECT license, text, term, w / sqrt(sum(w * w) OVER (PARTITION BY license, text)) AS v FROM tw),
+         uw AS (SELECT unit, term, tf * idf AS u FROM tf JOIN idf USING (term)),
+         un AS (SELECT unit, sqrt(sum(u * u)) AS norm FROM uw GROUP BY unit),
+         cs AS (SELECT unit, license, round(sum(u * v) / any_value(norm) + 1e-12, 6) AS cosine
+                FROM uw JOIN tv USING (term) JOIN un USING (unit) GROUP BY unit, license, text),
+         ub AS (SELECT DISTINCT ON (unit) unit, license, cosine FROM cs WHERE cosine >= {MIN_COSINE} ORDER BY unit, cosine DESC, license),
+         own AS (SELECT DISTINCT ON (doc_id) doc_id, path, license, cosine FROM found JOIN ub USING (unit) ORDER BY doc_id, cosine DESC, license),
+         dirs AS (SELECT DISTINCT regexp_extract(path, '^(.*/)', 1) AS dir FROM files),
+         givers AS (SELECT regexp_extract(path, '^(.*/)', 1) AS up, arg_min(license, doc_id) AS given
+                    FROM own WHERE path LIKE '%/LICENSE' GROUP BY 1),
+         near AS (SELECT DISTINCT ON (dir) dir, up, given FROM dirs JOIN givers ON starts_with(dir, up) ORDER BY dir, length(up) DESC)
+    SELECT f.doc_id, f.path, own.license AS own_license, own.cosine AS own_cosine, coalesce(own.license, near.given) AS license,
+           CASE WHEN own.license IS NULL THEN near.up END AS license_dir
+    FROM files f LEFT JOIN own USING (doc_id) LEFT JOIN near ON near.dir = regexp_extract(f.path, '^(.*/)', 1)"""
+
+
+@query("op9_license_scan", _license_sql())
+def op9(spark, sf_dir):
+    from telemark.llm import licenses as L
+    return L.scan(L.with_paths(table(spark, sf_dir, "documents")), L.template_table(spark))
