@@ -164,3 +164,11 @@ def _license_sql() -> str:
 def op9(spark, sf_dir):
     from telemark.llm import licenses as L
     return L.scan(L.with_paths(table(spark, sf_dir, "documents")), L.template_table(spark))
+
+
+@query("op5_chat_formatting")
+def op5(spark, sf_dir):
+    from telemark.llm import transcripts as R
+    raw = R.raw_transcripts(table(spark, sf_dir, "conversations"))
+    model = R.train(R.lines(raw, keep=("role",)))
+    return R.turns(R.recover(raw, model))
