@@ -14,10 +14,13 @@ guarantee could rest on an empty one send those too.
 Overlaps. Sets in candidate pairs are cut into FRAGMENTS fragments; each pair's overlap
 is counted fragment by fragment and summed per pair.
 
-Groups. Equal sets are one node. A bucket (one signature) of many sets is never expanded
-into all pairs: in each round leaders are compared with the rest of their bucket, linked
-sets merge, and a bucket is done when what was not a leader is one component. Only then
-is every link between different components known to be found, so nothing is lost.
+Groups. Equal sets are one node. In every bucket (one signature) all sets are compared
+with its likeliest centre; a bucket within one component is done. What is left (groups
+whose members are similar, yet not all linked to one centre) is dealt into blocks by
+cluster of buckets; every two blocks of a cluster meet in one task, which counts overlaps
+in small matrices and returns a spanning forest of the links. So no pairs of a group are
+ever listed and no link between different components is lost; the cost of such a cluster
+is quadratic in arithmetic only.
 
 Skew. A task sends one entry per signature and shard however many sets share it there,
 the other members bypass that shuffle; joins on hot signatures are plain equi-joins,
@@ -44,7 +47,8 @@ from telemark.llm.tables import restrict, stored
 FRAGMENTS = 8            # of the overlap count
 PART_SHINGLES = 1 << 20  # shingles per partition of the signature shuffle
 SHARD_BYTES = 8 << 20
-LEADERS = (1, 1, 4, 16)  # per bucket and round; the last holds for all later rounds
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20  # of a block of a cluster
+WIDTH = 1024             # shingles per fragment in a block
 _ENTRY = np.dtype([("sig", "<u8"), ("key", "<u8")])
 
 
@@ -65,14 +69,16 @@ def allowed(n: int, percent: int) -> int:
 
 
 def fragments_of(level: int, percent: int) -> tuple[int, int]:
-    """(fragments, differences allowed) for smaller sets of 2**level to 2**(level+1) - 1."""
+    """(fragments, spare ones among them) for smaller sets of 2**level to 2**(level+1) - 1."""
     most = allowed((2 << level) - 1, percent)
-    spare = 1 + most // 16 if most else 0
-    return most + 1 + spare, most
+    spare = 1 + most // 16
+    return most + 1 + spare, spare
 
 
 def signatures(values: np.ndarray, cut: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set number, signature) of all fragments that candidates must be sought by."""
+    """(set number, signature) of all fragments that candidates must be sought by: of a set
+    that may differ in D shingles the first D + 1 + spare fragments in global order. Its
+    partners of larger size send at least as many."""
     sizes = np.diff(cut)
     out_rows, out = [], []
     top = int(sizes.max(initial=0)).bit_length()
@@ -81,28 +87,31 @@ def signatures(values: np.ndarray, cut: np.ndarray, percent: int) -> tuple[np.nd
         rows = np.flatnonzero((sizes >= low) & (sizes * percent <= high * 100))
         if not len(rows):
             continue
-        parts, most = fragments_of(level, percent)
+        parts, spare = fragments_of(level, percent)
+        sent = np.minimum(sizes[rows] * (100 - percent) // percent + 1 + spare, parts)
         size = sizes[rows]
         owner = np.repeat(np.arange(len(rows)), size)
         at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + cut[rows][owner]
         value = values[at]
         # Equal widths of the upper 32 bits: the order inside a set is kept.
         part = ((value >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        inside = part < sent[owner].astype(np.uint64)
+        owner, value, part = owner[inside], value[inside], part[inside]
         group = owner.astype(np.uint64) * np.uint64(parts) + part
-        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
         total = np.zeros(len(value) + 1, dtype=np.uint64)
         np.cumsum(BW.mix(value ^ np.uint64(0x5851F42D4C957F2D)), out=total[1:])
-        body = np.diff(total[np.concatenate([first, [len(value)]])])
+        body = np.diff(total[np.concatenate([first, [len(value)]]).astype(np.int64)])
         which, part = owner[first], part[first]
         salt = np.uint64((level + 1) * 0x9FB21C651E98DF25 & 0xFFFFFFFFFFFFFFFF)
         sig = BW.mix(body + (part + np.uint64(1)) * np.uint64(0xD1342543DE82EF95) + salt)
         out_rows.append(rows[which])
         out.append(sig)
-        # Equal fragments number at least parts - most; if that many are empty here,
-        # empty ones count as signatures as well.
+        # At least 1 + spare of the fragments that both send are equal; a set with so many
+        # empty ones sends these as well.
         filled = np.bincount(which, minlength=len(rows))
-        for r in np.flatnonzero(parts - filled >= parts - most):
-            empty = np.setdiff1d(np.arange(parts), part[which == r].astype(np.int64)).astype(np.uint64)
+        for r in np.flatnonzero(sent - filled > spare):
+            empty = np.setdiff1d(np.arange(sent[r]), part[which == r].astype(np.int64)).astype(np.uint64)
             out_rows.append(np.full(len(empty), rows[r]))
             out.append(BW.mix((empty + np.uint64(1)) * np.uint64(0xD1342543DE82EF95) + salt))
     if not out:
@@ -226,13 +235,13 @@ def fragment_table(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, n_a, n_b, common) per pair: partial overlaps by fragment, summed. Sizes are
-    the sums over all fragments, so a fragment that only one side has counts as well."""
+    """(a, b, n_a, n_b, common) per pair (a, b, n_a, n_b): partial overlaps by fragment,
+    summed. A fragment that only one side has adds nothing."""
     one = sets.select(F.col("key").alias("a"), "frag", F.col("items").alias("x"))
     two = sets.select(F.col("key").alias("b"), "frag", F.col("items").alias("y"))
     partial = pairs.join(one, "a").join(two, ["b", "frag"]).select(
-        "a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("common"))
-    return partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
+        "a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).cast("long").alias("common"))
+    return partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -250,32 +259,103 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _pairs(members: DataFrame, comps: DataFrame | None, round_no: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs to compare, leaders (sig, key) used) of one round."""
+def _with_comps(members: DataFrame, comps: DataFrame | None) -> DataFrame:
     if comps is None:
-        current = members.withColumn("comp", F.col("key"))
-    else:
-        current = members.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    if round_no:
-        current = stored(current, "members")
-    leaders = LEADERS[min(round_no, len(LEADERS) - 1)]
-    if round_no == 0:
-        # The member with most shared signatures is the likeliest centre of its group.
-        degree = members.groupBy("key").agg(F.count("*").alias("d"))
-        led = members.join(degree, "key").groupBy("sig").agg(F.max(F.struct("d", "key"))["key"].alias("lead"))
-        led = led.withColumn("lead_comp", F.col("lead"))
-    else:
-        sizes = current.groupBy("sig", "comp").agg(F.count("*").alias("c"))
-        main = sizes.groupBy("sig").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count("*").alias("kinds"))
-        open_ = stored(main.filter("kinds > 1").select("sig", "main"), "buckets")
-        current = current.join(open_, "sig")
-        slot = F.pmod(F.xxhash64("key", F.lit(round_no)), F.lit(leaders))
-        led = current.filter("comp <> main").groupBy("sig", slot.alias("slot")).agg(F.min(F.struct("key", "comp")).alias("m"))
-        led = led.select("sig", F.col("m.key").alias("lead"), F.col("m.comp").alias("lead_comp"))
-    led = stored(led, "leaders")
-    pairs = current.join(led, "sig").filter("comp <> lead_comp").select(
+        return members.withColumn("comp", F.col("key"))
+    return members.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+
+
+def star_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): every member of a bucket with the one that has most shared signatures, the
+    likeliest centre of its group."""
+    degree = members.groupBy("key").agg(F.count("*").alias("degree"))
+    ranked = stored(members.join(degree, "key"), "ranked")
+    led = ranked.groupBy("sig").agg(F.max(F.struct("degree", "key"))["key"].alias("lead"))
+    return ranked.join(led, "sig").filter("key <> lead").select(
         F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
-    return pairs, led.select("sig", F.col("lead").alias("key"))
+
+
+def _spanning(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> list[tuple[int, int]]:
+    """Links (row key, column key) enough to connect whatever the boolean matrix connects."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root.setdefault(x, x)
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(linked))):
+        a, b = find(int(rows[i])), find(int(columns[j]))
+        if a != b:
+            root[a] = b
+            out.append((int(rows[i]), int(columns[j])))
+    return out
+
+
+def block_links(keys: np.ndarray, part: np.ndarray, items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between the sets of two blocks (part 0 and 1), or within one (all part 0). The
+    order of shingles is cut into fragments of WIDTH; overlaps are counted per fragment and
+    summed per pair."""
+    sizes = np.array([len(x) for x in items], dtype=np.int64)
+    flat = np.concatenate(items)
+    _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(items)), sizes)
+    shared = times[code] > 1
+    number = np.cumsum(times > 1) - 1
+    code, owner = number[code[shared]], owner[shared]
+    left = np.flatnonzero(part == 0)
+    right = np.flatnonzero(part == 1) if part.any() else left
+    common = np.zeros((len(left), len(right)), dtype=np.float32)
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    edges = np.searchsorted(code, np.arange(0, (int(code[-1]) if len(code) else 0) + WIDTH + 1, WIDTH))
+    for f in range(len(edges) - 1):
+        piece = slice(edges[f], edges[f + 1])
+        grid = np.zeros((len(items), WIDTH), dtype=np.float32)
+        grid[owner[piece], code[piece] - f * WIDTH] = 1
+        common += grid[left] @ grid[right].T
+    union = sizes[left][:, None] + sizes[right][None, :] - common
+    linked = 100 * common.astype(np.float64) >= percent * union
+    linked &= keys[left][:, None] < keys[right][None, :] if right is left else keys[left][:, None] != keys[right][None, :]
+    return _spanning(linked, keys[left], keys[right])
+
+
+def dense_links(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect all that is linked within unresolved buckets. Buckets that
+    share sets form a cluster; its sets are dealt into blocks and every two blocks meet in
+    one task, which counts overlaps in small matrices and returns a spanning forest only."""
+    first = members.groupBy("sig").agg(F.min("key").alias("a"))
+    clusters = components(members.join(first, "sig").filter("a <> key").select("a", F.col("key").alias("b")).distinct())
+    known = stored(clusters.join(sizes, "key").select("key", "n", F.col("comp").alias("cluster")), "clusters")
+    parts = known.groupBy("cluster").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    few = int(known.count() // BLOCK_SETS) + 1
+    placed = known.join(parts, "cluster").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    cells = placed.select("cluster", "key", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "cluster", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("part"),
+        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(few))).otherwise(F.col("cluster")).alias("cell"))
+    met = cells.join(sets, "key").select("cell", "i", "j", "cluster", "part", "key", "frag", "items")
+
+    def meet(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("cluster", "ascending"), ("key", "ascending"), ("frag", "ascending")])
+        cluster, key, part = (table[c].to_numpy() for c in ("cluster", "key", "part"))
+        lists = table["items"].combine_chunks()
+        flat, cut = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
+        head = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cluster[1:] != cluster[:-1])])) if len(key) else np.zeros(0, np.int64)
+        stop = np.append(head[1:], len(key))
+        out: list[tuple[int, int]] = []
+        group = np.flatnonzero(np.concatenate([[True], cluster[head][1:] != cluster[head][:-1]])) if len(head) else head
+        for begin, end in zip(group.tolist(), np.append(group[1:], len(head)).tolist()):
+            h = head[begin:end]
+            items = [flat[cut[x]: cut[y]] for x, y in zip(h, stop[begin:end])]
+            out += block_links(key[h], part[h], items, percent)
+        a, b = zip(*out) if out else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return met.groupBy("cell", "i", "j").applyInArrow(meet, "a long, b long")
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
@@ -288,7 +368,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     table = stored(shingle_table(slim, k), "sets")
     nodes = stored(table.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n")), "nodes")
     total = nodes.agg(F.sum("n")).first()[0] or 0
-    members = stored(bucket_members(slim, k, percent, int(total // PART_SHINGLES) + 1), "members")
+    members = stored(bucket_members(slim, k, percent, int(total // PART_SHINGLES) + 1).distinct(), "members")
     comps = None
     if not members.isEmpty():
         comps = _grow(slim, nodes, members, k, percent)
@@ -304,38 +384,24 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
 
 
 def _grow(slim: DataFrame, nodes: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame | None:
-    keys = members.select("key").distinct()
-    wanted = stored(nodes.join(keys, "key").filter("id IS NOT NULL").select("id", "key"), "wanted")
-    sets = stored(fragment_table(slim, wanted, k), "fragments")
-    sizes = nodes.select("key", "n")
-    edges, tried, comps = None, None, None
-    round_no = 0
-    while True:
-        pairs, used = _pairs(members, comps, round_no)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if not pairs.isEmpty():
-            likely = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").filter(
-                f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-            found = overlaps(likely.select("a", "b"), sets)
-            linked = likely.join(found, ["a", "b"]).filter(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b")
-            fresh = stored(linked, "links")
-            edges = fresh if edges is None else edges.union(fresh)
-            tried = pairs if tried is None else tried.union(pairs)
-            if not fresh.isEmpty():
-                comps = components(edges)
-        members = stored(members.join(used, ["sig", "key"], "left_anti"), "members")
-        if members.isEmpty():
-            return comps
-        rest = members if comps is None else members.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-        if comps is None:
-            rest = rest.withColumn("comp", F.col("key"))
-        spread = rest.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("sig")
-        members = stored(members.join(spread, "sig", "left_semi"), "members")
-        if members.isEmpty():
-            return comps
-        round_no += 1
+    wanted = stored(nodes.join(members.select("key").distinct(), "key").filter("id IS NOT NULL").select("id", "key", "n"), "wanted")
+    sets = stored(fragment_table(slim, wanted.select("id", "key"), k), "fragments")
+    sizes = wanted.select("key", "n")
+    likely = star_pairs(members).join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").filter(
+        f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    found = overlaps(stored(likely, "pairs"), sets)
+    edges = stored(found.filter(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b"), "links")
+    comps = None if edges.isEmpty() else components(edges)
+    # A bucket within one component is done; the others are looked through whole.
+    left = _with_comps(members, comps)
+    spread = left.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("sig")
+    rest = stored(members.join(spread, "sig", "left_semi"), "rest")
+    if rest.isEmpty():
+        return comps
+    more = stored(dense_links(rest, sizes, sets, percent), "dense")
+    if more.isEmpty():
+        return comps
+    return components(edges.union(more))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
