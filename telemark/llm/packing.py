@@ -131,7 +131,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_P
     dealt = pieces.filter("n_words > 0").withColumn(
         "bin_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
-    def run(key, group: pa.Table) -> pa.Table:
+    def run(key, group):
         group = group.sort_by([("n_words", "descending"), ("id", "ascending"), ("piece", "ascending")])
         placed = best_fit(*(group[c].to_pylist() for c in ("n_words", "source", "cluster")), capacity)
         first = key[0].as_py() << 32
