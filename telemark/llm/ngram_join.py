@@ -206,8 +206,9 @@ def bucket_members(docs: DataFrame, k: int, percent: int, parts: int) -> DataFra
     return met
 
 
-def fragment_table(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(key, frag, items): the sets of the wanted (id, key) rows, cut into fragments."""
+def fragment_table(docs: DataFrame, wanted: DataFrame, k: int, unique: bool) -> DataFrame:
+    """(key, frag, items): the sets of the wanted (id, key) rows, cut into fragments.
+    `unique`: no id occurs twice, so no set can come twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in BW.shards(batches, "text", SHARD_BYTES):
@@ -231,7 +232,8 @@ def fragment_table(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     from telemark.operators.joins import attach
     chosen = attach(docs, wanted, "id", "inner", salts=1).select("id", "text", "key")
-    return chosen.mapInArrow(run, "key long, frag int, items array<long>").dropDuplicates(["key", "frag"])
+    cut = chosen.mapInArrow(run, "key long, frag int, items array<long>")
+    return cut if unique else cut.dropDuplicates(["key", "frag"])
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -245,18 +247,19 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(key, comp) for all keys on edges (a, b): the smallest key reachable. Labels pass
-    along edges and then jump to their label's label until none changes."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.min("a")).alias("comp")), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("key", "b"), "b").groupBy(F.col("a").alias("key")).agg(F.min("comp").alias("near"))
-        moved = labels.join(near, "key").select("key", "comp", F.least("comp", "near").alias("next"))
-        jump = labels.select(F.col("key").alias("next"), F.col("comp").alias("far"))
-        new = stored(moved.join(jump, "next").select("key", F.col("comp").alias("old"), F.least("next", "far").alias("comp")), "labels")
-        labels = new.select("key", "comp")
-        if new.filter("old <> comp").isEmpty():
-            return labels
+    """(key, comp) for all keys on edges (a, b): the smallest key reachable. Every node
+    points to its smallest neighbour and on to where that points; edges are contracted to
+    what their ends point to and vanish inside a component, until none is left."""
+    edges = stored(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    labels = edges.select(F.col("a").alias("key")).union(edges.select("b")).distinct().withColumn("comp", F.col("key"))
+    while not edges.isEmpty():
+        both = edges.select(F.col("a").alias("node"), F.col("b").alias("near")).union(edges.select("b", "a"))
+        point = stored(both.groupBy("node").agg(F.least(F.min("near"), F.first("node")).alias("to")), "pointers")
+        onward = stored(point.join(point.toDF("to", "far"), "to").select("node", F.col("far").alias("to")), "pointers")
+        labels = stored(labels.join(onward.toDF("comp", "to"), "comp", "left").select("key", F.coalesce("to", "comp").alias("comp")), "labels")
+        moved = edges.join(onward.toDF("a", "to_a"), "a").join(onward.toDF("b", "to_b"), "b").filter("to_a <> to_b")
+        edges = stored(moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "edges")
+    return labels
 
 
 def _with_comps(members: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -371,7 +374,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     members = stored(bucket_members(slim, k, percent, int(total // PART_SHINGLES) + 1).distinct(), "members")
     comps = None
     if not members.isEmpty():
-        comps = _grow(slim, nodes, members, k, percent)
+        unique = table.groupBy("id").count().filter("count > 1 AND id IS NOT NULL").isEmpty()
+        comps = _grow(slim, nodes, members, k, percent, unique)
     if comps is None:
         table = table.withColumn("comp", F.col("key"))
     else:
@@ -383,9 +387,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     return done.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def _grow(slim: DataFrame, nodes: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame | None:
+def _grow(slim: DataFrame, nodes: DataFrame, members: DataFrame, k: int, percent: int, unique: bool) -> DataFrame | None:
     wanted = stored(nodes.join(members.select("key").distinct(), "key").filter("id IS NOT NULL").select("id", "key", "n"), "wanted")
-    sets = stored(fragment_table(slim, wanted.select("id", "key"), k), "fragments")
+    sets = stored(fragment_table(slim, wanted.select("id", "key"), k, unique), "fragments")
     sizes = wanted.select("key", "n")
     likely = star_pairs(members).join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").filter(
         f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
