@@ -16,11 +16,11 @@ is counted fragment by fragment and summed per pair.
 
 Groups. Equal sets are one node. In every bucket (one signature) all sets are compared
 with its likeliest centre; a bucket within one component is done. What is left (groups
-whose members are similar, yet not all linked to one centre) is dealt into blocks by
-cluster of buckets; every two blocks of a cluster meet in one task, which counts overlaps
-in small matrices and returns a spanning forest of the links. So no pairs of a group are
-ever listed and no link between different components is lost; the cost of such a cluster
-is quadratic in arithmetic only.
+whose members are similar, yet not all linked to one centre) is put together by centre and
+dealt into blocks; every two blocks of such a cluster meet in one task, which counts
+overlaps in small matrices and returns a spanning forest of the links. So no pairs of a
+group are ever listed and no link between different components is lost; the cost of such a
+cluster is quadratic in arithmetic only.
 
 Skew. A task sends one entry per signature and shard however many sets share it there,
 the other members bypass that shuffle; joins on hot signatures are plain equi-joins,
@@ -268,14 +268,13 @@ def _with_comps(members: DataFrame, comps: DataFrame | None) -> DataFrame:
     return members.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
 
 
-def star_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): every member of a bucket with the one that has most shared signatures, the
-    likeliest centre of its group."""
+def centres(members: DataFrame) -> DataFrame:
+    """(sig, key, lead): every bucket's member that has most shared signatures, the likeliest
+    centre of its group. Buckets of one group mostly have the same."""
     degree = members.groupBy("key").agg(F.count("*").alias("degree"))
     ranked = stored(members.join(degree, "key"), "ranked")
     led = ranked.groupBy("sig").agg(F.max(F.struct("degree", "key"))["key"].alias("lead"))
-    return ranked.join(led, "sig").filter("key <> lead").select(
-        F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
+    return stored(ranked.join(led, "sig").select("sig", "key", "lead"), "led")
 
 
 def _spanning(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> list[tuple[int, int]]:
@@ -326,13 +325,13 @@ def block_links(keys: np.ndarray, part: np.ndarray, items: list[np.ndarray], per
     return _spanning(linked, keys[left], keys[right])
 
 
-def dense_links(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that connect all that is linked within unresolved buckets. Buckets that
-    share sets form a cluster; its sets are dealt into blocks and every two blocks meet in
-    one task, which counts overlaps in small matrices and returns a spanning forest only."""
-    first = members.groupBy("sig").agg(F.min("key").alias("a"))
-    clusters = components(members.join(first, "sig").filter("a <> key").select("a", F.col("key").alias("b")).distinct())
-    known = stored(clusters.join(sizes, "key").select("key", "n", F.col("comp").alias("cluster")), "clusters")
+def dense_links(led: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect all that is linked within unresolved buckets (sig, key,
+    lead). Buckets of one centre form a cluster; its sets are dealt into blocks and every two
+    blocks meet in one task, which counts overlaps in small matrices and returns a spanning
+    forest only."""
+    clusters = led.select(F.col("lead").alias("cluster"), "key").distinct()
+    known = stored(clusters.join(sizes, "key").select("key", "n", "cluster"), "clusters")
     parts = known.groupBy("cluster").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     few = int(known.count() // BLOCK_SETS) + 1
@@ -391,15 +390,18 @@ def _grow(slim: DataFrame, nodes: DataFrame, members: DataFrame, k: int, percent
     wanted = stored(nodes.join(members.select("key").distinct(), "key").filter("id IS NOT NULL").select("id", "key", "n"), "wanted")
     sets = stored(fragment_table(slim, wanted.select("id", "key"), k, unique), "fragments")
     sizes = wanted.select("key", "n")
-    likely = star_pairs(members).join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").filter(
+    led = centres(members)
+    star = led.filter("key <> lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
+    likely = star.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").filter(
         f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     found = overlaps(stored(likely, "pairs"), sets)
     edges = stored(found.filter(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b"), "links")
     comps = None if edges.isEmpty() else components(edges)
-    # A bucket within one component is done; the others are looked through whole.
-    left = _with_comps(members, comps)
-    spread = left.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("sig")
-    rest = stored(members.join(spread, "sig", "left_semi"), "rest")
+    # A bucket within one component is done, and one of two sets, which have been compared.
+    left = _with_comps(led, comps)
+    spread = left.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("c")).filter(
+        "x <> y AND c > 2").select("sig")
+    rest = stored(led.join(spread, "sig", "left_semi"), "rest")
     if rest.isEmpty():
         return comps
     more = stored(dense_links(rest, sizes, sets, percent), "dense")
