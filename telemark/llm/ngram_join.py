@@ -63,6 +63,38 @@ def set_keys(values: np.ndarray, cut: np.ndarray) -> np.ndarray:
     return np.where(size > 0, np.maximum(key, np.uint64(2)), np.uint64(0))
 
 
+def parity_bits(values: np.ndarray, cut: np.ndarray) -> list[np.ndarray]:
+    """Per set a row of bits, one for each value of the shingles' lowest bits, telling whether
+    an odd number of its shingles fall there; as many 64-bit words as needed for a bit per
+    shingle, a power of two. Two sets differ in at least as many shingles as bits."""
+    out = []
+    for r in range(len(cut) - 1):
+        own = values[cut[r]: cut[r + 1]]
+        size = 64 << max(0, (max(len(own), 1) - 1).bit_length() - 6)
+        odd = np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+        out.append(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64))
+    return out
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Rows of parity bits for fewer of the lowest bits."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def _bit_count(words: np.ndarray) -> np.ndarray:
+    """Bits set in each 64-bit word; of signed ones numpy would count the absolute value."""
+    return np.bitwise_count(words.view(np.uint64))
+
+
+def may_link(n_a, n_b, apart, percent: int):
+    """Whether sets of these sizes that differ in `apart` shingles at least may be similar."""
+    both = (n_a + n_b - apart) / 2
+    return 100 * both >= percent * (n_a + n_b - both)
+
+
 def allowed(n: int, percent: int) -> int:
     """Most shingles in which a set of n and a larger one of enough similarity differ."""
     return n * (100 - percent) // percent
@@ -123,6 +155,19 @@ def _sets(column, k: int) -> tuple[np.ndarray, np.ndarray]:
     return BW.shingle_sets(BW.words(column, BW.NONBLANK), k)
 
 
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    cuts = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
+
+
+def _split(column) -> list[np.ndarray]:
+    """The rows of a list column as arrays."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return np.split(flat, np.cumsum(column.value_lengths().to_numpy())[:-1]) if len(column) else []
+
+
 def _long(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 
@@ -130,16 +175,17 @@ def _long(values: np.ndarray) -> pa.Array:
 # -- Spark ---------------------------------------------------------------------------------
 
 def shingle_table(docs: DataFrame, k: int) -> DataFrame:
-    """(id, n, key) per row of `docs` (id, text)."""
+    """(id, n, key, bits) per row of `docs` (id, text)."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in BW.shards(batches, "text", SHARD_BYTES):
             values, cut = _sets(part.column(1), k)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(np.diff(cut)), _long(set_keys(values, cut))], ["id", "n", "key"])
+                [part.column(0), pa.array(np.diff(cut)), _long(set_keys(values, cut)), _lists(parity_bits(values, cut))],
+                ["id", "n", "key", "bits"])
 
-    return docs.mapInArrow(run, f"id {kind}, n long, key long")
+    return docs.mapInArrow(run, f"id {kind}, n long, key long, bits array<long>")
 
 
 def bucket_members(docs: DataFrame, k: int, percent: int, parts: int) -> DataFrame:
@@ -325,39 +371,108 @@ def block_links(keys: np.ndarray, part: np.ndarray, items: list[np.ndarray], per
     return _spanning(linked, keys[left], keys[right])
 
 
-def dense_links(led: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that connect all that is linked within unresolved buckets (sig, key,
-    lead). Buckets of one centre form a cluster; its sets are dealt into blocks and every two
-    blocks meet in one task, which counts overlaps in small matrices and returns a spanning
-    forest only."""
-    clusters = led.select(F.col("lead").alias("cluster"), "key").distinct()
-    known = stored(clusters.join(sizes, "key").select("key", "n", "cluster"), "clusters")
+def near_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n_a, n_b): the pairs whose sizes and parity bits leave similarity possible."""
+    one, two = (nodes.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
+    sized = pairs.join(one, "a").join(two, "b").filter(
+        f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = _split(batch.column(4)), _split(batch.column(5))
+            apart = np.zeros(batch.num_rows)
+            for r, (x, y) in enumerate(zip(one, two)):
+                words = min(len(x), len(y))
+                apart[r] = _bit_count(folded(x[None], words) ^ folded(y[None], words)).sum()
+            keep = may_link(batch.column(2).to_numpy(), batch.column(3).to_numpy(), apart, percent)
+            yield pa.RecordBatch.from_arrays(batch.columns[:4], ["a", "b", "n_a", "n_b"]).filter(pa.array(keep))
+
+    return sized.mapInArrow(run, "a long, b long, n_a long, n_b long")
+
+
+def survivors(keys: np.ndarray, part: np.ndarray, sizes: np.ndarray, comps: np.ndarray, bits: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of two blocks (or one) may link to one of another component."""
+    alive = np.zeros(len(keys), dtype=bool)
+    right = np.flatnonzero(part == 1) if part.any() else np.arange(len(keys))
+    width = np.array([len(x) for x in bits])
+    grids = {w: np.stack([bits[i] for i in np.flatnonzero(width == w)]) for w in np.unique(width).tolist()}
+    owners = {w: np.flatnonzero(width == w) for w in grids}
+    for w, mine in owners.items():
+        for v, others in owners.items():
+            if v > 2 * w or w > 2 * v:
+                continue      # sizes too far apart
+            others = others[np.isin(others, right)]
+            words = min(w, v)
+            rows, columns = folded(grids[w], words), folded(grids[v], words)[np.isin(owners[v], others)]
+            for begin in range(0, len(mine), 64):
+                some = mine[begin: begin + 64]
+                if part.any():
+                    some = some[part[some] == 0]
+                if not len(some) or not len(others):
+                    continue
+                chunk = rows[np.searchsorted(mine, some)]
+                apart = np.zeros((len(some), len(others)), dtype=np.int32)
+                for c in range(words):
+                    apart += _bit_count(chunk[:, c, None] ^ columns[None, :, c])
+                able = may_link(sizes[some][:, None], sizes[others][None, :], apart, percent)
+                able &= comps[some][:, None] != comps[others][None, :]
+                alive[some] |= able.any(axis=1)
+                alive[others] |= able.any(axis=0)
+    return alive
+
+
+def _cells(known: DataFrame) -> DataFrame:
+    """(cell, i, j, cluster, part, key, ...) for (cluster, key, n, ...): clusters dealt into
+    blocks, a row for every pair of blocks; small clusters share cells."""
     parts = known.groupBy("cluster").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     few = int(known.count() // BLOCK_SETS) + 1
     placed = known.join(parts, "cluster").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    cells = placed.select("cluster", "key", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "cluster", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("part"),
-        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(few))).otherwise(F.col("cluster")).alias("cell"))
-    met = cells.join(sets, "key").select("cell", "i", "j", "cluster", "part", "key", "frag", "items")
+    return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({
+        "i": F.least("block", "other"), "j": F.greatest("block", "other"), "part": (F.col("block") > F.col("other")).cast("int"),
+        "cell": F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(few))).otherwise(F.col("cluster"))}).drop(
+        "blocks", "block", "other")
+
+
+def _groups(cluster: np.ndarray) -> Iterator[slice]:
+    """Runs of equal values."""
+    edge = np.flatnonzero(np.concatenate([[True], cluster[1:] != cluster[:-1], [True]])) if len(cluster) else np.zeros(0, np.int64)
+    for begin, end in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        yield slice(begin, end)
+
+
+def likely_members(known: DataFrame, percent: int) -> DataFrame:
+    """(cluster, key) of the sets whose parity bits let them link to another component."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("cluster", "ascending"), ("key", "ascending")])
+        cluster, key, part, n, comp = (table[c].to_numpy() for c in ("cluster", "key", "part", "n", "comp"))
+        bits, alive = _split(table["bits"]), np.zeros(len(key), dtype=bool)
+        for g in _groups(cluster):
+            if g.stop - g.start > 1:
+                alive[g] = survivors(key[g], part[g], n[g], comp[g], bits[g], percent)
+        return table.select(["cluster", "key"]).filter(pa.array(alive))
 
-    def meet(table: pa.Table) -> pa.Table:
+    return _cells(known).groupBy("cell", "i", "j").applyInArrow(run, "cluster long, key long").distinct()
+
+
+def dense_links(known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect all that is linked within clusters (cluster, key, n). Every
+    two blocks of a cluster meet in one task, which counts overlaps in small matrices and
+    returns a spanning forest only."""
+    met = _cells(known).join(sets, "key").select("cell", "i", "j", "cluster", "part", "key", "frag", "items")
+
+    def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("cluster", "ascending"), ("key", "ascending"), ("frag", "ascending")])
         cluster, key, part = (table[c].to_numpy() for c in ("cluster", "key", "part"))
-        lists = table["items"].combine_chunks()
-        flat, cut = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
-        head = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cluster[1:] != cluster[:-1])])) if len(key) else np.zeros(0, np.int64)
-        stop = np.append(head[1:], len(key))
-        out: list[tuple[int, int]] = []
-        group = np.flatnonzero(np.concatenate([[True], cluster[head][1:] != cluster[head][:-1]])) if len(head) else head
-        for begin, end in zip(group.tolist(), np.append(group[1:], len(head)).tolist()):
-            h = head[begin:end]
-            items = [flat[cut[x]: cut[y]] for x, y in zip(h, stop[begin:end])]
-            out += block_links(key[h], part[h], items, percent)
+        items, out = _split(table["items"]), []
+        for g in _groups(cluster):
+            sets_at = [slice(g.start + x.start, g.start + x.stop) for x in _groups(key[g])]
+            head = np.array([x.start for x in sets_at])
+            out += block_links(key[head], part[head], [np.concatenate(items[x]) for x in sets_at], percent)
         a, b = zip(*out) if out else ((), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return met.groupBy("cell", "i", "j").applyInArrow(meet, "a long, b long")
+    return met.groupBy("cell", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
@@ -368,7 +483,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     """
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     table = stored(shingle_table(slim, k), "sets")
-    nodes = stored(table.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n")), "nodes")
+    nodes = stored(table.filter("n > 0").groupBy("key").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
+    table = table.drop("bits")
     total = nodes.agg(F.sum("n")).first()[0] or 0
     members = stored(bucket_members(slim, k, percent, int(total // PART_SHINGLES) + 1).distinct(), "members")
     comps = None
@@ -387,27 +504,29 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
 
 
 def _grow(slim: DataFrame, nodes: DataFrame, members: DataFrame, k: int, percent: int, unique: bool) -> DataFrame | None:
-    wanted = stored(nodes.join(members.select("key").distinct(), "key").filter("id IS NOT NULL").select("id", "key", "n"), "wanted")
-    sets = stored(fragment_table(slim, wanted.select("id", "key"), k, unique), "fragments")
-    sizes = wanted.select("key", "n")
+    nodes = nodes.filter("id IS NOT NULL")
     led = centres(members)
     star = led.filter("key <> lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
-    likely = star.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").filter(
-        f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    found = overlaps(stored(likely, "pairs"), sets)
+    pairs = stored(near_pairs(star, nodes, percent), "pairs")
+
+    def sets_of(keys: DataFrame) -> DataFrame:
+        return stored(fragment_table(slim, stored(nodes.join(keys.distinct(), "key").select("id", "key"), "wanted"), k, unique), "fragments")
+
+    found = overlaps(pairs, sets_of(pairs.select(F.col("a").alias("key")).union(pairs.select("b"))))
     edges = stored(found.filter(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b"), "links")
     comps = None if edges.isEmpty() else components(edges)
     # A bucket within one component is done, and one of two sets, which have been compared.
     left = _with_comps(led, comps)
     spread = left.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("c")).filter(
         "x <> y AND c > 2").select("sig")
-    rest = stored(led.join(spread, "sig", "left_semi"), "rest")
-    if rest.isEmpty():
-        return comps
-    more = stored(dense_links(rest, sizes, sets, percent), "dense")
-    if more.isEmpty():
+    rest = left.join(spread, "sig", "left_semi").select(F.col("lead").alias("cluster"), "key", "comp").distinct()
+    known = stored(rest.join(nodes.select("key", "n", "bits"), "key"), "clusters")
+    live = stored(likely_members(known, percent), "live")
+    if live.isEmpty():
         return comps
-    return components(edges.union(more))
+    sized = stored(live.join(nodes.select("key", "n"), "key"), "clusters")
+    more = stored(dense_links(sized, sets_of(live.select("key")), percent), "dense")
+    return comps if more.isEmpty() else components(edges.union(more))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
