@@ -187,3 +187,20 @@ def test_safe_boundaries():
         parts = split_text(text, 5)
         assert " ".join(parts) == text
         assert all(not re.match(r"[ ▁]", p) for p in parts[1:])
+
+
+def test_parity_bits_never_hide_a_link():
+    r = np.random.default_rng(6)
+    base = r.integers(0, 1 << 63, 700).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    for n in (1, 5, 63, 64, 65, 129, 500):
+        for m in {n, max(1, n - 1), max(1, int(n * 0.9)), max(1, n // 2)}:
+            for shift in (0, n // 10, n // 3):
+                one, two = np.sort(base[:n]), np.sort(base[shift: shift + m])
+                x, y = N.parity_bits(np.concatenate([one, two]), np.array([0, n, n + m]))
+                words = min(len(x), len(y))
+                apart = int(N._bit_count(N.folded(x[None], words) ^ N.folded(y[None], words)).sum())
+                different = len(set(one.tolist()) ^ set(two.tolist()))
+                assert apart <= different and (different - apart) % 2 == 0
+                alive = N.survivors(np.array([2, 4]), np.zeros(2, np.int64), np.array([n, m]), np.array([2, 4]), [x, y], 80)
+                both = (n + m - different) / 2
+                assert alive.all() or 100 * both < 80 * (n + m - both)
