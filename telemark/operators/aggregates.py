@@ -90,7 +90,14 @@ def total_per_hour(stats: DataFrame, store: Store | None = None) -> DataFrame:
     """
     keyed = stats.withColumn("window_start", F.date_trunc("hour", "device_ts"))
     totals = keyed.groupBy("site_id", "window_start").agg(F.count("*").alias("total_ifaces"))
-    return attach(keyed, totals, ["site_id", "window_start"], "inner", store=store)
+    # Rows without site or hour have a total as well: they meet under stand-ins.
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumns({
+            "_site": F.coalesce(F.concat(F.lit("="), "site_id"), F.lit("")),
+            "_hour": F.coalesce(F.unix_timestamp("window_start"), F.lit(-1))})
+
+    totals = named(totals).drop("site_id", "window_start")
+    return attach(named(keyed), totals, ["_site", "_hour"], "inner", store=store).drop("_site", "_hour")
 
 
 def hourly_features(stats: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-# A side is broadcast only when Catalyst's size estimate is below this bound
-# (for stored tables the estimate is the size of their compressed files).
-BROADCAST_BYTES = 32 * 1024 * 1024
+# A side is broadcast only when Catalyst's size estimate is below this bound. For
+# stored tables the estimate is the size of their compressed files, several times
+# less than the rows take in memory, so the bound is well below what would fit.
+BROADCAST_BYTES = 8 * 1024 * 1024
 # Above the bound the fact side is spread over this many salts per key.
 SALTS = 16
 

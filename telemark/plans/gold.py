@@ -1,6 +1,8 @@
 """Gold layer: hourly site health and debounced anomaly windows."""
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,6 +69,35 @@ def site_health_touched(
     return site_health(part(stats), part(syslogs), refreshed_at)
 
 
+def site_health_recent(
+    stats: DataFrame, syslogs: DataFrame, promoted: DataFrame, as_of: Column,
+    store: Store | None = None, hours: int = 25,
+) -> DataFrame:
+    """Health of the last `hours` hours, from a whole hour on, and of older hours that
+    received late rows."""
+    begin = F.date_trunc("hour", as_of - F.expr(f"INTERVAL {hours} HOURS"))
+    older = promoted.filter(F.col("device_ts") < begin)
+
+    def since(df: DataFrame) -> DataFrame:
+        return C.since(df, begin, "device_ts")
+
+    def before(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("device_ts") < begin)
+
+    late = site_health_touched(before(stats), before(syslogs), older, as_of, store)
+    return site_health(since(stats), since(syslogs), as_of).unionByName(late)
+
+
+def closed_windows(stats: DataFrame, as_of: datetime, hours: int = 25, width: int = 4) -> DataFrame:
+    """Rows of the windows of `width` hours that end within the last `hours` hours: each
+    whole, none still open."""
+    span = width * 3600
+    end = int(as_of.timestamp()) // span * span
+    begin = -(-(int(as_of.timestamp()) - hours * 3600) // span) * span
+    at = [F.timestamp_seconds(F.lit(x)) for x in (begin, end)]
+    return C.since(stats, at[0], "device_ts").filter(F.col("device_ts") < at[1])
+
+
 def anomaly_windows(
     stats: DataFrame, width: str = "5 minutes", min_count: int = 3,
     tiebreak: tuple[str, ...] = (),

@@ -6,7 +6,7 @@ same day replaces its output. Streams use batch ids from 0 up, jobs negative one
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from telemark.plans import validation as VA
 from telemark.schema import PARTITIONS, SEASON_KEYS, TABLES, ddl, struct
 from telemark.sinks.tables import align, read_batches, write_micro_batch
 
-LOGS = {"dlq_log": RP.DLQ_LOG, "pending_log": RP.PENDING_LOG}
+LOGS = {"dlq_log": RP.DLQ_LOG, "pending_log": RP.PENDING_LOG, "replays_seen": "upto bigint"}
 
 
 @dataclass
@@ -41,6 +41,10 @@ class Jobs:
     def now(self):
         return F.lit(self.as_of).cast("timestamp")
 
+    def version(self, step: int):
+        """The `valid_from` of a weekly step: later steps win over earlier ones of a run."""
+        return F.lit(self.as_of + timedelta(seconds=step)).cast("timestamp")
+
     def batches(self, table: str) -> DataFrame:
         schema = LOGS.get(table) or ddl(table)
         return read_batches(
@@ -80,28 +84,61 @@ class Jobs:
             waiting, self.inventory(), self.params(), self.keys, at=self.now())
         self.write(replay.silver, "silver_interface_stats", 2)
         self.write(replay.quarantine, "silver_dlq_quarantine", 2)
-        retried = replay.retry.select("raw_payload", "device_id", F.lit(RP.RETRY).alias("resolution"))
+        retried = RP.parked(replay.retry).select(
+            "record_key", "raw_payload", "device_id", F.lit(RP.RETRY).alias("resolution"))
         closed = replay.log.select(
-            "raw_payload", F.lit(None).cast("string").alias("device_id"), "resolution")
+            "record_key", "raw_payload", F.lit(None).cast("string").alias("device_id"), "resolution")
         self.write(closed.unionByName(retried).distinct(), "pending_log")
 
     def promoted(self) -> DataFrame:
-        """Silver rows this run's replays added."""
+        """Silver rows that replays added: those of this run, and of the streams since the
+        last run."""
         ours = F.col("batch_id").isin(self.run * 10 - 1, self.run * 10 - 2)
-        return self.batches("silver_interface_stats").filter(ours).drop("batch_id")
+        seen = self.read_before("replays_seen").agg(F.max("upto")).first()[0]
+        streamed = F.col("batch_id") >= (RP.REPLAY_BATCH if seen is None else seen + 1)
+        return self.batches("silver_interface_stats").filter(ours | streamed).drop("batch_id")
+
+    def backfill(self, since: datetime, until: datetime, sites: list[str] | None = None) -> None:
+        """Bronze readings of a span of days (and of some sites) through the stream's steps
+        into silver, quarantine and parking. Run again, it replaces what it wrote."""
+        days = F.col("_partition_date").between(F.lit(since.date()), F.lit(until.date()))
+        bronze = self.read("bronze_interface_stats").filter(days)
+        inventory = self.inventory()
+        silver, dlq, pending = RP.silver_routes(bronze, inventory, self.params(), self.keys)
+        if sites:
+            # Invalid and unknown devices have no site: only the enriched rows can be narrowed.
+            silver = silver.filter(F.col("site_id").isin(sites))
+        self.write(silver, "silver_interface_stats", 3)
+        self.write(dlq, "silver_dlq_quarantine", 3)
+        self.write(pending, "silver_pending_enrichment", 3)
+
+    def note_replays(self) -> None:
+        """Remember up to which stream replay gold is refreshed."""
+        streamed = self.batches("silver_interface_stats").filter(F.col("batch_id") >= RP.REPLAY_BATCH)
+        self.write(streamed.agg(F.max("batch_id").alias("upto")).filter("upto IS NOT NULL"), "replays_seen")
 
     def refresh_gold(self, all_hours: bool = False) -> None:
-        """Health of the touched hours (or of all), and anomaly windows of the last day."""
+        """Health of the last 25 whole hours and of older touched ones (or of all hours),
+        and anomaly windows of the last day. Flat windows count once they are closed."""
         stats, logs = self.read("silver_interface_stats"), self.read("silver_syslogs")
         if all_hours:
             health = G.site_health(stats, logs, self.now())
         else:
-            health = G.site_health_touched(stats, logs, self.promoted(), self.now())
+            health = G.site_health_recent(stats, logs, self.promoted(), self.now(), self.keep("touched"))
         self.write(health, "gold_site_health_hourly")
         recent = G.trailing(stats, self.now())
-        flat = to_flatline_flags(flat_windows(recent), F.col("w.end"))
+        flat = to_flatline_flags(flat_windows(G.closed_windows(stats, self.as_of)), F.col("w.end"))
         bursts = G.syslog_bursts(G.trailing(logs, self.now()))
         self.write(G.all_anomalies(G.anomaly_windows(recent), flat, bursts), "gold_anomaly_flags")
+        self.note_replays()
+
+    def keep(self, label: str):
+        """A store for small intermediate tables of this run."""
+        def store(df: DataFrame) -> DataFrame:
+            path = f"{self.root}/_{label}/run={self.run}"
+            df.write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+        return store
 
     def detect_and_validate(self, model: str) -> None:
         """Forest verdicts of the last day next to the ingest flags."""
@@ -109,6 +146,8 @@ class Jobs:
         recent = G.trailing(self.read("silver_interface_stats"), self.now())
         hits = IF.detect(hourly_features(recent), forest)
         self.write(hits, "gold_anomaly_flags", 1)
+        # Read back what was written: the forest scores each hour once.
+        hits = self.batches("gold_anomaly_flags").filter(F.col("batch_id") == self.run * 10 - 1)
         flagged = hits.select(*VA.KEYS, F.lit(1).alias("batch_flagged"))
         self.write(
             VA.validate_decisions(VA.ingest_hours(recent), flagged, self.now()), "anomaly_validation")
@@ -126,7 +165,7 @@ class Jobs:
         return B.confirmed_normal(self.read("silver_interface_stats"), self.now())
 
     def refresh_baselines(self) -> None:
-        self.write(B.refresh_params(self.normal(), self.now()), "device_baseline_params", 1)
+        self.write(B.refresh_params(self.normal(), self.version(0)), "device_baseline_params", 1)
 
     def train_forest(self, model: str) -> None:
         path = f"{self.root}/features/run={self.run}"
@@ -135,7 +174,7 @@ class Jobs:
         forest = IF.train(features)
         forest.save(self.spark, model)
         rules = IF.rules_text(IF.distill(IF.label(IF.score(features, forest), forest)))
-        published = IF.fan_out(features, B.baselines(self.normal()), rules, self.now())
+        published = IF.fan_out(features, B.baselines(self.normal()), rules, self.version(1))
         self.write(published, "device_baseline_params", 2)
 
     def detect_drift(self) -> None:
@@ -144,7 +183,7 @@ class Jobs:
         B.value_counts(split, SEASON_KEYS).write.mode("overwrite").parquet(path)
         counts = self.spark.read.parquet(path)
         history = self.read_before("device_baseline_params")
-        self.write(B.drift_params(counts, history, self.now()), "device_baseline_params", 3)
+        self.write(B.drift_params(counts, history, self.version(2)), "device_baseline_params", 3)
 
     def weekly(self, model: str) -> None:
         self.refresh_baselines()

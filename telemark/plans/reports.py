@@ -5,7 +5,7 @@ Each takes the frames it reads and, where it looks back from "now", an `as_of`.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemark.functions import columns as C
@@ -180,15 +180,25 @@ def health_alert(health: DataFrame) -> DataFrame:
 
 
 def ingest_stall(records: DataFrame, ts: str, width_seconds: int = 300) -> DataFrame:
-    """Buckets between the first and last record in which nothing arrived."""
+    """Gaps between the first and last record: from the first bucket in which nothing
+    arrived to the next in which something did, with the number of empty buckets.
+
+    Neighbours are sought among the buckets of a day; only a day's last bucket looks to the
+    first of the next day that has any. So no list of all buckets is ever built.
+    """
+    day = 86400
     seen = records.select(
         (F.floor(F.unix_timestamp(ts) / width_seconds) * width_seconds).alias("bucket")
-    ).filter(F.col("bucket").isNotNull()).distinct()
-    span = seen.agg(F.min("bucket").alias("a"), F.max("bucket").alias("b"))
-    every = span.filter("a IS NOT NULL").select(
-        F.explode(F.sequence("a", "b", F.lit(width_seconds))).alias("bucket"))
-    return every.join(seen, "bucket", "left_anti").select(
-        F.timestamp_seconds("bucket").alias("window_start"))
+    ).filter(F.col("bucket").isNotNull()).distinct().withColumn("day", F.floor(F.col("bucket") / day))
+    within = seen.withColumn("next", F.lead("bucket").over(Window.partitionBy("day").orderBy("bucket")))
+    days = seen.groupBy("day").agg(F.min("bucket").alias("first"), F.max("bucket").alias("last"))
+    # One row per day that has any record.
+    across = days.select(F.col("last").alias("bucket"), F.lead("first").over(Window.orderBy("day")).alias("next"))
+    gaps = within.select("bucket", "next").unionByName(across).filter(F.col("next") > F.col("bucket") + width_seconds)
+    return gaps.select(
+        F.timestamp_seconds(F.col("bucket") + width_seconds).alias("window_start"),
+        F.timestamp_seconds("next").alias("window_end"),
+        (F.floor((F.col("next") - F.col("bucket")) / width_seconds) - 1).cast("long").alias("missing"))
 
 
 def rate_by_status(routed: DataFrame, ts: str, topic: str = "_source_topic") -> DataFrame:

@@ -1,5 +1,5 @@
 """Replay of parked and quarantined records. Closing is by resolution log:
-rows are never changed in place, a log row with the payload closes them, and a
+rows are never changed in place, a log row with their key closes them, and a
 second run finds nothing left to do."""
 from __future__ import annotations
 
@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 from telemark.functions import rules as R
 from telemark.operators import parse as P
 from telemark.operators.joins import attach, enrich
-from telemark.operators.route import ENRICHED, only, route_stats, validate_stats
+from telemark.operators.route import ENRICHED, INVALID, PENDING, only, route_stats, validate_stats
 from telemark.operators.score import score_ingest
 from telemark.schema import SEASON_KEYS
 from telemark.sinks.tables import delete_matched
 
 PROMOTED, PERMANENT, RETRY = "PROMOTED_TO_SILVER", "PERMANENT", "RETRY"
-PENDING_LOG = "raw_payload string, device_id string, resolution string"
+PENDING_LOG = "record_key string, raw_payload string, device_id string, resolution string"
 DLQ_LOG = (
-    "raw_payload string, source_topic string, quarantine_resolution string, reprocessed_at timestamp")
+    "record_key string, raw_payload string, source_topic string, quarantine_resolution string, "
+    "reprocessed_at timestamp")
 
 # Fixed decision per quarantine reason. Reasons not listed are permanent.
 ACTIONS = {
@@ -33,6 +34,20 @@ ACTIONS = {
     "FUTURE_TIMESTAMP": PERMANENT,
 }
 MAX_RETRIES = 3
+# Replays of a stream write to the silver table under batch ids from here on.
+REPLAY_BATCH = 10**12
+
+
+def record_key(at: str) -> Column:
+    """What a log row names the record it closes by: topic, payload and time of arrival,
+    NULLs included. The same text sent again, or to another topic, is another record."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+             for c in ("source_topic", "raw_payload", at)]
+    return F.sha2(F.concat_ws("\x1f", *parts), 256)
+
+
+def parked(pending: DataFrame) -> DataFrame:
+    return pending.withColumn("record_key", record_key("parked_at"))
 
 
 def action_for(reason: str = "quarantine_reason") -> Column:
@@ -94,7 +109,7 @@ def decide_dlq(dlq: DataFrame, inventory: DataFrame, by_reason: bool = True) ->
 def resolution_log(decided: DataFrame, at: Column | None = None) -> DataFrame:
     at = F.current_timestamp() if at is None else at
     return decided.select(
-        "raw_payload", "source_topic",
+        record_key("quarantined_at").alias("record_key"), "raw_payload", "source_topic",
         F.col("resolution").alias("quarantine_resolution"),
         at.alias("reprocessed_at"),
     )
@@ -114,10 +129,11 @@ def replay_dlq(
 
 def dlq_state(dlq: DataFrame, log: DataFrame) -> DataFrame:
     """Quarantine with the outcome of reprocessing, as readers see it."""
-    closed = log.groupBy("raw_payload").agg(
+    closed = log.groupBy("record_key").agg(
         F.max(F.struct("reprocessed_at", "quarantine_resolution")).alias("_l"))
-    return attach(dlq.drop("reprocessed", "reprocessed_at", "quarantine_resolution"),
-                  closed, "raw_payload", salts=1).select(
+    rows = dlq.drop("reprocessed", "reprocessed_at", "quarantine_resolution").withColumn(
+        "record_key", record_key("quarantined_at"))
+    return attach(rows, closed, "record_key", salts=1).select(
         "raw_payload", "quarantine_reason", "source_topic", "quarantined_at",
         F.col("_l").isNotNull().alias("reprocessed"),
         F.col("_l.reprocessed_at").alias("reprocessed_at"),
@@ -155,9 +171,10 @@ def replay_pending(
     left = attach(open_pending(pending), known.select("device_id"), "device_id", "left_anti")
     tried = left.withColumn("retry_count", F.col("retry_count") + 1)
     given_up = orphaned(tried, max_retries)
-    closed = promoted.select("raw_payload", "source_topic", F.lit(PROMOTED).alias("resolution"))
-    log = closed.unionByName(
-        given_up.select("raw_payload", "source_topic", F.lit("ORPHANED_DEVICE").alias("resolution")))
+    closed = parked(promoted).select(
+        "record_key", "raw_payload", "source_topic", F.lit(PROMOTED).alias("resolution"))
+    log = closed.unionByName(parked(given_up).select(
+        "record_key", "raw_payload", "source_topic", F.lit("ORPHANED_DEVICE").alias("resolution")))
     return Replay(
         silver=P.to_silver_stats(score_ingest(promoted, params, keys)),
         log=log.withColumn("enriched_at", at_col),
@@ -174,7 +191,8 @@ def orphaned(pending: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
 
 def still_open(pending: DataFrame, log: DataFrame) -> DataFrame:
     """Parked rows after a replay: those no log row closes."""
-    return delete_matched(open_pending(pending), log.select("raw_payload").distinct(), ["raw_payload"])
+    return delete_matched(
+        parked(open_pending(pending)), log.select("record_key").distinct(), ["record_key"]).drop("record_key")
 
 
 def silver_batch(
@@ -186,11 +204,26 @@ def silver_batch(
     return P.to_silver_stats(score_ingest(only(routed, ENRICHED), params, keys))
 
 
+def silver_routes(
+    bronze: DataFrame, inventory: DataFrame, params: DataFrame,
+    keys: tuple[str, ...] = SEASON_KEYS, extra: list[R.Rule] | None = None, at: Column | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All three routes of a bronze batch: scored silver, quarantine and parking.
+    Every row goes to exactly one of them."""
+    routed = route_stats(P.derive_stats(bronze), inventory, extra)
+    at = F.col("_ingested_at") if at is None else at
+    return (
+        P.to_silver_stats(score_ingest(only(routed, ENRICHED), params, keys)),
+        P.to_silver_dlq(only(routed, INVALID), "_raw_payload", topic="_source_topic", at=at),
+        P.to_silver_pending(only(routed, PENDING), "_raw_payload", "_source_topic", at=at),
+    )
+
+
 def with_retries(pending: DataFrame, log: DataFrame) -> DataFrame:
     """Parked rows no log row closes, with the retries the log counts for them."""
     closing = log.filter(F.col("resolution") != RETRY)
-    tries = log.filter(F.col("resolution") == RETRY).groupBy("raw_payload").agg(
+    tries = log.filter(F.col("resolution") == RETRY).groupBy("record_key").agg(
         F.count("*").cast("int").alias("_tries"))
-    left = attach(still_open(pending, closing), tries, "raw_payload", salts=1)
+    left = attach(parked(still_open(pending, closing)), tries, "record_key", salts=1)
     more = F.col("retry_count") + F.coalesce("_tries", F.lit(0))
-    return left.withColumn("retry_count", more).drop("_tries")
+    return left.withColumn("retry_count", more).drop("_tries", "record_key")

@@ -204,10 +204,9 @@ def _(t):
 
 @query("rpt_ingest_stall", """
     WITH seen AS (SELECT DISTINCT time_bucket(INTERVAL 5 MINUTE, ingested) AS b FROM stats)
-    SELECT b AS window_start FROM (
-        SELECT unnest(generate_series((SELECT min(b) FROM seen), (SELECT max(b) FROM seen),
-                                      INTERVAL 5 MINUTE)) AS b)
-    WHERE b NOT IN (SELECT b FROM seen)""")
+    SELECT b + INTERVAL 5 MINUTE AS window_start, next AS window_end,
+           CAST(date_diff('minute', b, next) // 5 - 1 AS BIGINT) AS missing
+    FROM (SELECT b, lead(b) OVER (ORDER BY b) AS next FROM seen) WHERE next > b + INTERVAL 5 MINUTE""")
 def _(t):
     return R.ingest_stall(t.stats, "_ingested_at")
 

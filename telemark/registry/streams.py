@@ -6,6 +6,7 @@ from telemark.operators import parse as P
 from telemark.operators import route as RT
 from telemark.plans import reports as R
 from telemark.plans.baseline import latest_params
+from telemark.plans import reprocess as RP
 from telemark.registry.base import query
 from telemark.schema import struct
 from telemark.session import scratch
@@ -176,9 +177,8 @@ def _(t):
     at = F.lit("2024-01-30 00:00:00").cast("timestamp")
     source = SS.file_raw(t.spark, land(t, inventory_messages(t, t.devices, at)))
     job.start(source, "inventory", once=True).awaitTermination()
-    return t.spark.read.parquet(job.path("silver_replayed")).select(
-        X.seq(),
-        "site_id", "role")
+    silver = t.spark.read.parquet(job.path("silver_interface_stats"))
+    return silver.filter(F.col("batch_id") >= RP.REPLAY_BATCH).select(X.seq(), "site_id", "role")
 
 
 @query("st_baseline_ttl", """

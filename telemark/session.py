@@ -38,13 +38,15 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: the cluster's checkpoint folder.
 
-    Only where the session names none (tests on one machine) is a local
-    temporary folder made, and then named in the session for later calls.
+    Only where the session names none and its master is local (tests on one
+    machine) is a temporary folder made, and then named in the session for later calls.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
     base = spark.conf.get("spark.telemark.scratch", None)
+    if not base and not spark.conf.get("spark.master", "local").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.telemark.scratch", base)

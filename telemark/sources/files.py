@@ -40,11 +40,11 @@ def run_sql_counted(spark: SparkSession, text: str, **views: DataFrame) -> tuple
     return rows, rows.agg(F.count("*").alias("row_count"))
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 42, partitions: int = 4) -> DataFrame:
-    """Reproducible sample; below full size the partitions shrink with it."""
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """Reproducible sample, taken where the rows are read."""
     if fraction >= 1.0:
         return df
-    return df.sample(fraction=fraction, seed=seed).coalesce(partitions)
+    return df.sample(fraction=fraction, seed=seed)
 
 
 def cap_rows(df: DataFrame, max_rows: int = 0) -> DataFrame:

@@ -131,8 +131,11 @@ class SilverJob:
             (F.col("resolution") != RP.RETRY) & (F.col("batch_id") < batch_id))
         waiting = RP.for_devices(RP.still_open(pending, closed), arrived)
         promoted = RP.promote_pending(waiting, inventory)
-        self._write(P.to_silver_stats(self._score(promoted)), batch_id, "silver_replayed")
-        log = promoted.select("raw_payload", "device_id", F.lit(RP.PROMOTED).alias("resolution"))
+        # Into the silver table itself, under ids apart from those of the interface stream.
+        self._write(P.to_silver_stats(self._score(promoted)), RP.REPLAY_BATCH + batch_id,
+                    "silver_interface_stats")
+        log = RP.parked(promoted).select(
+            "record_key", "raw_payload", "device_id", F.lit(RP.PROMOTED).alias("resolution"))
         self._write(log.distinct(), batch_id, "pending_log")
 
     def _read(self, table: str, schema: str, spark: SparkSession) -> DataFrame:

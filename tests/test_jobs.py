@@ -36,8 +36,12 @@ def test_weekly_then_nightly(spark, jobs):
     jobs.nightly(model)
     added = jobs.read("silver_interface_stats").count() - before
     assert added == jobs.promoted().count() > 0
-    touched = jobs.promoted().select("site_id", F.date_trunc("hour", "device_ts")).distinct().count()
-    assert jobs.read("gold_site_health_hourly").count() == touched
+    begin = F.lit(AS_OF).cast("timestamp") - F.expr("INTERVAL 25 HOURS")
+    hour = F.date_trunc("hour", "device_ts").alias("h")
+    recent = jobs.read("silver_interface_stats").filter(F.col("device_ts") >= begin).select("site_id", hour)
+    touched = jobs.promoted().select("site_id", hour)
+    assert recent.count() > 0
+    assert jobs.read("gold_site_health_hourly").count() == recent.union(touched).distinct().count()
     assert jobs.read("anomaly_validation").count() > 0
 
     jobs.nightly(model)  # the same day again replaces, it does not add
@@ -47,4 +51,49 @@ def test_weekly_then_nightly(spark, jobs):
     later.nightly()
     assert later.promoted().count() == 0
     tries = later.read("pending_log").filter(F.col("resolution") == RP.RETRY)
-    assert tries.groupBy("raw_payload").count().agg(F.max("count")).first()[0] in (1, 2, None)
+    assert tries.groupBy("record_key").count().agg(F.max("count")).first()[0] in (1, 2, None)
+
+
+def test_drift_wins_over_the_baseline_of_the_same_run(spark):
+    """A downward drift is what readers get, though the refreshed mean is greater."""
+    jobs = Jobs(spark, scratch(spark, "versions"), AS_OF, partitions={})
+    row = "struct('d' AS device_id, 'e' AS interface_name, 1 AS hour_of_day, 1 AS day_of_week)"
+    for step, mean in ((2, 20.0), (0, 50.0), (1, 50.0)):
+        slot = spark.range(1).selectExpr(f"{row} AS r").select("r.*").withColumns({
+            "baseline_mean": F.lit(mean), "baseline_std": F.lit(float(step)), "valid_from": jobs.version(step)})
+        jobs.write(slot, "device_baseline_params", step + 1)
+    got = jobs.params().collect()
+    assert len(got) == 1 and got[0]["baseline_mean"] == 20.0
+
+
+def test_replay_closes_null_payloads_and_keeps_repeated_texts_apart(spark):
+    rows = [(None, "NULL_FIELD", "a", datetime(2024, 1, 1)), ("x", "NULL_FIELD", "a", datetime(2024, 1, 1)),
+            ("x", "NULL_FIELD", "b", datetime(2024, 1, 1)), ("x", "NULL_FIELD", "a", datetime(2024, 1, 2))]
+    dlq = spark.createDataFrame(rows, "raw_payload string, quarantine_reason string, source_topic string, quarantined_at timestamp").withColumns(
+        {"reprocessed": F.lit(False), "reprocessed_at": F.lit(None).cast("timestamp"),
+         "quarantine_resolution": F.lit(None).cast("string"), "_partition_date": F.lit(None).cast("date")})
+    log = RP.resolution_log(dlq.filter("raw_payload IS NULL OR (source_topic = 'a' AND quarantined_at < '2024-01-02')").withColumn(
+        "resolution", F.lit(RP.PERMANENT)))
+    left = RP.open_dlq(RP.dlq_state(dlq, log)).select("source_topic", F.dayofmonth("quarantined_at").alias("d")).collect()
+    assert sorted(tuple(r) for r in left) == [("a", 2), ("b", 1)]
+
+
+def test_backfill_keeps_every_row(spark):
+    t = X.Tables(spark, SF)
+    jobs = Jobs(spark, scratch(spark, "backfill"), AS_OF, partitions={})
+    start = Jobs(spark, jobs.root, datetime(2024, 1, 1, tzinfo=timezone.utc), partitions={})
+    start.write(t.stats.withColumn("_partition_date", F.to_date("_ingested_at")), "bronze_interface_stats")
+    start.write(t.inventory.withColumn("_ingested_at", F.lit("2024-01-01").cast("timestamp")), "bronze_inventory")
+    jobs.backfill(datetime(2000, 1, 1), datetime(2100, 1, 1))
+    parts = [jobs.read(n).count() for n in ("silver_interface_stats", "silver_dlq_quarantine", "silver_pending_enrichment")]
+    assert sum(parts) == t.stats.count() and min(parts) > 0
+
+
+def test_a_cluster_must_name_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from telemark.session import shared_folder
+
+    conf = {"spark.master": "spark://somewhere:7077"}
+    with pytest.raises(RuntimeError):
+        shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d))))

@@ -184,12 +184,12 @@ def test_replay_batch_can_be_retried(spark, t):
     messages = inventory_messages(t, t.devices, F.lit(T0)).withColumnRenamed(
         "_ingested_at", "kafka_ts")
     job.inventory_batch(messages, 0)
-    once = spark.read.parquet(job.path("silver_replayed")).count()
+    once = spark.read.parquet(job.path("silver_interface_stats")).count()
     job.inventory_batch(messages, 0)
-    spark.catalog.refreshByPath(job.path("silver_replayed"))
-    assert spark.read.parquet(job.path("silver_replayed")).count() == once > 0
+    spark.catalog.refreshByPath(job.path("silver_interface_stats"))
+    assert spark.read.parquet(job.path("silver_interface_stats")).count() == once > 0
     job.inventory_batch(messages, 1)
-    assert spark.read.parquet(job.path("silver_replayed")).count() == once
+    assert spark.read.parquet(job.path("silver_interface_stats")).count() == once
 
 
 def test_health_stream_plan_equals_batch_plan(t):
