@@ -126,11 +126,6 @@ def flat_windows_sliding(
     )
 
 
-def flat_kind(var: str = "variance", near_eps: float = 0.01) -> Column:
-    """FLATLINE at variance 0, NEAR_FLATLINE below `near_eps`, else NULL."""
-    return F.when(F.col(var) == 0, "FLATLINE").when(F.col(var) < near_eps, "NEAR_FLATLINE")
-
-
 def to_flatline_flags(windows: DataFrame, detected_at: Column | None = None) -> DataFrame:
     at = F.current_timestamp() if detected_at is None else detected_at
     return windows.select(

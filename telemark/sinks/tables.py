@@ -145,8 +145,3 @@ def delete_matched(table: DataFrame, matched: DataFrame, keys: Iterable[str]) ->
     """The table without rows that have a match (NULL keys never match)."""
     keys = list(keys)
     return attach(table, matched.select(*keys), keys, "left_anti", salts=1)
-
-
-def open_rows(table: DataFrame, log: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Rows not yet closed by the append-only resolution log."""
-    return delete_matched(table, log, keys)

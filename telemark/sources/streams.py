@@ -5,8 +5,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-DEFAULT_RATE = 1200
-
 
 def kafka_options(
     servers: str, topic: str, group: str, max_offsets: int | None = None,

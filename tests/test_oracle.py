@@ -8,9 +8,6 @@ from telemark.registry import oracles, registered
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = registered(), oracles()
-# Model queries train several forests; tests/test_forest.py checks the model itself.
-SLOW = {"if_persist", "if_distill", "job_if_train", "doc_rules_at_ingest", "join_stream_static",
-        "st_interface_routes", "sort_within_files", "rpt_batch_p99"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
@@ -20,14 +17,14 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_oracle(spark, con, name):
     df = QUERIES[name](spark, SF)
     assert compare(df, con, SQL[name]) is None
     assert types(df, con, SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, name):
     assert len(QUERIES[name](spark, SF).limit(1).collect()) == 1
 
