@@ -33,7 +33,7 @@ from telemark.llm import bytewords as BW
 
 WIDTH = 10
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 
 
 # -- suffix array ----------------------------------------------------------------------

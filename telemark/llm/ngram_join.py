@@ -46,7 +46,7 @@ from telemark.llm.tables import restrict, stored
 
 FRAGMENTS = 8            # of the overlap count
 PART_SHINGLES = 1 << 20  # shingles per partition of the signature shuffle
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20  # of a block of a cluster
 WIDTH = 1024             # shingles per fragment in a block
 _ENTRY = np.dtype([("sig", "<u8"), ("key", "<u8")])
