@@ -284,3 +284,25 @@ def test_recall_of_the_forest(spark):
         best = [v for v in ids[np.lexsort((ids, -s))][:21] if v != q][:20]
         shares.append(len(found & {int(v) for v in best}) / 20)
     assert np.mean(shares) >= 0.9
+
+
+def test_licenses_of_headers_and_whole_files(spark):
+    full = dict(reversed(L.texts()))
+    gpl = [t for n, t in L.HEADERS if n == "GPL-3.0"][1].split(" ")
+    wrapped = "/*\n * Copyright (C) 2020 Jane Doe\n *\n" + "".join(f" * {' '.join(gpl[i: i + 9])}\n" for i in range(0, len(gpl), 9)) + " */\nint main() { return 0; }\n" * 40
+    rows = [
+        ("MIT", "m/LICENSE", "MIT License\n\nCopyright (c) 2024 Jane Doe\n\n" + full["MIT"].split("\n\n", 1)[1]),
+        ("MIT", "m/x.py", "# " + full["MIT"].split("\n\n")[1].replace(", ", ",\n# ") + "\n\nimport os\n" + "x = f(y)\n" * 50),
+        ("ISC", "i/COPYING", "Copyright (c) 2024 Jane Doe\n\n" + full["ISC"].split("\n\n", 1)[1]),
+        ("GPL-3.0", "g/a.c", wrapped), ("GPL-3.0", "g/COPYING", full["GPL-3.0"]), ("GPL-2.0", "h/COPYING", full["GPL-2.0"]),
+        ("Apache-2.0", "a/LICENSE.txt", full["Apache-2.0"]), ("BSD-3-Clause", "b/LICENSE", full["BSD-3-Clause"]), ("BSD-2-Clause", "b2/LICENSE", full["BSD-2-Clause"]),
+        ("MIT", "s/a.rs", "// SPDX-License-Identifier: MIT\nfn main() {}"), ("EUPL-1.2", "s/b.rs", "/* SPDX-License-Identifier: EUPL-1.2 */\nfn main() {}"),
+        ("MIT OR Apache-2.0", "s/c.rs", "// SPDX-License-Identifier: MIT OR Apache-2.0\nfn main() {}"),
+        ("Apache-2.0", "w/a.txt", "Some words\nLicensed under the Apache\nLicense, Version 2.0.\nMore words"),
+        ("Proprietary", "p/a.txt", "Words.\nAll rights reserved."), ("MIT", "p/b.txt", "All rights reserved.\nThis is released under the MIT License."),
+        (None, "q/a.txt", "# a free software of words\n" + "nothing else at all\n" * 20000)]
+    files = spark.createDataFrame([(i, r[2], r[1]) for i, r in enumerate(rows)], "doc_id long, text string, path string")
+    got = {r.doc_id: r.own_license for r in L.scan(files, L.template_table(spark)).collect()}
+    assert [got[i] for i in range(len(rows))] == [r[0] for r in rows]
+    import re
+    assert all(re.search(L.BLOCK_CUE, t) for _, t in [*L.TEMPLATES, *L.HEADERS, *L.texts()])
