@@ -1,7 +1,8 @@
 """Conflict-constrained best-fit packing of documents into training sequences.
 
 A bin (sequence) holds `capacity` words, at most one document of a source and at most
-one of a duplicate cluster. Bins are kept ordered by the room they have left and carry a
+one of a duplicate cluster: a group of near copies (ngram_join.link: five-word shingles,
+similarity 0.8 or more, linked directly or through others). Bins are kept ordered by the room they have left and carry a
 bitmap of their sources and one of their clusters. A piece goes to the tightest bin that
 takes it: the search starts at the least room that suffices and goes on to the next bin
 in order until one has neither the piece's source nor its cluster; only if there is none
@@ -14,6 +15,9 @@ packed by one task. The bound is on rows, so a source with a third of all docume
 spread over all groups; groups share nothing, and a lost task packs its group again to
 the same result. Only ids, lengths and keys move, never texts.
 
+Near copies are sought among the texts of all rows, whatever their ids: a row is known by a
+hash of its id and text, so rows that share an id but not the text have their own clusters.
+
 Null source or cluster conflicts with nothing. Null, empty and blank texts have no words:
 one row with piece 0, n_words 0 and no bin. Repeated rows are packed each (their clusters
 keep them apart). Ties: longer first, then smaller id, then smaller piece; among bins of
@@ -30,30 +34,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemark.llm import bytewords as BW
+from telemark.llm.ngram_join import link
 from telemark.llm.tables import stored
+from telemark.operators.joins import attach
 
 CAPACITY = 2048
 GROUP_PIECES = 1 << 14
+SHINGLE, PERCENT = 5, 80   # of near copies
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(id, source, n_words, cluster) per row: words between blanks, and a hash of the
-    lower-cased word sequence that copies share."""
+    """(id, source, n_words, cluster) per row: words between blanks, and the cluster of near
+    copies, null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in BW.shards(batches, "text"):
             found = BW.words(part.column(2), BW.NONBLANK)
-            n = np.diff(found.bounds)
-            place = np.arange(len(found.hashes)) - found.bounds[:-1][found.rows()]
-            total = np.zeros(len(found.hashes) + 1, dtype=np.uint64)
-            np.cumsum(BW.mix(found.hashes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), out=total[1:])
-            key = BW.mix(total[found.bounds[1:]] - total[found.bounds[:-1]] + n.astype(np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(n), pa.array(key, mask=n == 0)],
-                ["id", "source", "n_words", "cluster"])
+                [part.column(0), part.column(1), part.column(3), pa.array(np.diff(found.bounds))],
+                ["id", "source", "row", "n_words"])
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, f"id {slim.schema['id'].dataType.simpleString()}, source string, n_words long, cluster long")
+    slim = slim.withColumn("row", F.xxhash64("id", "text"))
+    sized = slim.mapInArrow(run, f"id {slim.schema['id'].dataType.simpleString()}, source string, row long, n_words long")
+    # Rows that are their own cluster's first need no entry.
+    linked = stored(link(slim.filter("text IS NOT NULL"), "row", "text", SHINGLE, PERCENT).filter(
+        "component_id <> row").groupBy("row").agg(F.min("component_id").alias("near")), "near-copies")
+    return attach(sized, linked, "row", "left").select(
+        "id", "source", "n_words", F.when(F.col("n_words") > 0, F.coalesce("near", "row")).alias("cluster"))
 
 
 def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int) -> list[tuple[int, int]]:
