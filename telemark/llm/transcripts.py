@@ -13,7 +13,8 @@ so one conversation with a third of all lines is solved as a tree: matrices upwa
 the best states at the chunk borders downward, then every chunk by itself. Tasks take
 buckets of many short sequences and step them together.
 
-Null and empty pieces have no lines. A null conversation id is a conversation of its own.
+A piece of null position comes before all others of its conversation, in a chunk of its
+own; its turn has a null start_seq. Null and empty pieces have no lines. A null conversation id is a conversation of its own.
 Pieces of equal position are read in order of their text; repeated rows are repeated
 lines. Columns other than the four named are not read.
 """
@@ -164,7 +165,12 @@ def recover(pieces: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray],
 
     read = stored(lines(pieces, conv, seq, text).withColumn("chunk", F.floor(F.col("seq") / CHUNK)), "lines")
     kind = read.schema["conv"].dataType.simpleString()
-    low, high, count = read.agg(F.min("chunk"), F.max("chunk"), F.count("*")).first()
+    low, high, count, placed = read.agg(F.min("chunk"), F.max("chunk"), F.count("*"), F.count("chunk")).first()
+    # From 1 on, for a division by CHUNK never brings a negative and a positive number together; null positions at 0.
+    base = min(low or 0, 0) - 1
+    read = read.withColumn("chunk", F.coalesce(F.col("chunk") - F.lit(base), F.lit(0).cast("long")))
+    if placed:
+        low, high = low - base if placed == count else 0, high - base
     buckets = int(count // BUCKET_LINES) + 1
     node, border = f"conv {kind}, idx long, score array<double>", f"conv {kind}, idx long, entry int, leave int"
 
