@@ -29,13 +29,9 @@ def _(t):
 
 
 def weekly_versions(t):
-    """Parameters as refreshed at the start of each of four weeks, from the rows before."""
-    weeks = t.spark.range(1, 5).select(
-        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("id").cast("int") * 7))
-        .alias("valid_from"))
-    day = F.expr("INTERVAL 7 DAYS")
-    quiet = P.season_keys(t.enriched).withColumn("_week", F.date_trunc("week", "device_ts"))
-    seen = quiet.join(F.broadcast(weeks), quiet._week + day == weeks.valid_from)
+    """Parameters as refreshed at the end of each week that has rows, from the rows of that week."""
+    seen = P.season_keys(t.enriched).filter("device_ts IS NOT NULL").withColumn(
+        "valid_from", (F.date_trunc("week", "device_ts") + F.expr("INTERVAL 7 DAYS")).cast("timestamp"))
     keys = ("site_id", "interface_name")
     return keys, seen.groupBy(*keys, "valid_from").agg(
         F.avg("effective_util_in").alias("baseline_mean"),
