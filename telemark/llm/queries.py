@@ -172,3 +172,11 @@ def op5(spark, sf_dir):
     raw = R.raw_transcripts(table(spark, sf_dir, "conversations"))
     model = R.train(R.lines(raw, keep=("role",)))
     return R.turns(R.recover(raw, model))
+
+
+@query("op13_token_alignment")
+def op13(spark, sf_dir):
+    import public_tokenizers
+    from telemark.llm.alignment import align_documents
+    paths = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align_documents(table(spark, sf_dir, "documents"), *paths, hashed=True)
