@@ -13,9 +13,10 @@ The totals return to a shard for its own distinct pairs, once per shard and not
 document, and each document then reads its pairs' totals there. No key gathers rows: the
 shuffles hold one row per pair and shard, and partial sums are taken before them.
 
-Memory. Long texts are encoded in parts cut at single blanks between two characters that are
-neither blank nor the word mark, where neither tokenizer has a token reaching over (for B
-checked when it is loaded; A starts a new word there). Links are made in slices of at most
+Encoding. Texts are cut into units at single blanks between two characters that are neither
+blank nor the word mark, where neither tokenizer has a token reaching over (for B checked
+when it is loaded; A starts a new word there). A task encodes each unit once, in batches of
+bounded bytes, and forgets all when its store is full. Links are made in slices of at most
 SLICE_LINKS, so a group with many tokens on both sides is never expanded at once; what stays
 is one row per distinct pair of a document.
 
@@ -33,6 +34,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +49,10 @@ from telemark.llm.token_counts import MARK, _load
 from telemark.operators.joins import attach
 
 SHARD_BYTES = 1 << 20    # text bytes tallied together
-ENCODE_BYTES = 1 << 17   # text bytes in one call of an encoder
-SPLIT_CHARS = 2000       # a long text is cut at the first safe boundary after so many
+ENCODE_BYTES = 1 << 16   # text in one call of an encoder
+CACHE_BYTES = 1 << 22    # unit text whose encodings are kept
 SLICE_LINKS = 1 << 22    # links expanded at once
-_SAFE = re.compile(rf".{{{SPLIT_CHARS}}}.*?(?<=[^\s{MARK}]) (?=[^\s{MARK}])", re.S)
+_SAFE = re.compile(rf"(?<=[^\s{MARK}]) (?=[^\s{MARK}])")
 _HEX = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
 
@@ -92,49 +94,97 @@ def _model_b(path: str):
     return model, pa.array(entries, pa.large_binary())
 
 
-def parts_of(text: str) -> list[str]:
+def units_of(text: str) -> list[str]:
     """Parts whose encodings together are that of the text; the blank at a cut is dropped,
     as a space comes before every part again."""
-    parts, at = [], 0
-    while len(text) - at > SPLIT_CHARS and (found := _SAFE.match(text, at)):
-        parts.append(text[at: found.end() - 1])
-        at = found.end()
-    parts.append(text[at:])
-    return parts
+    return _SAFE.split(text)
+
+
+def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array(list(chain.from_iterable(found)), dtype=np.int32), np.array([len(x) for x in found], dtype=np.int64)
+
+
+class Units:
+    """Token ids of text units under both tokenizers; what has been encoded is kept, up to
+    CACHE_BYTES of unit text, and then forgotten."""
+
+    def __init__(self, path_a: str, path_b: str):
+        (self.a, entries), self.b = _model_a(path_a), _model_b(path_b)[0]
+        self.sizes = pc.binary_length(entries).to_numpy()
+        self.known: dict[str, int] = {}
+        self.size = 0
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known.clear()
+        self.size = 0
+        self.ids = [[np.zeros(0, np.int32)], [np.zeros(0, np.int32)]]
+        self.lengths = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+
+    def _learn(self, fresh: list[str]) -> None:
+        begin = 0
+        while begin < len(fresh):
+            end, size = begin, 0
+            while end < len(fresh) and size < ENCODE_BYTES:
+                size += len(fresh[end])
+                end += 1
+            batch = fresh[begin: end]
+            for side, (ids, lengths) in enumerate((self._encode_a(batch), _flat(self.b.encode(batch, num_threads=1)))):
+                self.ids[side].append(ids)
+                self.lengths[side].append(lengths)
+            self.size += size
+            begin = end
+
+    def _encode_a(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units, tokens of each). Units are encoded as one text with blanks between,
+        which has their tokens, and cut apart by bytes; if the bytes do not fit, one by one."""
+        spaced = [" " + u for u in batch]
+        ids, _ = _flat([e.ids for e in self.a.encode_batch(["".join(spaced)], add_special_tokens=False)])
+        ends = np.cumsum(self.sizes[ids])
+        wanted = np.cumsum([len(u.encode()) for u in spaced])
+        place = np.searchsorted(ends, wanted)
+        if len(ends) and ends[-1] == wanted[-1] and (ends[place] == wanted).all():
+            return ids, np.diff(place, prepend=-1)
+        return _flat([e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)])
+
+    def encode(self, texts: list[str | None]) -> tuple[pa.ListArray, pa.ListArray]:
+        if self.size > CACHE_BYTES:
+            self._forget()
+        parts = [units_of(t) if t else [] for t in texts]
+        known, fresh, place = self.known, [], []
+        for units in parts:
+            for u in units:
+                at = known.get(u)
+                if at is None:
+                    at = known[u] = len(known)
+                    fresh.append(u)
+                place.append(at)
+        self._learn(fresh)
+        row = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+        at = np.array(place, dtype=np.int64)
+        out = []
+        for side in (0, 1):
+            for store in (self.ids, self.lengths):
+                store[side] = [np.concatenate(store[side])]
+            lengths = self.lengths[side][0]
+            begin = np.cumsum(lengths) - lengths
+            n = lengths[at]
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            ids = self.ids[side][0][np.repeat(begin[at], n) + inside]
+            count = np.bincount(row, weights=n, minlength=len(texts)).astype(np.int64)
+            cuts = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+            out.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids)))
+        return out[0], out[1]
+
+
+@functools.lru_cache(maxsize=1)
+def _units(path_a: str, path_b: str) -> Units:
+    return Units(path_a, path_b)
 
 
 def encoded(texts: list[str | None], path_a: str, path_b: str) -> tuple[pa.ListArray, pa.ListArray]:
     """Token ids of both tokenizers, a list per text."""
-    (a, _), (b, _) = _model_a(path_a), _model_b(path_b)
-    ids: tuple[list, list] = ([], [])
-    counts = np.zeros((2, len(texts)), dtype=np.int64)
-    batch: list[str] = []
-    owner: list[int] = []
-
-    def flush() -> None:
-        one = [e.ids for e in a.encode_batch([" " + t for t in batch], add_special_tokens=False)]
-        two = b.encode(batch, num_threads=1)
-        for side, found in enumerate((one, two)):
-            np.add.at(counts[side], owner, [len(x) for x in found])
-            ids[side].append(np.fromiter((i for x in found for i in x), np.int32))
-        batch.clear(), owner.clear()
-
-    size = 0
-    for row, text in enumerate(texts):
-        for part in parts_of(text) if text else ():
-            batch.append(part)
-            owner.append(row)
-            size += len(part.encode())
-            if size >= ENCODE_BYTES:
-                flush()
-                size = 0
-    if batch:
-        flush()
-    out = []
-    for side in (0, 1):
-        cuts = np.concatenate([[0], np.cumsum(counts[side])]).astype(np.int32)
-        out.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(ids[side]) if ids[side] else np.zeros(0, np.int32))))
-    return out[0], out[1]
+    return _units(path_a, path_b).encode(texts)
 
 
 # -- one shard, in Arrow -------------------------------------------------------------------
@@ -191,12 +241,11 @@ def align(texts: list[str | None], path_a: str, path_b: str) -> Shard:
         parent = pc.cast(pc.list_parent_indices(tokens), pa.int64())
         end = pa.array(_ends(tokens, entries)[1], pa.int64())
         side[name] = pa.table({"doc": parent, "end": end, "row": pa.array(np.arange(len(end))), name: tokens.flatten()})
-    shared = side["a"].join(side["b"].select(["doc", "end"]), ["doc", "end"], join_type="left semi")
-    cut_a = np.zeros(len(side["a"]), dtype=np.int64)
+    shared = side["a"].select(["doc", "end", "row"]).join(
+        side["b"].select(["doc", "end", "row"]), ["doc", "end"], join_type="inner", right_suffix="_b")
+    cut_a, cut_b = (np.zeros(len(side[x]), dtype=np.int64) for x in "ab")
     cut_a[shared["row"].to_numpy()] = 1
-    shared = side["b"].join(side["a"].select(["doc", "end"]), ["doc", "end"], join_type="left semi")
-    cut_b = np.zeros(len(side["b"]), dtype=np.int64)
-    cut_b[shared["row"].to_numpy()] = 1
+    cut_b[shared["row_b"].to_numpy()] = 1
     # A document's last ends are shared, so groups never reach over documents.
     group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
     groups = int(cut_a.sum())

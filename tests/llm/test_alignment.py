@@ -4,7 +4,6 @@ from bisect import bisect_left
 from collections import Counter, defaultdict
 from itertools import accumulate
 
-import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -83,16 +82,15 @@ def test_slices_of_links_add_up(monkeypatch):
     assert whole.to_pydict() == parts.to_pydict()
 
 
-@pytest.mark.parametrize("size", [5, 100])
-def test_long_texts_in_parts(size, monkeypatch):
+def test_units_have_the_tokens_of_the_whole(monkeypatch):
     text = " ".join(f"word{i}'s, é{i}▁ x" if i % 3 else f" a{i}\n b" for i in range(900))
-    whole = A.align([text], *PATHS)
-    monkeypatch.setattr(A, "SPLIT_CHARS", size)
-    monkeypatch.setattr(A, "_SAFE", A.re.compile(A._SAFE.pattern.replace("{2000}", f"{{{size}}}"), A.re.S))
-    assert len(A.parts_of(text)) > 20
-    assert [x.tolist() for x in (A.encoded([text], *PATHS)[0].flatten(), A.encoded([text], *PATHS)[1].flatten())] == [
-        whole_ids(text, 0), whole_ids(text, 1)]
-    assert A.align([text], *PATHS).groups == whole.groups
+    monkeypatch.setattr(A, "ENCODE_BYTES", 50)
+    assert len(A.units_of(text)) > 900
+    for _ in range(2):      # from scratch and from what is kept
+        assert [x.flatten().tolist() for x in A.encoded([text], *PATHS)] == [whole_ids(text, 0), whole_ids(text, 1)]
+    monkeypatch.setattr(A, "CACHE_BYTES", 0)
+    assert [x.to_pylist() for x in A.encoded([None, text, "", "x"], *PATHS)] == [
+        [[], whole_ids(text, s), [], whole_ids("x", s)] for s in (0, 1)]
 
 
 def whole_ids(text, side):
