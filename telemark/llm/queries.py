@@ -180,3 +180,10 @@ def op13(spark, sf_dir):
     from telemark.llm.alignment import align_documents
     paths = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return align_documents(table(spark, sf_dir, "documents"), *paths, hashed=True)
+
+
+@query("op12_conversation_repair")
+def op12(spark, sf_dir):
+    from telemark.llm import conversations as C
+    said = table(spark, sf_dir, "conversations")
+    return C.report(said, C.damage(said))
