@@ -8,8 +8,8 @@ the smaller size. Cut into more than D fragments, at least one fragment must be
 on both sides. So each set sends one signature per fragment (the hash of its shingles
 there), cut as finely as its size class asks for, and only sets that share a signature
 are compared. A passage or shingle that many documents share makes no candidates: the
-other shingles of the fragment differ. Sets with so many empty fragments that the
-guarantee could rest on an empty one send those too.
+other shingles of the fragment differ. Empty fragments say nothing and are not sent, but for
+sets that have too few filled ones.
 
 Overlaps. Sets in candidate pairs are cut into FRAGMENTS fragments; each pair's overlap
 is counted fragment by fragment and summed per pair.
@@ -42,12 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemark.llm import bytewords as BW
-from telemark.llm.tables import restrict, stored
+from telemark.llm.tables import stored
+from telemark.operators.joins import attach
 
 FRAGMENTS = 8            # of the overlap count
 PART_SHINGLES = 1 << 20  # shingles per partition of the signature shuffle
 SHARD_BYTES = 2 << 20
-BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20  # of a block of a cluster
+BLOCK_SETS, BLOCK_SHINGLES = 2048, 1 << 20  # of a block of a cluster
 WIDTH = 1024             # shingles per fragment in a block
 _ENTRY = np.dtype([("sig", "<u8"), ("key", "<u8")])
 
@@ -100,17 +101,18 @@ def allowed(n: int, percent: int) -> int:
     return n * (100 - percent) // percent
 
 
-def fragments_of(level: int, percent: int) -> tuple[int, int]:
-    """(fragments, spare ones among them) for smaller sets of 2**level to 2**(level+1) - 1."""
+def fragments_of(level: int, percent: int) -> int:
+    """Fragments for smaller sets of 2**level to 2**(level+1) - 1 shingles: more than may differ."""
     most = allowed((2 << level) - 1, percent)
-    spare = 1 + most // 16
-    return most + 1 + spare, spare
+    return most + 2 + most // 16
 
 
 def signatures(values: np.ndarray, cut: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(set number, signature) of all fragments that candidates must be sought by: of a set
-    that may differ in D shingles the first D + 1 + spare fragments in global order. Its
-    partners of larger size send at least as many."""
+    that may differ in D shingles its first D + 1 filled fragments in global order. Of two
+    similar sets take the shorter of the two runs: it has D + 1 filled fragments of its owner,
+    of which at most D differ, so one filled fragment is equal on both sides and in both runs.
+    A set with no D + 1 filled fragments sends its empty ones too."""
     sizes = np.diff(cut)
     out_rows, out = [], []
     top = int(sizes.max(initial=0)).bit_length()
@@ -119,33 +121,30 @@ def signatures(values: np.ndarray, cut: np.ndarray, percent: int) -> tuple[np.nd
         rows = np.flatnonzero((sizes >= low) & (sizes * percent <= high * 100))
         if not len(rows):
             continue
-        parts, spare = fragments_of(level, percent)
-        sent = np.minimum(sizes[rows] * (100 - percent) // percent + 1 + spare, parts)
+        parts = fragments_of(level, percent)
         size = sizes[rows]
+        wanted = np.minimum(size, high) * (100 - percent) // percent + 1
         owner = np.repeat(np.arange(len(rows)), size)
-        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + cut[rows][owner]
-        value = values[at]
+        value = values[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + cut[rows][owner]]
         # Equal widths of the upper 32 bits: the order inside a set is kept.
         part = ((value >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        inside = part < sent[owner].astype(np.uint64)
-        owner, value, part = owner[inside], value[inside], part[inside]
         group = owner.astype(np.uint64) * np.uint64(parts) + part
-        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
+        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         total = np.zeros(len(value) + 1, dtype=np.uint64)
         np.cumsum(BW.mix(value ^ np.uint64(0x5851F42D4C957F2D)), out=total[1:])
         body = np.diff(total[np.concatenate([first, [len(value)]]).astype(np.int64)])
         which, part = owner[first], part[first]
-        salt = np.uint64((level + 1) * 0x9FB21C651E98DF25 & 0xFFFFFFFFFFFFFFFF)
-        sig = BW.mix(body + (part + np.uint64(1)) * np.uint64(0xD1342543DE82EF95) + salt)
-        out_rows.append(rows[which])
-        out.append(sig)
-        # At least 1 + spare of the fragments that both send are equal; a set with so many
-        # empty ones sends these as well.
         filled = np.bincount(which, minlength=len(rows))
-        for r in np.flatnonzero(sent - filled > spare):
-            empty = np.setdiff1d(np.arange(sent[r]), part[which == r].astype(np.int64)).astype(np.uint64)
+        turn = np.arange(len(which)) - np.repeat(np.cumsum(filled) - filled, filled)
+        goes = turn < wanted[which]
+        salt = np.uint64((level + 1) * 0x9FB21C651E98DF25 & 0xFFFFFFFFFFFFFFFF)
+        place = np.uint64(0xD1342543DE82EF95)
+        out_rows.append(rows[which[goes]])
+        out.append(BW.mix(body[goes] + (part[goes] + np.uint64(1)) * place + salt))
+        for r in np.flatnonzero(filled < wanted):
+            empty = np.setdiff1d(np.arange(parts), part[which == r].astype(np.int64)).astype(np.uint64)
             out_rows.append(np.full(len(empty), rows[r]))
-            out.append(BW.mix((empty + np.uint64(1)) * np.uint64(0xD1342543DE82EF95) + salt))
+            out.append(BW.mix((empty + np.uint64(1)) * place + salt))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(out_rows), np.concatenate(out)
@@ -175,17 +174,19 @@ def _long(values: np.ndarray) -> pa.Array:
 # -- Spark ---------------------------------------------------------------------------------
 
 def shingle_table(docs: DataFrame, k: int) -> DataFrame:
-    """(id, n, key, bits) per row of `docs` (id, text)."""
+    """(id, n, key, bits) per row of `docs` (id, text), and its other columns."""
     kind = docs.schema["id"].dataType.simpleString()
+    other = docs.columns[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in BW.shards(batches, "text", SHARD_BYTES):
             values, cut = _sets(part.column(1), k)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(np.diff(cut)), _long(set_keys(values, cut)), _lists(parity_bits(values, cut))],
-                ["id", "n", "key", "bits"])
+                [part.column(0), pa.array(np.diff(cut)), _long(set_keys(values, cut)), _lists(parity_bits(values, cut)), *part.columns[2:]],
+                ["id", "n", "key", "bits", *other])
 
-    return docs.mapInArrow(run, f"id {kind}, n long, key long, bits array<long>")
+    return docs.mapInArrow(run, ", ".join([f"id {kind}, n long, key long, bits array<long>", *(
+        f"{c} {docs.schema[c].dataType.simpleString()}" for c in other)]))
 
 
 def bucket_members(docs: DataFrame, k: int, percent: int, parts: int) -> DataFrame:
@@ -276,7 +277,6 @@ def fragment_table(docs: DataFrame, wanted: DataFrame, k: int, unique: bool) ->
                 [pa.array(key, pa.int64()), pa.array(frag, pa.int32()), pa.ListArray.from_arrays(pa.array(lengths), body)],
                 ["key", "frag", "items"])
 
-    from telemark.operators.joins import attach
     chosen = attach(docs, wanted, "id", "inner", salts=1).select("id", "text", "key")
     cut = chosen.mapInArrow(run, "key long, frag int, items array<long>")
     return cut if unique else cut.dropDuplicates(["key", "frag"])
@@ -424,10 +424,11 @@ def survivors(keys: np.ndarray, part: np.ndarray, sizes: np.ndarray, comps: np.n
 def _cells(known: DataFrame) -> DataFrame:
     """(cell, i, j, cluster, part, key, ...) for (cluster, key, n, ...): clusters dealt into
     blocks, a row for every pair of blocks; small clusters share cells."""
-    parts = known.groupBy("cluster").agg(F.greatest(
-        F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    few = int(known.count() // BLOCK_SETS) + 1
-    placed = known.join(parts, "cluster").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    parts = stored(known.groupBy("cluster").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "blocks")
+    sets, shingles = known.agg(F.count("*"), F.sum("n")).first()
+    few = int(max(sets // BLOCK_SETS, (shingles or 0) // BLOCK_SHINGLES)) + 1
+    placed = attach(known, parts, "cluster", "inner", salts=1).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({
         "i": F.least("block", "other"), "j": F.greatest("block", "other"), "part": (F.col("block") > F.col("other")).cast("int"),
         "cell": F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(few))).otherwise(F.col("cluster"))}).drop(
@@ -475,6 +476,47 @@ def dense_links(known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("cell", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def unsettled(led: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """(cluster, key, comp): the members of buckets of more than two that lie in several
+    components, put together by their buckets' centres."""
+    left = _with_comps(led, comps)
+    spread = left.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("c")).filter(
+        "x <> y AND c > 2").select("sig")
+    return left.join(spread, "sig", "left_semi").select(F.col("lead").alias("cluster"), "key", "comp").distinct()
+
+
+def _text_components(slim: DataFrame, nodes: DataFrame, unique: bool, k: int, percent: int) -> DataFrame | None:
+    """(key, comp) of the different texts that have links; nodes of null ids have none."""
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    members = stored(bucket_members(slim, k, percent, int(total // PART_SHINGLES) + 1).distinct(), "members")
+    return None if members.isEmpty() else _grow(slim, nodes.filter("id IS NOT NULL"), members, k, percent, unique)
+
+
+def with_least_id(table: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """(id, n, component) for rows (id, n, key) and the components of keys: the smallest id
+    that links and rows of one id reach. Rows of null id, and ids without words, stand alone."""
+    named = table.filter("n > 0 AND id IS NOT NULL")
+    several = stored(named.groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a <> z").select("id", "a"), "several")
+    if not several.isEmpty():
+        same = named.join(several, "id").select("a", F.col("key").alias("b")).filter("a <> b")
+        known = comps.select(F.col("comp").alias("a"), F.col("key").alias("b")) if comps is not None else None
+        comps = components(same if known is None else same.union(known))
+    joined = _with_comps(table, comps)
+    comp = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("comp"))
+    joined = joined.withColumn("comp", comp)
+    least = joined.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("least"))
+    return joined.join(least, "comp", "left").select("id", "n", F.coalesce("least", "id").alias("component"))
+
+
+def _tables(slim: DataFrame, k: int) -> tuple[DataFrame, DataFrame, bool]:
+    """The shingle table, its different sets, and whether no id comes twice."""
+    table = stored(shingle_table(slim, k), "sets")
+    nodes = stored(table.filter("n > 0").groupBy("key").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
+    table = table.drop("bits")
+    return table, nodes, table.groupBy("id").count().filter("count > 1 AND id IS NOT NULL").isEmpty()
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
          percent: int = 90) -> DataFrame:
     """(id, n_shingles, component_id) per row: linked where 100 * common >= percent * union.
@@ -482,29 +524,12 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     component_id is the smallest id reachable by links, the own one included.
     """
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    table = stored(shingle_table(slim, k), "sets")
-    nodes = stored(table.filter("n > 0").groupBy("key").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
-    table = table.drop("bits")
-    total = nodes.agg(F.sum("n")).first()[0] or 0
-    members = stored(bucket_members(slim, k, percent, int(total // PART_SHINGLES) + 1).distinct(), "members")
-    comps = None
-    if not members.isEmpty():
-        unique = table.groupBy("id").count().filter("count > 1 AND id IS NOT NULL").isEmpty()
-        comps = _grow(slim, nodes, members, k, percent, unique)
-    if comps is None:
-        table = table.withColumn("comp", F.col("key"))
-    else:
-        table = table.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    table = table.withColumn("comp", F.when(F.col("n") > 0, F.col("comp")))
-    least = table.filter("n > 0").groupBy("comp").agg(F.min("id").alias("least"))
-    done = table.join(least, "comp", "left")
-    own = F.when(F.col("id").isNotNull(), F.coalesce("least", "id"))
-    return done.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
+    table, nodes, unique = _tables(slim, k)
+    done = with_least_id(table, _text_components(slim, nodes, unique, k, percent))
+    return done.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def _grow(slim: DataFrame, nodes: DataFrame, members: DataFrame, k: int, percent: int, unique: bool) -> DataFrame | None:
-    nodes = nodes.filter("id IS NOT NULL")
     led = centres(members)
     star = led.filter("key <> lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
     pairs = stored(near_pairs(star, nodes, percent), "pairs")
@@ -516,11 +541,7 @@ def _grow(slim: DataFrame, nodes: DataFrame, members: DataFrame, k: int, percent
     edges = stored(found.filter(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b"), "links")
     comps = None if edges.isEmpty() else components(edges)
     # A bucket within one component is done, and one of two sets, which have been compared.
-    left = _with_comps(led, comps)
-    spread = left.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("c")).filter(
-        "x <> y AND c > 2").select("sig")
-    rest = left.join(spread, "sig", "left_semi").select(F.col("lead").alias("cluster"), "key", "comp").distinct()
-    known = stored(rest.join(nodes.select("key", "n", "bits"), "key"), "clusters")
+    known = stored(unsettled(led, comps).join(nodes.select("key", "n", "bits"), "key"), "clusters")
     live = stored(likely_members(known, percent), "live")
     if live.isEmpty():
         return comps
@@ -531,15 +552,24 @@ def _grow(slim: DataFrame, nodes: DataFrame, members: DataFrame, k: int, percent
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
              percent: int = 80) -> DataFrame:
-    """`docs` with one document of each group of linked ones: that of the smallest id.
-    Rows that share an id are one document. Columns as before. Rows with null id and
-    documents without words are their own groups and stay."""
-    linked = stored(link(docs, id_col, text_col, k, percent).select(F.col(id_col).alias("_tm_id"), "component_id"), "linked")
-    gone = stored(linked.filter("component_id <> _tm_id").select("_tm_id").distinct(), "gone")
-    twice = stored(linked.filter("_tm_id IS NOT NULL").groupBy("_tm_id").count().filter("count > 1").select("_tm_id"), "twice")
-    keyed = docs.withColumn("_tm_id", F.col(id_col))
-    left = restrict(keyed, gone, "_tm_id", "left_anti")
-    if not twice.isEmpty():
-        left = restrict(left, twice, "_tm_id", "left_anti").unionByName(
-            restrict(left, twice, "_tm_id").dropDuplicates(["_tm_id"]))
+    """`docs` with one row of each group of rows whose texts are linked: that of the smallest
+    id and, within one id, of the smallest hash of its text; of equal ids and texts the row of
+    the smallest hash over all columns. Columns as before. Rows are judged one by one: another
+    text of the same id is no reason to go. Rows with null id and rows without words are their
+    own groups and stay."""
+    hashed = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    keyed = docs.withColumns({"_tm_id": F.col(id_col), "_tm_text": hashed})
+    slim = keyed.select(F.col("_tm_id").alias("id"), F.col(text_col).alias("text"), F.col("_tm_text").alias("said"))
+    table, nodes, unique = _tables(slim, k)
+    comps = _text_components(slim.select("id", "text"), nodes, unique, k, percent)
+    rows = stored(_with_comps(table.filter("n > 0 AND id IS NOT NULL"), comps).select("comp", F.struct("id", "said").alias("row")), "rows")
+    best = rows.groupBy("comp").agg(F.min("row").alias("best"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    names = [F.col("row.id").alias("_tm_id"), F.col("row.said").alias("_tm_text")]
+    gone = stored(attach(rows, stored(best, "best"), "comp", "inner", salts=1).filter("row <> best").select(*names).distinct(), "gone")
+    left = attach(keyed, gone, ["_tm_id", "_tm_text"], "left_anti", salts=1)
+    if not unique:
+        twice = stored(rows.groupBy("row").count().filter("count > 1").select(*names), "twice")
+        again = attach(left, twice, ["_tm_id", "_tm_text"], "left_semi", salts=1).groupBy("_tm_id", "_tm_text").agg(
+            F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+        left = attach(left, twice, ["_tm_id", "_tm_text"], "left_anti", salts=1).select(*docs.columns).unionByName(again.select("row.*"))
     return left.select(*docs.columns)
