@@ -187,3 +187,9 @@ def op12(spark, sf_dir):
     from telemark.llm import conversations as C
     said = table(spark, sf_dir, "conversations")
     return C.report(said, C.damage(said))
+
+
+@query("op11_minhash_dedup")
+def op11(spark, sf_dir):
+    from telemark.llm.minhash_join import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), k=4)
