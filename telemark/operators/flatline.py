@@ -1,7 +1,7 @@
 """Flat series: mergeable variance over groups, tumbling and sliding windows."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SERIES = ("device_id", "interface_name")
@@ -74,14 +74,17 @@ def flat_windows_sliding(
 ) -> DataFrame:
     """Flat and nearly flat sliding windows.
 
-    Rows are first folded into panes of one slide each. Only the panes, not the
-    rows, are copied to the windows they belong to, and their moments merged.
+    Rows are first folded into panes of one slide each, and the panes of a series into
+    blocks as long as a window. A window is the end of one block and the beginning of the
+    next, so each pane goes to two blocks only, where running merges in both directions
+    give the two parts of every window. A series of any length spreads over its blocks.
     A window with equal minimum and maximum has variance exactly 0.
     """
-    slide, width = slide_minutes * 60, width_minutes * 60
-    pane_start = F.floor(F.unix_timestamp(ts) / slide) * slide
+    slide, per = slide_minutes * 60, width_minutes // slide_minutes
+    if per * slide_minutes != width_minutes:
+        raise ValueError("the width must be a multiple of the slide")
     panes = (
-        up_only(df).groupBy(*keys, pane_start.alias("_pane"))
+        up_only(df).groupBy(*keys, F.floor(F.unix_timestamp(ts) / slide).alias("_pane"))
         .agg(
             F.count(value).alias("n"),
             F.avg(value).alias("mean"),
@@ -90,20 +93,32 @@ def flat_windows_sliding(
             F.max(value).alias("high"),
         )
     )
-    starts = F.sequence(F.col("_pane") - (width - slide), F.col("_pane"), F.lit(slide))
-    merged = (
-        panes.withColumn("_start", F.explode(starts))
-        .groupBy(*keys, "_start")
-        .agg(
-            F.sum("n").alias("points"),
-            F.sum(F.col("n") * F.col("mean")).alias("_s1"),
-            F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("_s2"),
-            F.sum("m2").alias("_m2"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-        )
-        .filter(F.col("points") >= min_points)
-    )
+    block = F.floor(F.col("_pane") / per)
+    homes = F.array(*[F.struct((block - i).alias("block"), F.lit(i == 1).alias("next")) for i in (0, 1)])
+    copies = panes.withColumn("_home", F.explode(homes)).select(
+        *keys, "_home.block", "_home.next", (F.col("_pane") - block * per).alias("pos"), F.lit(False).alias("start"),
+        "n", (F.col("n") * F.col("mean")).alias("s1"), (F.col("n") * F.col("mean") * F.col("mean")).alias("s2"), "m2", "low", "high")
+    starts = copies.groupBy(*keys, "block").agg(F.sum("n").alias("all")).filter(F.col("all") >= min_points).select(
+        *keys, "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(per - 1).cast("long"))).alias("pos"), F.lit(True).alias("start"))
+    lined = copies.unionByName(starts, allowMissingColumns=True)
+    from_end = Window.partitionBy(*keys, "block").orderBy(F.desc("pos"), "start").rowsBetween(Window.unboundedPreceding, 0)
+    from_begin = Window.partitionBy(*keys, "block").orderBy("pos", F.desc("start")).rowsBetween(Window.unboundedPreceding, 0)
+
+    def part(merge, name: str):
+        """What a window has of its own block, and of the next one."""
+        own = merge(F.when(~F.col("next"), F.col(name))).over(from_end)
+        return own, merge(F.when(F.col("next"), F.col(name))).over(from_begin)
+
+    def total(name: str):
+        own, after = (F.coalesce(x, F.lit(0)) for x in part(F.sum, name))
+        return own + after
+
+    merged = lined.select(
+        *keys, "block", "pos", "start", total("n").alias("points"), total("s1").alias("_s1"), total("s2").alias("_s2"),
+        total("m2").alias("_m2"), F.least(*part(F.min, "low")).alias("low"), F.greatest(*part(F.max, "high")).alias("high"),
+    ).filter(F.col("start") & (F.col("points") >= min_points)).withColumn(
+        "_start", (F.col("block") * per + F.col("pos")) * slide)
+    width = width_minutes * 60
     mean = F.col("_s1") / F.col("points")
     between = F.greatest(F.col("_s2") - F.col("_s1") * mean, F.lit(0.0))
     spread = F.coalesce(

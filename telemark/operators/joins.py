@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -72,26 +72,48 @@ def attach_baseline(
 
 
 def attach_baseline_asof(
-    stats: DataFrame, params: DataFrame, keys: tuple[str, ...], ts: str = "device_ts",
+    stats: DataFrame, params: DataFrame, keys: tuple[str, ...], ts: str = "device_ts", slice_hours: int = 24 * 7,
+    store: Store | None = None,
 ) -> DataFrame:
-    """Parameters valid at the time of each row: the newest `valid_from` not after it.
-
-    Versions are first reduced to one per key and refresh time, then gathered
-    into one sorted array (as long as there were refreshes), so the fact joins
-    once per row instead of once per version.
+    """Parameters valid at the time of each row: of the newest `valid_from` not after it
+    among those whose `valid_until` is not before it.
+
+    A merge in time: versions become changes of what is valid, changes and rows are put in
+    one order per key, and each row takes the last change before it. Time is cut into
+    slices; what is valid at the beginning of a slice is carried into it, so a hot key
+    spreads over its slices. Rows without key or time get nothing. `store` writes the
+    versions as a table first, as they are read several times.
     """
-    parts = ("valid_until", "baseline_mean", "baseline_std", "iqr_k")
-    refreshed = params.groupBy(*keys, "valid_from").agg(F.max(F.struct(*parts)).alias("_p"))
-    version = F.struct("valid_from", *[F.col("_p")[p].alias(p) for p in parts])
-    history = refreshed.groupBy(*keys).agg(F.array_sort(F.collect_list(version)).alias("_versions"))
-    joined = attach(stats, history, list(keys))
-    valid = F.filter(
-        "_versions",
-        lambda v: (v["valid_from"] <= F.col(ts)) & (F.col(ts) <= v["valid_until"]),
-    )
-    newest = F.try_element_at(valid, F.lit(-1))
-    return (
-        joined.withColumn("_v", newest)
-        .withColumns({c: F.col("_v")[c] for c in ("baseline_mean", "baseline_std", "iqr_k")})
-        .drop("_v", "_versions")
-    )
+    values = ("baseline_mean", "baseline_std", "iqr_k")
+    known = params.filter(" AND ".join(f"{c} IS NOT NULL" for c in (*keys, "valid_from")))
+    versions = known.groupBy(*keys, "valid_from").agg(F.max(F.struct("valid_until", *values)).alias("_p")).select(
+        *keys, "valid_from", F.col("_p.valid_until").alias("valid_until"), F.struct(*[F.col("_p")[c].alias(c) for c in values]).alias("_v"))
+    versions = versions.filter("valid_from <= valid_until")
+    versions = store(versions) if store else versions
+    begins = versions.select(*keys, F.col("valid_from").alias("_t"), F.lit(0).alias("_order"), "_v")
+    # When a version ends, the newest of those still valid counts again.
+    ends = versions.select(*keys, F.col("valid_until").alias("_t")).distinct()
+    left = ends.join(versions, list(keys), "left").groupBy(*keys, "_t").agg(F.max_by(
+        "_v", F.when((F.col("valid_from") <= F.col("_t")) & (F.col("valid_until") > F.col("_t")), F.col("valid_from"))).alias("_v"))
+    nothing = F.struct(*[F.lit(None).cast(versions.schema["_v"].dataType[c].dataType).alias(c) for c in values])
+    changes = begins.unionByName(left.select(*keys, "_t", F.lit(2).alias("_order"), F.coalesce("_v", nothing).alias("_v")))
+
+    def slice_of(t: str) -> Column:
+        return F.floor(F.unix_micros(F.col(t).cast("timestamp")) / (slice_hours * 3_600_000_000))
+
+    whole = F.col(ts).isNotNull()
+    for c in keys:
+        whole = whole & F.col(c).isNotNull()
+    rows = stats.filter(whole).withColumns({"_t": F.col(ts), "_order": F.lit(1), "_slice": slice_of(ts)})
+    changes = changes.withColumn("_slice", slice_of("_t"))
+    newest = changes.groupBy(*keys, "_slice").agg(F.max_by("_v", F.struct("_t", "_order")).alias("_v"))
+    touched = rows.select(*keys, "_slice").distinct().withColumn("_asked", F.lit(True))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = newest.join(touched, [*keys, "_slice"], "full").withColumn(
+        "_before", F.last("_v", ignorenulls=True).over(earlier)).filter("_asked AND _before IS NOT NULL").select(
+        *keys, "_slice", F.lit(-1).alias("_order"), F.col("_before").alias("_v"))
+    feed = rows.unionByName(changes, allowMissingColumns=True).unionByName(carried, allowMissingColumns=True)
+    slices = Window.partitionBy(*keys, "_slice").orderBy(F.asc_nulls_first("_t"), "_order").rowsBetween(Window.unboundedPreceding, 0)
+    done = feed.withColumn("_v", F.last("_v", ignorenulls=True).over(slices)).filter("_order = 1")
+    out = done.select(*stats.columns, *[F.col("_v")[c].alias(c) for c in values])
+    return out.unionByName(stats.filter(F.coalesce(~whole, F.lit(True))), allowMissingColumns=True)

@@ -1,12 +1,14 @@
 """Nightly and weekly jobs over the tables below one root.
 
-Every job writes to the directory of its run, so that running it again for the
-same day replaces its output. Streams use batch ids from 0 up, jobs negative ones.
+Every job writes to the directory of its run, so that running it again for the same day
+replaces its output; a backfill writes to directories of its source days. Streams use
+batch ids from 0 up, jobs negative ones.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +23,20 @@ from telemark.plans import gold as G
 from telemark.plans import reprocess as RP
 from telemark.plans import validation as VA
 from telemark.schema import PARTITIONS, SEASON_KEYS, TABLES, ddl, struct
-from telemark.sinks.tables import align, read_batches, write_micro_batch
+from telemark.sinks.tables import align, overwrite_touched, read_batches, write_micro_batch
 
 LOGS = {"dlq_log": RP.DLQ_LOG, "pending_log": RP.PENDING_LOG, "replays_seen": "upto bigint"}
 
 
+# A backfilled day's batch in every table: far from those of streams and of dated runs.
+BACKFILL_BATCH = -(10**12)
+BACKFILLED = ("silver_interface_stats", "silver_dlq_quarantine", "silver_pending_enrichment")
+
+
+def backfill_batch(day: date) -> int:
+    return BACKFILL_BATCH - int(day.strftime("%Y%m%d"))
+
+
 @dataclass
 class Jobs:
     spark: SparkSession
@@ -90,52 +101,83 @@ class Jobs:
             "record_key", "raw_payload", F.lit(None).cast("string").alias("device_id"), "resolution")
         self.write(closed.unionByName(retried).distinct(), "pending_log")
 
-    def promoted(self) -> DataFrame:
+    def replayed_upto(self) -> int | None:
+        """The latest batch that a stream's replay has written to silver by now."""
+        return self.batches("silver_interface_stats").filter(
+            F.col("batch_id") >= RP.REPLAY_BATCH).agg(F.max("batch_id")).first()[0]
+
+    def promoted(self, upto: int | None = None) -> DataFrame:
         """Silver rows that replays added: those of this run, and of the streams since the
-        last run."""
+        last run, up to a batch if one is given."""
         ours = F.col("batch_id").isin(self.run * 10 - 1, self.run * 10 - 2)
         seen = self.read_before("replays_seen").agg(F.max("upto")).first()[0]
         streamed = F.col("batch_id") >= (RP.REPLAY_BATCH if seen is None else seen + 1)
+        if upto is not None:
+            streamed = streamed & (F.col("batch_id") <= upto)
         return self.batches("silver_interface_stats").filter(ours | streamed).drop("batch_id")
 
     def backfill(self, since: datetime, until: datetime, sites: list[str] | None = None) -> None:
         """Bronze readings of a span of days (and of some sites) through the stream's steps
-        into silver, quarantine and parking. Run again, it replaces what it wrote."""
-        days = F.col("_partition_date").between(F.lit(since.date()), F.lit(until.date()))
-        bronze = self.read("bronze_interface_stats").filter(days)
-        inventory = self.inventory()
-        silver, dlq, pending = RP.silver_routes(bronze, inventory, self.params(), self.keys)
-        if sites:
-            # Invalid and unknown devices have no site: only the enriched rows can be narrowed.
-            silver = silver.filter(F.col("site_id").isin(sites))
-        self.write(silver, "silver_interface_stats", 3)
-        self.write(dlq, "silver_dlq_quarantine", 3)
-        self.write(pending, "silver_pending_enrichment", 3)
-
-    def note_replays(self) -> None:
+        into silver, quarantine and parking.
+
+        What is written is known by the day its readings came in, not by the day of the run:
+        each source day has a batch of its own in every table and is replaced as a whole, so
+        spans may follow, overlap and repeat each other on any days. With `sites`, the days'
+        silver rows of other sites are kept; invalid and unknown devices have no site, so
+        quarantine and parking of the days are replaced in full.
+        """
+        first, last = since.date(), until.date()
+        bronze = self.read("bronze_interface_stats").filter(F.col("_partition_date").between(F.lit(first), F.lit(last)))
+        keep = self.keep("backfill")
+        routes = RP.silver_routes(bronze, keep(self.inventory(), "inventory"), keep(self.params(), "params"), self.keys)
+        for df, table, came in zip(routes, BACKFILLED, ("_ingested_at", "quarantined_at", "parked_at")):
+            parts = ["batch_id", *self.partitions.get(table, ())]
+            day = F.date_format(came, "yyyyMMdd").cast("bigint")
+            fresh = align(df, struct(table)).withColumn("batch_id", F.lit(BACKFILL_BATCH) - day)
+            old = self.batches(table).filter(F.col("batch_id").between(backfill_batch(last), backfill_batch(first)))
+            if sites and table == BACKFILLED[0]:
+                asked = F.coalesce(F.col("site_id").isin(sites), F.lit(False))
+                fresh = fresh.filter(asked)
+                if "site_id" in parts:      # other sites have directories of their own
+                    old = old.filter(asked)
+                else:
+                    fresh = fresh.unionByName(old.filter(~asked).select(*fresh.columns))
+            fresh = keep(fresh, table)      # before anything of it is overwritten
+            folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+            before = old.select(*parts, folder.alias("folder")).distinct()
+            same = [F.col(f"b.{c}").eqNullSafe(F.col(f"f.{c}")) for c in parts]
+            # Directories, not rows: those that hold nothing any more.
+            empty = before.alias("b").join(fresh.select(*parts).distinct().alias("f"), same, "left_anti").select("folder").collect()
+            overwrite_touched(fresh, f"{self.root}/{table}", parts)
+            for r in empty:
+                fresh.drop(*parts).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(unquote(r[0]))
+
+    def note_replays(self, upto: int | None) -> None:
         """Remember up to which stream replay gold is refreshed."""
-        streamed = self.batches("silver_interface_stats").filter(F.col("batch_id") >= RP.REPLAY_BATCH)
-        self.write(streamed.agg(F.max("batch_id").alias("upto")).filter("upto IS NOT NULL"), "replays_seen")
+        if upto is not None:
+            self.write(self.spark.createDataFrame([(upto,)], LOGS["replays_seen"]), "replays_seen")
 
     def refresh_gold(self, all_hours: bool = False) -> None:
         """Health of the last 25 whole hours and of older touched ones (or of all hours),
         and anomaly windows of the last day. Flat windows count once they are closed."""
+        # Fixed once: a replay that lands during the refresh is left for the next run.
+        upto = self.replayed_upto()
         stats, logs = self.read("silver_interface_stats"), self.read("silver_syslogs")
         if all_hours:
             health = G.site_health(stats, logs, self.now())
         else:
-            health = G.site_health_recent(stats, logs, self.promoted(), self.now(), self.keep("touched"))
+            health = G.site_health_recent(stats, logs, self.promoted(upto), self.now(), self.keep("touched"))
         self.write(health, "gold_site_health_hourly")
         recent = G.trailing(stats, self.now())
         flat = to_flatline_flags(flat_windows(G.closed_windows(stats, self.as_of)), F.col("w.end"))
         bursts = G.syslog_bursts(G.trailing(logs, self.now()))
         self.write(G.all_anomalies(G.anomaly_windows(recent), flat, bursts), "gold_anomaly_flags")
-        self.note_replays()
+        self.note_replays(upto)
 
     def keep(self, label: str):
         """A store for small intermediate tables of this run."""
-        def store(df: DataFrame) -> DataFrame:
-            path = f"{self.root}/_{label}/run={self.run}"
+        def store(df: DataFrame, part: str = "all") -> DataFrame:
+            path = f"{self.root}/_{label}/run={self.run}/part={part}"
             df.write.mode("overwrite").parquet(path)
             return self.spark.read.parquet(path)
         return store

@@ -118,13 +118,13 @@ def _(t):
 
 @query("sink_align", """
     SELECT device_id, ts, round(util_in, 6) AS util_in, oper_status, ingested AS ingested_at
-    FROM stats WHERE NOT coalesce(isnan(util_in), false)""")
+    FROM stats""")
 def _(t):
     """Old column names and missing columns are brought to the table's layout."""
     old = t.stats.withColumnsRenamed(
         {"util_in": "raw_util_in", "_ingested_at": "ingested_ts"}).drop("admin_status")
     aligned = SK.align(old, struct("bronze_interface_stats"))
-    return aligned.filter(~F.coalesce(F.isnan("util_in"), F.lit(False))).select(
+    return aligned.select(
         "device_id", "ts", "util_in", "oper_status", F.col("_ingested_at").alias("ingested_at"))
 
 

@@ -1,5 +1,5 @@
 """Scoring and batch jobs (section 2.11)."""
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -191,6 +191,29 @@ def _(t):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("job_backfill_spans", """
+    SELECT 'silver_interface_stats' AS name, event_id AS seq, 1 AS n FROM routed WHERE route = 'ENRICHED'
+    UNION ALL SELECT 'silver_dlq_quarantine', NULL, count(*) FROM routed WHERE route = 'INVALID'
+    UNION ALL SELECT 'silver_pending_enrichment', NULL, count(*) FROM routed WHERE route = 'PENDING'""")
+def _(t):
+    """Two spans on one day of running, one of them again on a later day, then some sites
+    of everything: every reading is there exactly once."""
+    jobs = stored_jobs(t, "bronze_interface_stats", "bronze_inventory")
+    first, last = t.stats.agg(F.min("_ingested_at"), F.max("_ingested_at")).first()
+    middle = first + (last - first) / 2
+    jobs.backfill(first, middle)
+    jobs.backfill(middle + timedelta(days=1), last)
+    later = Jobs(t.spark, jobs.root, datetime(2024, 2, 3, tzinfo=timezone.utc), partitions={})
+    later.backfill(first, middle)
+    some = [r[0] for r in t.inventory.select("site_id").distinct().orderBy("site_id").limit(3).collect()]
+    later.backfill(first, last, sites=some)
+    silver = later.read("silver_interface_stats").groupBy(X.seq()).agg(F.count("*").alias("n")).select(
+        F.lit("silver_interface_stats").alias("name"), "seq", "n")
+    rest = [later.read(name).agg(F.lit(name).alias("name"), F.lit(None).cast("long").alias("seq"), F.count("*").alias("n"))
+            for name in ("silver_dlq_quarantine", "silver_pending_enrichment")]
+    return silver.unionByName(rest[0]).unionByName(rest[1])
+
+
 @query("job_nightly_health", """
     SELECT site_id, window_start, critical_syslog_count, total_interface_count
     FROM health WHERE window_start >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 25 HOUR""")

@@ -44,14 +44,14 @@ def weekly_versions(t):
     WITH versions AS (
         SELECT site_id, interface_name, date_trunc('week', device_ts) + INTERVAL 7 DAY AS valid_from,
                avg(effective_util_in) AS m, coalesce(stddev_samp(effective_util_in), 0) AS s
-        FROM enriched WHERE device_ts < TIMESTAMP '2024-01-29' GROUP BY ALL)
+        FROM enriched WHERE device_ts IS NOT NULL GROUP BY ALL)
     SELECT e.event_id, round(v.m, 6) AS baseline_mean, round(v.s, 6) AS baseline_std
     FROM enriched e ASOF LEFT JOIN versions v
       ON e.site_id = v.site_id AND e.interface_name = v.interface_name
      AND e.device_ts >= v.valid_from""")
 def _(t):
     keys, history = weekly_versions(t)
-    joined = J.attach_baseline_asof(t.enriched, history, keys)
+    joined = J.attach_baseline_asof(t.enriched, history, keys, store=t.stored)
     return joined.select("event_id", "baseline_mean", "baseline_std")
 
 

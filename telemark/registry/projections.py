@@ -74,9 +74,9 @@ def _(t):
 @query("proj_effective_util", """
     SELECT event_id, CASE WHEN oper_status IN (2, 3) THEN 0.0 ELSE util_in END AS effective_util_in,
            CASE WHEN oper_status IN (2, 3) THEN 0.0 ELSE util_out END AS effective_util_out
-    FROM stats WHERE NOT coalesce(isnan(util_in), false)""")
+    FROM stats""")
 def _(t):
-    return t.stats.filter(~F.isnan("util_in")).select(
+    return t.stats.select(
         "event_id", C.effective_util("util_in").alias("effective_util_in"),
         C.effective_util("util_out").alias("effective_util_out"))
 

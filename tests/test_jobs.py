@@ -89,6 +89,53 @@ def test_backfill_keeps_every_row(spark):
     assert sum(parts) == t.stats.count() and min(parts) > 0
 
 
+def test_backfill_drops_what_a_day_no_longer_has(spark):
+    t = X.Tables(spark, SF)
+    parts = {"silver_interface_stats": ("site_id",)}
+    jobs = Jobs(spark, scratch(spark, "backfill-again"), AS_OF, partitions=parts)
+    start = Jobs(spark, jobs.root, datetime(2024, 1, 1, tzinfo=timezone.utc), partitions=parts)
+    bronze = t.stats.withColumn("_partition_date", F.to_date("_ingested_at"))
+    start.write(bronze, "bronze_interface_stats")
+    start.write(t.inventory.withColumn("_ingested_at", F.lit("2024-01-01").cast("timestamp")), "bronze_inventory")
+    day = bronze.agg(F.min("_partition_date")).first()[0]
+    for _ in range(2):
+        jobs.backfill(datetime.combine(day, datetime.min.time()), datetime.combine(day, datetime.min.time()))
+    names = ("silver_interface_stats", "silver_dlq_quarantine", "silver_pending_enrichment")
+    assert sum(jobs.read(n).count() for n in names) == bronze.filter(F.col("_partition_date") == F.lit(day)).count() > 0
+    start.write(bronze.filter(F.col("_partition_date") > F.lit(day)), "bronze_interface_stats")
+    jobs.backfill(datetime(2000, 1, 1), datetime(2100, 1, 1))
+    assert sum(jobs.read(n).count() for n in names) == bronze.filter(F.col("_partition_date") > F.lit(day)).count()
+
+
+def test_a_replay_that_lands_during_the_refresh_is_left_for_the_next_run(spark, monkeypatch):
+    from telemark.plans import gold as G
+    from telemark.sinks.tables import write_micro_batch
+
+    t = X.Tables(spark, SF)
+    jobs = Jobs(spark, scratch(spark, "replays"), AS_OF, partitions={})
+    start = Jobs(spark, jobs.root, datetime(2024, 1, 1, tzinfo=timezone.utc), partitions={})
+    silver = P.to_silver_stats(t.scored)
+    start.write(silver, "silver_interface_stats")
+    late = silver.orderBy("device_ts").limit(2)
+
+    def land(batch):
+        write_micro_batch(late, RP.REPLAY_BATCH + batch, f"{jobs.root}/silver_interface_stats")
+
+    land(1)
+    whole = G.site_health_recent
+
+    def meanwhile(*args, **kwargs):
+        out = whole(*args, **kwargs)
+        land(2)
+        return out
+
+    monkeypatch.setattr(G, "site_health_recent", meanwhile)
+    jobs.refresh_gold()
+    assert jobs.read("replays_seen").agg(F.max("upto")).first()[0] == RP.REPLAY_BATCH + 1
+    later = Jobs(spark, jobs.root, datetime(2024, 2, 1, tzinfo=timezone.utc), partitions={})
+    assert later.promoted().count() == 2
+
+
 def test_a_cluster_must_name_a_shared_folder(spark):
     from types import SimpleNamespace
 
