@@ -22,6 +22,7 @@ from telemark.operators.aggregates import FEATURES
 from telemark.operators.joins import attach
 from telemark.plans.baseline import FAR_FUTURE, IQR_K, ISOLATION_THRESHOLD
 from telemark.schema import SEASON_KEYS
+from telemark.sinks.tables import read_batches, write_micro_batch
 
 # Fixed parameters of the model.
 TREES = 100
@@ -136,6 +137,27 @@ class Forest:
         return cls(nodes, {n: meta[n] for n in FEATURES}, size, threshold)
 
 
+POINTER = "version string, published_at timestamp"
+
+
+def live_version(spark: SparkSession, model: str) -> str | None:
+    """The version that readers of a model folder use: the one named last."""
+    named = read_batches(spark, f"{model}/current", POINTER).agg(F.max_by("version", "published_at")).first()
+    return named[0]
+
+
+def live(spark: SparkSession, model: str) -> Forest | None:
+    version = live_version(spark, model)
+    return None if version is None else Forest.load(spark, f"{model}/{version}")
+
+
+def publish(spark: SparkSession, model: str, version: str, run: int, at: Column) -> None:
+    """Make a saved version the live one. Versions are whole folders and never change; the
+    pointer is one row, written after them, so a reader gets one model or the other."""
+    row = spark.createDataFrame([(version,)], "version string").withColumn("published_at", at)
+    write_micro_batch(row.coalesce(1), run, f"{model}/current")
+
+
 def train(
     features: DataFrame, trees: int = TREES, size: int = SAMPLE, seed: int = SEED,
     contamination: float = CONTAMINATION,

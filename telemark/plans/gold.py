@@ -59,12 +59,21 @@ def site_health_touched(
     stats: DataFrame, syslogs: DataFrame, promoted: DataFrame, refreshed_at: Column | None = None,
     store: Store | None = None,
 ) -> DataFrame:
-    """Health of only those hours that received late rows."""
-    hours = store(touched_hours(promoted)) if store else touched_hours(promoted)
+    """Health of only those hours that received late rows. Where the tables are partitioned by
+    site and day, the join is on these too, so that only directories with touched hours are read."""
+    hours = touched_hours(promoted).withColumn("_partition_date", F.to_date("_hour"))
+    hours = store(hours) if store else hours
+    # The span of days prunes at once; that the small side is filtered by it lets the join
+    # prune the single directories when it runs.
+    first, last = hours.agg(F.min("_partition_date"), F.max("_partition_date")).first()
+    within = F.col("_partition_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    hours = hours.filter(within)
 
     def part(df: DataFrame) -> DataFrame:
         keyed = df.withColumn("_hour", F.date_trunc("hour", "device_ts"))
-        return attach(keyed, hours, ["site_id", "_hour"], "left_semi").drop("_hour")
+        day = ["_partition_date"] if "_partition_date" in df.columns else []
+        keyed = keyed.filter(within) if day else keyed
+        return attach(keyed, hours, ["site_id", *day, "_hour"], "left_semi").drop("_hour")
 
     return site_health(part(stats), part(syslogs), refreshed_at)
 
@@ -82,7 +91,10 @@ def site_health_recent(
         return C.since(df, begin, "device_ts")
 
     def before(df: DataFrame) -> DataFrame:
-        return df.filter(F.col("device_ts") < begin)
+        older = F.col("device_ts") < begin
+        if "_partition_date" in df.columns:
+            older = older & (F.col("_partition_date") <= F.to_date(begin))
+        return df.filter(older)
 
     late = site_health_touched(before(stats), before(syslogs), older, as_of, store)
     return site_health(since(stats), since(syslogs), as_of).unionByName(late)

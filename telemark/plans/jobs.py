@@ -25,7 +25,15 @@ from telemark.plans import validation as VA
 from telemark.schema import PARTITIONS, SEASON_KEYS, TABLES, ddl, struct
 from telemark.sinks.tables import align, overwrite_touched, read_batches, write_micro_batch
 
-LOGS = {"dlq_log": RP.DLQ_LOG, "pending_log": RP.PENDING_LOG, "replays_seen": "upto bigint"}
+GATE = ("candidate_precision double, candidate_recall double, current_precision double, current_recall double, "
+        "promoted boolean")
+
+
+def struct_names(layout: str) -> list[str]:
+    return [c.split()[0] for c in layout.split(", ")]
+
+
+LOGS = {"model_gates": f"version string, {GATE}", "dlq_log": RP.DLQ_LOG, "pending_log": RP.PENDING_LOG, "replays_seen": "upto bigint"}
 
 
 # A backfilled day's batch in every table: far from those of streams and of dated runs.
@@ -184,7 +192,9 @@ class Jobs:
 
     def detect_and_validate(self, model: str) -> None:
         """Forest verdicts of the last day next to the ingest flags."""
-        forest = IF.Forest.load(self.spark, model)
+        forest = IF.live(self.spark, model)
+        if forest is None:
+            raise ValueError(f"no live model in {model}")
         recent = G.trailing(self.read("silver_interface_stats"), self.now())
         hits = IF.detect(hourly_features(recent), forest)
         self.write(hits, "gold_anomaly_flags", 1)
@@ -209,15 +219,35 @@ class Jobs:
     def refresh_baselines(self) -> None:
         self.write(B.refresh_params(self.normal(), self.version(0)), "device_baseline_params", 1)
 
-    def train_forest(self, model: str) -> None:
+    def recent_truth(self) -> DataFrame:
+        """Hourly features of the last seven days, with 1 where ingest flagged the hour."""
+        recent = G.trailing(self.read("silver_interface_stats"), self.now(), 24 * 7)
+        truth = recent.groupBy("device_id", "interface_name", F.date_trunc("hour", "device_ts").alias("window_start")).agg(
+            F.max(F.col("ingest_anomaly").cast("int")).alias("truth"))
+        return hourly_features(recent).dropna(subset=list(IF.FEATURES)).join(truth, list(IF.ROW_KEYS))
+
+    def train_forest(self, model: str) -> bool:
+        """Train a candidate into a version of its own. It goes live, and its rules to the
+        parameters, only if it is at least as good as the live model on the last seven days
+        (or there is none yet); either way the comparison is noted in `model_gates`."""
         path = f"{self.root}/features/run={self.run}"
-        hourly_features(self.normal()).write.mode("overwrite").parquet(path)
+        hourly_features(self.normal()).dropna(subset=list(IF.FEATURES)).write.mode("overwrite").parquet(path)
         features = self.spark.read.parquet(path)
-        forest = IF.train(features)
-        forest.save(self.spark, model)
-        rules = IF.rules_text(IF.distill(IF.label(IF.score(features, forest), forest)))
-        published = IF.fan_out(features, B.baselines(self.normal()), rules, self.version(1))
-        self.write(published, "device_baseline_params", 2)
+        forest, version = IF.train(features), f"version={-self.run}"
+        forest.save(self.spark, f"{model}/{version}")
+        current = IF.live(self.spark, model)
+        if current is None:
+            noted = self.spark.createDataFrame([(None,) * 4 + (True,)], GATE)
+        else:
+            noted = IF.gate(self.recent_truth(), forest, current)
+        self.write(noted.select(F.lit(version).alias("version"), *struct_names(GATE)), "model_gates")
+        promoted = self.batches("model_gates").filter(F.col("batch_id") == self.run * 10).first()["promoted"]
+        if promoted:
+            rules = IF.rules_text(IF.distill(IF.label(IF.score(features, forest), forest)))
+            published = IF.fan_out(features, B.baselines(self.normal()), rules, self.version(1))
+            self.write(published, "device_baseline_params", 2)
+            IF.publish(self.spark, model, version, self.run, self.now())
+        return promoted
 
     def detect_drift(self) -> None:
         path = f"{self.root}/value_counts/run={self.run}"

@@ -136,6 +136,31 @@ def test_a_replay_that_lands_during_the_refresh_is_left_for_the_next_run(spark,
     assert later.promoted().count() == 2
 
 
+def test_a_worse_model_does_not_go_live(spark, jobs, monkeypatch):
+    from telemark.plans import forest as IF
+
+    model = f"{jobs.root}/gated"
+    assert jobs.train_forest(model)
+    first, slots = IF.live_version(spark, model), jobs.read("device_baseline_params").count()
+    later = Jobs(spark, jobs.root, datetime(2024, 2, 1, tzinfo=timezone.utc), partitions={})
+    train = IF.train
+
+    def blind(features):
+        found = train(features)
+        found.threshold = float("inf") if found.threshold == float("-inf") else float("-inf")
+        return found
+
+    monkeypatch.setattr(IF, "train", blind)      # flags nothing: finds none of the known hours
+    promoted = later.train_forest(model)
+    gate = later.read("model_gates").filter(F.col("version") == "version=20240201").first()
+    assert gate["promoted"] == promoted and gate["candidate_recall"] == 0.0
+    if gate["current_recall"] > 0:
+        assert not promoted
+        assert IF.live_version(spark, model) == first
+        assert later.read("device_baseline_params").count() == slots
+    assert IF.live(spark, model).sample_size > 0
+
+
 def test_a_cluster_must_name_a_shared_folder(spark):
     from types import SimpleNamespace
 

@@ -219,6 +219,27 @@ def test_trailing_reads_only_recent_partitions(spark, t):
     assert "PartitionFilters: [isnotnull(_partition_date" in plan
 
 
+def test_touched_hours_prune_by_site_and_day(spark, t):
+    from telemark.operators import parse as P
+    from telemark.plans import gold as G
+
+    path = scratch(spark, "touched")
+    silver = P.to_silver_stats(t.scored)
+    SK.append(silver, path, "silver_interface_stats", ["site_id", "_partition_date"])
+    late = t.stored(silver.orderBy("device_ts", "device_id").limit(3))
+    logs = P.to_silver_syslogs(t.silver_syslogs)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    out = G.site_health_touched(spark.read.parquet(path), logs, late, X.as_of(), t.stored)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    filters = [x.split("PartitionFilters: ")[1] for x in plan.split("FileScan") if "dynamicpruning" in x]
+    assert filters and all(f"dynamicpruningexpression({c}#" in filters[0] for c in ("site_id", "_partition_date")), filters
+    hours = G.touched_hours(late)
+    whole = G.site_health(silver, logs, X.as_of())
+    want = whole.join(hours.withColumnRenamed("_hour", "window_start"), ["site_id", "window_start"], "left_semi")
+    keys = ["site_id", "window_start", "total_interface_count"]
+    assert rows(out.select(keys)) == rows(want.select(keys)) != []
+
+
 def test_no_local_checkpoint_and_no_cross_join():
     import pathlib
 
