@@ -6,6 +6,7 @@ row of the table takes part. Nothing is generated at random.
 """
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,7 @@ from telemark.session import scratch, tune
 STATS_TOPIC = "raw.interface-stats"
 SYSLOG_TOPIC = "raw.syslogs"
 INVENTORY_TOPIC = "raw.inventory"
-AS_OF = "2024-01-31 00:00:00"
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 # Season slots dense enough on the test tables to have a spread.
 DENSE_KEYS = ("site_id", "interface_name", "day_of_week")
@@ -38,10 +39,6 @@ def payload_seq() -> Column:
     return P.json_field("raw_payload", "seq").cast("bigint").alias("seq")
 
 
-def as_of() -> Column:
-    return F.lit(AS_OF).cast("timestamp")
-
-
 def event_base(events: DataFrame) -> DataFrame:
     """`events` with its time as an instant and the `k` of its properties."""
     ts = F.col("ts").cast("timestamp")
@@ -173,6 +170,16 @@ class Tables:
     def events(self) -> DataFrame:
         return self.read("events")
 
+    @cached_property
+    def latest(self) -> datetime:
+        """The time of the latest event, which is "now" for all jobs and reports."""
+        micros = self.events.agg(F.unix_micros(F.max(F.col("ts").cast("timestamp")))).first()[0]
+        return EPOCH + timedelta(microseconds=micros or 0)
+
+    @property
+    def as_of(self) -> Column:
+        return F.lit(self.latest).cast("timestamp")
+
     @cached_property
     def stats(self) -> DataFrame:
         """Raw interface samples, as a bronze table holds them."""
@@ -268,7 +275,7 @@ class Tables:
 
     @cached_property
     def health_history(self) -> DataFrame:
-        return G.site_health(self.enriched, self.silver_syslogs, as_of())
+        return G.site_health(self.enriched, self.silver_syslogs, self.as_of)
 
     @cached_property
     def health(self) -> DataFrame:

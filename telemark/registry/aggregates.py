@@ -78,9 +78,9 @@ def _(t):
 @query("gold_flatline_promote", """
     SELECT device_id, interface_name, window_start, anomaly_type, anomaly_subtype,
            round(score, 6) AS score, round(mean_util_in, 6) AS mean_util_in FROM flat_flags
-    WHERE detected_at >= TIMESTAMP '2024-01-31' - INTERVAL 30 DAY""")
+    WHERE detected_at >= (SELECT now FROM latest) - INTERVAL 30 DAY""")
 def _(t):
-    staged = G.trailing(flat_flags(t), X.as_of(), 720, "detected_at")
+    staged = G.trailing(flat_flags(t), t.as_of, 720, "detected_at")
     return FL.to_anomaly_records(staged).select(
         "device_id", "interface_name", "window_start", "anomaly_type", "anomaly_subtype", "score",
         "mean_util_in")
@@ -126,14 +126,14 @@ def _(t):
            CAST(0.65 AS DOUBLE) AS isolation_score_threshold
     FROM normal GROUP BY ALL""")
 def _(t):
-    return B.baselines(B.confirmed_normal(t.scored, X.as_of()))
+    return B.baselines(B.confirmed_normal(t.scored, t.as_of))
 
 
 @query("agg_group_count", """
     SELECT count(*) AS groups FROM (
         SELECT DISTINCT device_id, interface_name, hour_of_day, day_of_week FROM normal)""")
 def _(t):
-    normal = P.season_keys(B.confirmed_normal(t.scored, X.as_of()))
+    normal = P.season_keys(B.confirmed_normal(t.scored, t.as_of))
     return A.group_count(normal, "device_id", "interface_name", "hour_of_day", "day_of_week")
 
 
@@ -148,7 +148,7 @@ def _(t):
            CAST(count(*) AS DOUBLE) AS sample_count
     FROM normal GROUP BY ALL""")
 def _(t):
-    return A.hourly_features(B.confirmed_normal(t.scored, X.as_of()))
+    return A.hourly_features(B.confirmed_normal(t.scored, t.as_of))
 
 
 @query("agg_latest_params", """

@@ -43,7 +43,7 @@ def _(t):
     FROM pending p JOIN devices d ON p.device_id = d.device_id
     WHERE d.site_id IS NULL AND retry_count + 1 >= 3""")
 def _(t):
-    replay = RP.replay_pending(t.pending, t.late_inventory, t.params, X.DENSE_KEYS, at=X.as_of())
+    replay = RP.replay_pending(t.pending, t.late_inventory, t.params, X.DENSE_KEYS, at=t.as_of)
     return replay.quarantine.select(
         X.payload_seq(), "quarantine_reason")
 
@@ -112,7 +112,7 @@ def _(t):
 def _(t):
     """A retrained model against the current one on the last seven days."""
     rows = features(t)
-    week = X.as_of() - F.expr("INTERVAL 7 DAYS")
+    week = t.as_of - F.expr("INTERVAL 7 DAYS")
     current = IF.train(rows.filter(F.col("window_start") < week), seed=7)
     candidate = IF.train(rows.filter(F.col("window_start") < week), seed=IF.SEED)
     recent = t.scored.filter(F.col("device_ts") >= week)
@@ -140,8 +140,8 @@ TOUCHED = """
     WHERE (site_id, window_start) IN ({TOUCHED}) GROUP BY 1, 2""")
 def _(t):
     promoted = RP.replay_pending(
-        t.pending, t.late_inventory, t.params, X.DENSE_KEYS, at=X.as_of()).silver
+        t.pending, t.late_inventory, t.params, X.DENSE_KEYS, at=t.as_of).silver
     cols = ("site_id", "device_ts", "effective_util_in", "effective_util_out", "oper_status")
     every = t.enriched.select(*cols).unionByName(promoted.select(*cols))
-    health = G.site_health_touched(every, t.silver_syslogs, promoted, X.as_of(), t.stored)
+    health = G.site_health_touched(every, t.silver_syslogs, promoted, t.as_of, t.stored)
     return health.select("site_id", "window_start", "total_interface_count", "avg_util_in")

@@ -148,7 +148,7 @@ def _(t):
 def _(t):
     """Refreshed parameters plus one row entered by hand."""
     path = scratch(t.spark, "params")
-    now = X.as_of()
+    now = t.as_of
     SK.upsert(B.refresh_params(B.confirmed_normal(t.scored, now), now), path, "device_baseline_params")
     SK.append_rows(t.spark, [{
         "device_id": "manual", "interface_name": "error", "hour_of_day": 3, "day_of_week": 2,

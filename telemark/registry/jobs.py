@@ -93,7 +93,7 @@ def _(t):
     SELECT event_id AS seq, site_id, role, round(z, 6) AS ingest_z_score, ingest_anomaly
     FROM ({LATE_SCORED}) WHERE util_out >= 50""")
 def _(t):
-    replay = RP.replay_dlq(t.dlq, t.late_inventory, t.params, keys=X.DENSE_KEYS, at=X.as_of())
+    replay = RP.replay_dlq(t.dlq, t.late_inventory, t.params, keys=X.DENSE_KEYS, at=t.as_of)
     return replay.silver.select(X.seq(), "site_id", "role", "ingest_z_score", "ingest_anomaly")
 
 
@@ -111,7 +111,7 @@ def _(t):
     SELECT event_id AS seq, site_id, role, round(z, 6) AS ingest_z_score, ingest_anomaly
     FROM ({LATE_SCORED})""")
 def _(t):
-    replay = RP.replay_pending(t.pending, t.late_inventory, t.params, X.DENSE_KEYS, at=X.as_of())
+    replay = RP.replay_pending(t.pending, t.late_inventory, t.params, X.DENSE_KEYS, at=t.as_of)
     return replay.silver.select(X.seq(), "site_id", "role", "ingest_z_score", "ingest_anomaly")
 
 
@@ -119,7 +119,7 @@ def _(t):
 def _(t):
     """From the silver table of the backfill, scored and read back by version."""
     silver = RP.silver_batch(t.stats, t.inventory, t.params, X.DENSE_KEYS)
-    history = G.site_health(silver, P.to_silver_syslogs(t.silver_syslogs), X.as_of())
+    history = G.site_health(silver, P.to_silver_syslogs(t.silver_syslogs), t.as_of)
     return G.current_health(history).drop("refreshed_at")
 
 
@@ -131,10 +131,10 @@ def _(t):
            CAST(1.5 AS DOUBLE) AS iqr_k, CAST(0.65 AS DOUBLE) AS isolation_score_threshold,
            '{"source":"weekly_baseline_refresh","lookback_days":30,"sample_count":' || count(*) || '}'
                AS distilled_rules,
-           TIMESTAMP '2024-01-31' AS valid_from, TIMESTAMP '2099-12-31 23:59:59' AS valid_until
+           (SELECT now FROM latest) AS valid_from, TIMESTAMP '2099-12-31 23:59:59' AS valid_until
     FROM normal GROUP BY ALL""")
 def _(t):
-    return B.refresh_params(B.confirmed_normal(t.scored, X.as_of()), X.as_of())
+    return B.refresh_params(B.confirmed_normal(t.scored, t.as_of), t.as_of)
 
 
 @query("st_inventory_state", "SELECT device_id, site_id, vendor, role FROM devices")
@@ -150,11 +150,11 @@ def _(t):
                  coalesce(var_samp(effective_util_in), 0) AS variance,
                  avg(effective_util_in) AS mean_util_in, count(*) AS points
           FROM enriched WHERE oper_status = 1
-            AND device_ts >= TIMESTAMP '2024-01-31' - INTERVAL 168 HOUR GROUP BY ALL)
+            AND device_ts >= (SELECT now FROM latest) - INTERVAL 168 HOUR GROUP BY ALL)
     WHERE variance <= 25 AND points >= 2""")
 def _(t):
     flags = SW.flatline_backfill(
-        t.enriched, X.as_of(), detected_at=F.col("w.end"), threshold=25.0)
+        t.enriched, t.as_of, detected_at=F.col("w.end"), threshold=25.0)
     return flags.select(
         "device_id", "site_id", "interface_name", "window_start", "variance", "mean_util_in")
 
@@ -162,7 +162,7 @@ def _(t):
 def stored_jobs(t, *tables):
     """Jobs over tables of their own, filled from the fixture by an earlier run."""
     root = scratch(t.spark, "stored-jobs")
-    fill = Jobs(t.spark, root, datetime(2024, 1, 1, tzinfo=timezone.utc), partitions={})
+    fill = Jobs(t.spark, root, t.latest - timedelta(days=365), partitions={})
     day = F.to_date("_ingested_at")
     frames = {
         "bronze_interface_stats": lambda: t.stats.withColumn("_partition_date", day),
@@ -174,7 +174,7 @@ def stored_jobs(t, *tables):
     }
     for name in tables:
         fill.write(frames[name](), name)
-    return Jobs(t.spark, root, datetime(2024, 1, 31, tzinfo=timezone.utc), partitions={})
+    return Jobs(t.spark, root, t.latest, partitions={})
 
 
 @query("job_backfill_stored", """
@@ -203,7 +203,7 @@ def _(t):
     middle = first + (last - first) / 2
     jobs.backfill(first, middle)
     jobs.backfill(middle + timedelta(days=1), last)
-    later = Jobs(t.spark, jobs.root, datetime(2024, 2, 3, tzinfo=timezone.utc), partitions={})
+    later = Jobs(t.spark, jobs.root, t.latest + timedelta(days=3), partitions={})
     later.backfill(first, middle)
     some = [r[0] for r in t.inventory.select("site_id").distinct().orderBy("site_id").limit(3).collect()]
     later.backfill(first, last, sites=some)
@@ -216,7 +216,7 @@ def _(t):
 
 @query("job_nightly_health", """
     SELECT site_id, window_start, critical_syslog_count, total_interface_count
-    FROM health WHERE window_start >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 25 HOUR""")
+    FROM health WHERE window_start >= (SELECT now FROM latest) - INTERVAL 25 HOUR""")
 def _(t):
     """Hours that a nightly run without replays writes: the last 25 whole ones."""
     jobs = stored_jobs(t, "silver_interface_stats", "silver_syslogs")

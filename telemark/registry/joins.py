@@ -120,7 +120,7 @@ def _(t):
      AND n.interface_name = p.interface_name AND n.day_of_week = p.day_of_week
     GROUP BY n.site_id, n.interface_name, n.day_of_week""")
 def _(t):
-    seen = P.season_keys(B.confirmed_normal(t.scored, X.as_of())).groupBy(*X.DENSE_KEYS).agg(
+    seen = P.season_keys(B.confirmed_normal(t.scored, t.as_of)).groupBy(*X.DENSE_KEYS).agg(
         F.count("*").alias("rows_seen"))
     latest = B.latest_params(param_history(t), X.DENSE_KEYS)
     return J.attach(seen, latest.select(*X.DENSE_KEYS, "baseline_mean"), list(X.DENSE_KEYS))
@@ -128,11 +128,11 @@ def _(t):
 
 def param_history(t):
     """Two versions of every parameter row: an outdated one and the current one."""
-    now = t.params.withColumn("valid_from", X.as_of())
+    now = t.params.withColumn("valid_from", t.as_of)
     old = t.params.withColumns({
         "baseline_mean": F.col("baseline_mean") / 2,
         "baseline_std": F.col("baseline_std") / 2,
-        "valid_from": X.as_of() - F.expr("INTERVAL 7 DAYS"),
+        "valid_from": t.as_of - F.expr("INTERVAL 7 DAYS"),
     })
     return old.unionByName(now)
 

@@ -15,7 +15,7 @@ DRIFT_KEYS = ("interface_name", "day_of_week")
 PSI_SQL = """
     WITH split AS (
         SELECT interface_name, CAST(day_of_week AS INTEGER) AS day_of_week, effective_util_in AS m,
-               device_ts >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY AS cur FROM normal),
+               device_ts >= (SELECT now FROM latest) - INTERVAL 7 DAY AS cur FROM normal),
     sorted AS (
         SELECT interface_name, day_of_week, list_sort(list(m)) AS v, count(*) AS n
         FROM split WHERE NOT cur GROUP BY 1, 2),
@@ -54,7 +54,7 @@ PSI_SQL = """
 
 
 def counts(t):
-    split = B.split_periods(B.confirmed_normal(t.scored, X.as_of()), X.as_of())
+    split = B.split_periods(B.confirmed_normal(t.scored, t.as_of), t.as_of)
     return t.stored(B.value_counts(split, DRIFT_KEYS), "value-counts")
 
 
@@ -90,21 +90,21 @@ def _(t):
 @query("job_psi", PSI_SQL + """
     SELECT interface_name, day_of_week, round(mean_cur, 6) AS baseline_mean,
            round(coalesce(std_cur, 0), 6) AS baseline_std, CAST(1.5 AS DOUBLE) AS iqr_k,
-           CAST(0.65 AS DOUBLE) AS isolation_score_threshold, TIMESTAMP '2024-01-31' AS valid_from,
+           CAST(0.65 AS DOUBLE) AS isolation_score_threshold, (SELECT now FROM latest) AS valid_from,
            round(psi, 6) AS psi
     FROM psi WHERE psi > 0.25 AND base_points >= 10 AND cur_points >= 10""")
 def _(t):
-    quiet = B.baselines(B.confirmed_normal(t.scored, X.as_of()), DRIFT_KEYS)
-    history = quiet.withColumn("valid_from", X.as_of())
+    quiet = B.baselines(B.confirmed_normal(t.scored, t.as_of), DRIFT_KEYS)
+    history = quiet.withColumn("valid_from", t.as_of)
     return B.drift_params(
-        counts(t), history, X.as_of(), DRIFT_KEYS, store=t.stored).drop(
+        counts(t), history, t.as_of, DRIFT_KEYS, store=t.stored).drop(
         "distilled_rules", "valid_until")
 
 
 def features(t):
     """Hourly features as a stored table: training and scoring pass over it several times."""
     return t.stored(A.hourly_features(B.confirmed_normal(
-        t.scored, X.as_of(),
+        t.scored, t.as_of,
         present=("device_id", "interface_name", "effective_util_in", "effective_util_out"))),
         "features")
 
@@ -170,8 +170,8 @@ def _(t):
       ON p.device_id = s.device_id AND p.interface_name = s.interface_name
      AND p.hour_of_day = h AND p.day_of_week = d""")
 def _(t):
-    normal = B.confirmed_normal(t.scored, X.as_of())
-    return IF.fan_out(normal, B.baselines(normal), "rules", X.as_of()).select(
+    normal = B.confirmed_normal(t.scored, t.as_of)
+    return IF.fan_out(normal, B.baselines(normal), "rules", t.as_of).select(
         "device_id", "interface_name", "hour_of_day", "day_of_week", "baseline_mean",
         "baseline_std", "distilled_rules")
 
@@ -179,9 +179,9 @@ def _(t):
 @query("job_if_train")
 def _(t):
     """Features, training, distillation, saving and publishing, in one job."""
-    normal = B.confirmed_normal(t.scored, X.as_of())
+    normal = B.confirmed_normal(t.scored, t.as_of)
     rows = features(t)
     forest = IF.train(rows)
     forest.save(t.spark, scratch(t.spark, "forest"))
     rules = IF.rules_text(IF.distill(IF.label(IF.score(rows, forest), forest)))
-    return IF.fan_out(normal, B.baselines(normal), rules, X.as_of())
+    return IF.fan_out(normal, B.baselines(normal), rules, t.as_of)

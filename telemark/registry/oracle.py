@@ -1,6 +1,7 @@
 """DuckDB forms of the fixture frames, as CTE bodies in order of dependency."""
 
 CTES: dict[str, str] = {
+    "latest": "SELECT max(ts) AS now FROM events",
     "ev": """
         SELECT event_id, ts AS event_ts, CAST(user_id AS VARCHAR) AS user_key, event_type, value,
                CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
@@ -161,5 +162,5 @@ CTES: dict[str, str] = {
     "normal": """
         SELECT *, isodow(device_ts) - 1 AS day_of_week, hour(device_ts) AS hour_of_day
         FROM scored
-        WHERE NOT ingest_anomaly AND device_ts >= TIMESTAMP '2024-01-31' - INTERVAL 30 DAY""",
+        WHERE NOT ingest_anomaly AND device_ts >= (SELECT now FROM latest) - INTERVAL 30 DAY""",
 }

@@ -219,6 +219,6 @@ def _(t):
                AS distilled_rules
     FROM normal GROUP BY ALL""")
 def _(t):
-    normal = B.confirmed_normal(t.scored, X.as_of())
-    params = B.refresh_params(normal, X.as_of(), X.DENSE_KEYS)
+    normal = B.confirmed_normal(t.scored, t.as_of)
+    params = B.refresh_params(normal, t.as_of, X.DENSE_KEYS)
     return params.select(*X.DENSE_KEYS, "distilled_rules")

@@ -8,28 +8,29 @@ from telemark.plans import validation as VA
 from telemark.registry.aggregates import anomalies
 from telemark.registry.base import query
 
-AS_OF = "TIMESTAMP '2024-01-31'"
+# The time of the latest event, as `Tables.as_of`.
+AS_OF = "(SELECT now FROM latest)"
 
 
 @query("rpt_anomalies_5m", f"""
     SELECT time_bucket(INTERVAL 5 MINUTE, detected_at) AS time, site_id AS metric, count(*) AS value
     FROM flag_windows WHERE detected_at >= {AS_OF} - INTERVAL 7 DAY GROUP BY 1, 2""")
 def _(t):
-    return R.anomalies_5m(t.flag_windows, X.as_of())
+    return R.anomalies_5m(t.flag_windows, t.as_of)
 
 
 @query("rpt_health_trend", f"""
     SELECT window_start AS time, site_id AS metric, round(avg(health_score), 6) AS value
     FROM health WHERE window_start >= {AS_OF} - INTERVAL 7 DAY GROUP BY 1, 2""")
 def _(t):
-    return R.health_trend(t.health, X.as_of())
+    return R.health_trend(t.health, t.as_of)
 
 
 @query("rpt_health_latest", f"""
     SELECT site_id, round(arg_max(health_score, window_start), 6) AS health_score
     FROM health WHERE window_start >= {AS_OF} - INTERVAL 48 HOUR GROUP BY 1""")
 def _(t):
-    return R.health_latest(t.health, X.as_of())
+    return R.health_latest(t.health, t.as_of)
 
 
 @query("rpt_health_current_avg", f"""
@@ -37,7 +38,7 @@ def _(t):
         SELECT site_id, arg_max(health_score, window_start) AS s FROM health
         WHERE window_start >= {AS_OF} - INTERVAL 48 HOUR GROUP BY 1)""")
 def _(t):
-    return R.health_current_avg(t.health, X.as_of())
+    return R.health_current_avg(t.health, t.as_of)
 
 
 @query("rpt_degraded", f"""
@@ -46,7 +47,7 @@ def _(t):
            round(pct_interfaces_down, 6) AS pct_interfaces_down, critical_syslog_count
     FROM health WHERE window_start >= {AS_OF} - INTERVAL 7 DAY AND is_degraded""")
 def _(t):
-    return R.degraded(t.health, X.as_of(), "7 DAYS")
+    return R.degraded(t.health, t.as_of, "7 DAYS")
 
 
 @query("rpt_saturation_pct", f"""
@@ -54,21 +55,21 @@ def _(t):
            round(avg(pct_interfaces_saturated) * 100, 6) AS value
     FROM health WHERE window_start >= {AS_OF} - INTERVAL 48 HOUR GROUP BY 1, 2""")
 def _(t):
-    return R.saturation_pct(t.health, X.as_of())
+    return R.saturation_pct(t.health, t.as_of)
 
 
 @query("rpt_down_pct", f"""
     SELECT window_start AS time, site_id AS metric, round(avg(pct_interfaces_down) * 100, 6) AS value
     FROM health WHERE window_start >= {AS_OF} - INTERVAL 48 HOUR GROUP BY 1, 2""")
 def _(t):
-    return R.down_pct(t.health, X.as_of())
+    return R.down_pct(t.health, t.as_of)
 
 
 @query("rpt_critical_logs", f"""
     SELECT window_start AS time, site_id AS metric, CAST(sum(critical_syslog_count) AS BIGINT) AS value
     FROM health WHERE window_start >= {AS_OF} - INTERVAL 48 HOUR GROUP BY 1, 2""")
 def _(t):
-    return R.critical_logs(t.health, X.as_of())
+    return R.critical_logs(t.health, t.as_of)
 
 
 @query("rpt_dlq_reasons", f"""
@@ -76,7 +77,7 @@ def _(t):
     WHERE quarantined_at >= {AS_OF} - INTERVAL 24 HOUR GROUP BY 1
     UNION ALL SELECT 'NO_DQ_EVENTS', 0""")
 def _(t):
-    return R.dlq_reasons(t.dlq, X.as_of())
+    return R.dlq_reasons(t.dlq, t.as_of)
 
 
 @query("rpt_orphan_rate", f"""
@@ -84,7 +85,7 @@ def _(t):
                  / greatest(count(*), 1) * 100, 6) AS orphan_rate_pct
     FROM dlq WHERE quarantined_at >= {AS_OF} - INTERVAL 24 HOUR""")
 def _(t):
-    return R.orphan_rate(t.dlq, X.as_of())
+    return R.orphan_rate(t.dlq, t.as_of)
 
 
 # The fixture's batch verdict: a busy hour, judged on effective utilisation alone.
@@ -121,9 +122,9 @@ def _(t):
            round(CAST(count(*) FILTER (WHERE agreement = 'CONFIRMED') AS DOUBLE)
                  / greatest(count(*), 1) * 100, 6) AS agreement_pct
     FROM checked WHERE validated_at >= {AS_OF} - INTERVAL 24 HOUR GROUP BY 1
-    UNION ALL SELECT {AS_OF}, 0.0""")
+    UNION ALL SELECT date_trunc('hour', {AS_OF}), 0.0""")
 def _(t):
-    return R.agreement_pct(checked(t), X.as_of())
+    return R.agreement_pct(checked(t), t.as_of)
 
 
 @query("rpt_reprocess_rate", """
@@ -132,7 +133,7 @@ def _(t):
     FROM dlq q LEFT JOIN devices d ON q.device_id = d.device_id""")
 def _(t):
     decided = RP.decide_dlq(t.dlq, t.late_inventory)
-    return R.reprocess_rate(RP.dlq_state(t.dlq, RP.resolution_log(decided, X.as_of())))
+    return R.reprocess_rate(RP.dlq_state(t.dlq, RP.resolution_log(decided, t.as_of)))
 
 
 @query("rpt_false_positive", VALIDATION_CTES + f"""
@@ -140,7 +141,7 @@ def _(t):
                  / greatest(count(*), 1) * 100, 6) AS false_positive_pct
     FROM checked WHERE validated_at >= {AS_OF} - INTERVAL 24 HOUR""")
 def _(t):
-    return R.false_positive_pct(checked(t), X.as_of())
+    return R.false_positive_pct(checked(t), t.as_of)
 
 
 @query("rpt_site_summary", """

@@ -65,14 +65,14 @@ def _(t):
 
 @query("flt_confirmed_normal", "SELECT event_id, effective_util_in FROM normal")
 def _(t):
-    return B.confirmed_normal(t.scored, X.as_of()).select("event_id", "effective_util_in")
+    return B.confirmed_normal(t.scored, t.as_of).select("event_id", "effective_util_in")
 
 
 @query("flt_trailing", """
     SELECT event_id, device_ts FROM enriched
-    WHERE device_ts >= TIMESTAMP '2024-01-31' - INTERVAL 25 HOUR""")
+    WHERE device_ts >= (SELECT now FROM latest) - INTERVAL 25 HOUR""")
 def _(t):
-    return G.trailing(t.enriched, X.as_of()).select("event_id", "device_ts")
+    return G.trailing(t.enriched, t.as_of).select("event_id", "device_ts")
 
 
 @query("flt_up_only", "SELECT event_id, oper_status FROM enriched WHERE oper_status = 1")

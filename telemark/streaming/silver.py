@@ -20,6 +20,7 @@ from telemark.plans import reprocess as RP
 from telemark.schema import PARTITIONS, SEASON_KEYS, ddl
 from telemark.sinks.tables import read_batches, write_micro_batch
 from telemark.streaming.bronze import to_bronze
+from telemark.streaming.moments import flat_from_moments
 
 BASELINE_TTL = 1800.0
 
@@ -57,6 +58,9 @@ class SilverJob:
     flat_points: int = 30
     flat_eps: float = 0.01
     ingest_time: Column | None = None
+    # State of `moments.moments_stream` over up readings; without it a series is flat by
+    # the readings of its own micro-batch.
+    moments: Callable[[], DataFrame] | None = None
     partitions: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(PARTITIONS))
 
     def path(self, table: str) -> str:
@@ -70,7 +74,10 @@ class SilverJob:
 
     def _score(self, enriched: DataFrame) -> DataFrame:
         scored = score_ingest(enriched, self.params(), self.keys)
-        flat = FL.flat_series(scored, min_points=self.flat_points, eps=self.flat_eps)
+        if self.moments is None:
+            flat = FL.flat_series(scored, min_points=self.flat_points, eps=self.flat_eps)
+        else:
+            flat = flat_from_moments(self.moments(), self.flat_points, self.flat_eps)
         return merge_flatline(scored, flat)
 
     def interface_batch(self, batch: DataFrame, batch_id: int) -> None:
@@ -138,6 +145,26 @@ class SilverJob:
             "record_key", "raw_payload", "device_id", F.lit(RP.PROMOTED).alias("resolution"))
         self._write(log.distinct(), batch_id, "pending_log")
 
+    def _timed(self, stage: str, handler: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+        """The handler, followed by one row about the batch in `metrics_batches`.
+
+        A stage has a table directory of its own, as stages count their batches apart; a
+        retried batch replaces its row.
+        """
+        def run(batch: DataFrame, batch_id: int) -> None:
+            begin = time.monotonic()
+            handler(batch, batch_id)
+            seconds = time.monotonic() - begin
+            row = batch.sparkSession.createDataFrame([(seconds,)], "seconds double")
+            write_micro_batch(row, batch_id, f"{self.path('metrics_batches')}/stage={stage}")
+
+        return run
+
+    def batch_log(self, spark: SparkSession) -> DataFrame:
+        """One row per micro-batch that ever ran: stage, batch_id, seconds."""
+        return spark.read.schema("seconds double, stage string, batch_id bigint").parquet(
+            self.path("metrics_batches"))
+
     def _read(self, table: str, schema: str, spark: SparkSession) -> DataFrame:
         return read_batches(spark, self.path(table), schema, self.partitions.get(table, ()))
 
@@ -147,11 +174,6 @@ class SilverJob:
             "syslogs": self.syslog_batch,
             "inventory": self.inventory_batch,
         }[stage]
-        writer = messages.writeStream.foreachBatch(handler).option(
+        writer = messages.writeStream.foreachBatch(self._timed(stage, handler)).option(
             "checkpointLocation", self.path(f"_checkpoints/{stage}"))
         return (writer.trigger(availableNow=True) if once else writer).start()
-
-
-def progress_rows(query: StreamingQuery, stage: str) -> list[tuple[str, float]]:
-    """(stage, seconds) of the recent micro-batches, as Spark itself reports them."""
-    return [(stage, p["durationMs"].get("triggerExecution", 0) / 1000.0) for p in query.recentProgress]

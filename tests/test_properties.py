@@ -211,8 +211,8 @@ def test_trailing_reads_only_recent_partitions(spark, t):
 
     path = scratch(spark, "pruned")
     SK.append(P.to_silver_stats(t.scored), path, "silver_interface_stats", ["_partition_date"])
-    recent = G.trailing(spark.read.parquet(path), X.as_of())
-    assert recent.count() == G.trailing(t.enriched, X.as_of()).count() > 0
+    recent = G.trailing(spark.read.parquet(path), t.as_of)
+    assert recent.count() == G.trailing(t.enriched, t.as_of).count() > 0
     files = recent.select("_metadata.file_path").distinct().count()
     assert files <= 2
     plan = recent._jdf.queryExecution().executedPlan().toString()
@@ -229,12 +229,12 @@ def test_touched_hours_prune_by_site_and_day(spark, t):
     late = t.stored(silver.orderBy("device_ts", "device_id").limit(3))
     logs = P.to_silver_syslogs(t.silver_syslogs)
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    out = G.site_health_touched(spark.read.parquet(path), logs, late, X.as_of(), t.stored)
+    out = G.site_health_touched(spark.read.parquet(path), logs, late, t.as_of, t.stored)
     plan = out._jdf.queryExecution().executedPlan().toString()
     filters = [x.split("PartitionFilters: ")[1] for x in plan.split("FileScan") if "dynamicpruning" in x]
     assert filters and all(f"dynamicpruningexpression({c}#" in filters[0] for c in ("site_id", "_partition_date")), filters
     hours = G.touched_hours(late)
-    whole = G.site_health(silver, logs, X.as_of())
+    whole = G.site_health(silver, logs, t.as_of)
     want = whole.join(hours.withColumnRenamed("_hour", "window_start"), ["site_id", "window_start"], "left_semi")
     keys = ["site_id", "window_start", "total_interface_count"]
     assert rows(out.select(keys)) == rows(want.select(keys)) != []
