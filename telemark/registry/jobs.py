@@ -216,7 +216,7 @@ def _(t):
 
 @query("job_nightly_health", """
     SELECT site_id, window_start, critical_syslog_count, total_interface_count
-    FROM health WHERE window_start >= (SELECT now FROM latest) - INTERVAL 25 HOUR""")
+    FROM health WHERE window_start >= date_trunc('hour', (SELECT now FROM latest) - INTERVAL 25 HOUR)""")
 def _(t):
     """Hours that a nightly run without replays writes: the last 25 whole ones."""
     jobs = stored_jobs(t, "silver_interface_stats", "silver_syslogs")
