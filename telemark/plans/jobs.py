@@ -81,7 +81,7 @@ class Jobs:
         """`step` keeps two jobs of one run that write the same table apart."""
         shaped = align(df, struct(table)) if table in TABLES else df
         write_micro_batch(
-            shaped, self.run * 10 - step, f"{self.root}/{table}", self.partitions.get(table, ()))
+            shaped, self.run * 10 - step, f"{self.root}/{table}", self.partitions.get(table, ()), table)
 
     def inventory(self) -> DataFrame:
         return latest_inventory(self.read("bronze_inventory"))

@@ -224,12 +224,20 @@ def _(t):
 
 @query("sort_within_files", """
     SELECT site_id, CAST(device_ts AS DATE) AS partition_date, count(*) AS n,
-           min(device_id) AS first_device FROM scored GROUP BY 1, 2""")
+           min(device_id) AS first_device, CAST(0 AS BIGINT) AS misplaced FROM scored GROUP BY 1, 2""")
 def _(t):
-    path = scratch(t.spark, "sorted")
-    SK.append(P.to_silver_stats(t.scored), path, "silver_interface_stats", ["_partition_date"])
-    return t.spark.read.parquet(path).groupBy(
-        "site_id", F.col("_partition_date").alias("partition_date")).agg(F.count("*").alias("n"), F.min("device_id").alias("first_device"))
+    """Two micro-batches of silver; no row of any file stands behind a later one."""
+    path, table = scratch(t.spark, "sorted"), "silver_interface_stats"
+    for half in range(2):
+        rows = P.to_silver_stats(t.scored.filter(F.col("event_id") % 2 == half))
+        SK.write_micro_batch(rows, half, path, ["_partition_date"], table)
+    files = t.spark.read.parquet(path)
+    keys = ["site_id", "partition_date"]
+    named = files.withColumnRenamed("_partition_date", "partition_date")
+    groups = named.groupBy(*keys).agg(F.count("*").alias("n"), F.min("device_id").alias("first_device"))
+    wrong = SK.out_of_order(files, table).withColumnRenamed("_partition_date", "partition_date").groupBy(
+        *keys).agg(F.count("*").alias("misplaced"))
+    return groups.join(wrong, keys, "left").fillna(0, ["misplaced"])
 
 
 @query("sort_reason_counts", """

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -56,6 +56,15 @@ def sort_files(df: DataFrame, table: str, partitions: Iterable[str]) -> DataFram
     return df.sortWithinPartitions(*partitions, *order) if order else df
 
 
+def out_of_order(files: DataFrame, table: str) -> DataFrame:
+    """Rows of a stored table that stand behind a row they should precede, by file. Each
+    file is one group, of the size files have."""
+    key = F.struct(*SORT_ORDER[table])
+    placed = files.withColumns({"_file": F.col("_metadata.file_path"), "_at": F.col("_metadata.row_index")})
+    before = F.lag(key).over(Window.partitionBy("_file").orderBy("_at"))
+    return placed.withColumn("_before", before).filter(F.col("_before") > key).drop("_file", "_at", "_before")
+
+
 def write(
     df: DataFrame, path: str, mode: str = "append", partitions: Iterable[str] = (),
 ) -> None:
@@ -102,10 +111,13 @@ def append_rows(spark: SparkSession, rows: list[dict], path: str, table: str) ->
         append(spark.createDataFrame(rows, schema=struct(table)), path, table)
 
 
-def write_micro_batch(df: DataFrame, batch_id: int, path: str, partitions: Iterable[str] = ()) -> None:
-    """Write one micro-batch to its own directory; a retried batch replaces itself."""
+def write_micro_batch(
+    df: DataFrame, batch_id: int, path: str, partitions: Iterable[str] = (), table: str = "",
+) -> None:
+    """Write one micro-batch to its own directory; a retried batch replaces itself. Files of
+    a `table` with a declared order are sorted by it."""
     partitions = list(partitions)
-    (gather(df, partitions).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (sort_files(gather(df, partitions), table, partitions).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(*partitions).parquet(f"{path}/batch_id={batch_id}"))
 
 

@@ -67,7 +67,7 @@ class SilverJob:
         return f"{self.root}/{table}"
 
     def _write(self, df: DataFrame, batch_id: int, table: str) -> None:
-        write_micro_batch(df, batch_id, self.path(table), self.partitions.get(table, ()))
+        write_micro_batch(df, batch_id, self.path(table), self.partitions.get(table, ()), table)
 
     def _at(self) -> Column:
         return F.current_timestamp() if self.ingest_time is None else self.ingest_time
