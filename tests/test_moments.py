@@ -39,8 +39,9 @@ def test_state_equals_batch_over_any_split(spark):
              START + timedelta(minutes=i), None if i % 5 == 0 else float(i * i % 97) + 1e6, i)
             for i in range(300)]
     rows += [("null", "e0", START + timedelta(minutes=i), None, i) for i in range(3)]
+    rows += [("untimed", "e0", None, 2.0, 0)]
     path, checkpoint = scratch(spark, "moments"), scratch(spark, "moments-checkpoint")
-    for piece in (rows[:1], rows[1:40] + rows[300:], rows[40:300]):
+    for piece in (rows[:1], rows[1:40] + rows[300:303], rows[40:300] + rows[303:]):
         feed(spark, path, piece)
         drain(spark, path, checkpoint, watermark="1 day")
     got = as_dict(M.read_moments(spark, checkpoint))
