@@ -19,6 +19,9 @@ PSI_LIMIT = 0.25
 PSI_BINS = 10
 PSI_MIN_POINTS = 10
 RATIO_FLOOR = 1e-8
+# A group of more distinct values than this is ranked in cells of about equal counts.
+WHOLE_GROUP = 100_000
+CELLS = 256
 FAR_FUTURE = "2099-12-31 23:59:59"
 
 
@@ -87,16 +90,36 @@ def value_counts(split: DataFrame, keys) -> DataFrame:
     )
 
 
-def psi_cuts(counts: DataFrame, keys, bins: int = PSI_BINS, cell: float = 1.0) -> DataFrame:
+def value_cells(
+    base: DataFrame, keys, whole: int = WHOLE_GROUP, cells: int = CELLS, store: Store | None = None,
+) -> DataFrame:
+    """`base` with a `_cell` that rises with the value, for ranking a group in pieces.
+
+    The bounds between cells are approximate quantiles of the group's distinct values, so
+    cells hold about equally many of them however closely the readings lie together. Any
+    bounds give the same ranks. Groups of up to `whole` values are one cell and carry no
+    bounds, which keeps the table of bounds small: one row per `whole` values at most.
+    """
+    at = [i / cells for i in range(1, cells)]
+    bounds = base.groupBy(*keys).agg(
+        F.percentile_approx("value", at, 8 * cells).alias("_bounds"), F.count("*").alias("_values"),
+    ).filter(F.col("_values") > whole).drop("_values")
+    cell = F.size(F.filter("_bounds", lambda b: b < F.col("value")))
+    split = F.when(F.col("_bounds").isNotNull() & F.col("value").isNotNull(), cell).otherwise(F.lit(0))
+    return attach(base, bounds, list(keys), store=store).withColumn("_cell", split).drop("_bounds")
+
+
+def psi_cuts(
+    counts: DataFrame, keys, bins: int = PSI_BINS, whole: int = WHOLE_GROUP, store: Store | None = None,
+) -> DataFrame:
     """Distinct quantile cut points of the baseline sample, linearly interpolated.
 
-    Exact ranks without gathering a group: values are split into cells of
-    width `cell`, ranked inside their cell, and shifted by the rows of the
-    cells before. A group is spread over its cells (at most 101 for a
-    percentage), and ranks are whole-number arithmetic.
+    Exact ranks without gathering a large group: values are ranked inside their
+    cell (`value_cells`), and shifted by the rows of the cells before. Ranks are
+    whole-number arithmetic.
     """
     keys = list(keys)
-    base = counts.filter("n_base > 0").withColumn("_cell", F.floor(F.col("value") / cell))
+    base = value_cells(counts.filter("n_base > 0"), keys, whole, store=store)
     cells = base.groupBy(*keys, "_cell").agg(F.sum("n_base").alias("_in_cell"))
     up_to = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -170,8 +193,8 @@ def psi(
     store: Store | None = None,
 ) -> DataFrame:
     """PSI per group from `value_counts`, best stored first as it is read three times.
-    `store` also keeps the cut points, so that their true size picks the join."""
-    cuts = psi_cuts(counts, keys, bins)
+    `store` also keeps the cell bounds and cut points, so that their true size picks the join."""
+    cuts = psi_cuts(counts, keys, bins, store=store)
     cuts = store(cuts) if store else cuts
     return psi_scores(counts, psi_hist(counts, cuts, keys, open_ended), keys)
 

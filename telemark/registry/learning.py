@@ -62,7 +62,7 @@ def counts(t):
     SELECT interface_name, day_of_week, i - 1 AS edge, round(cuts[i], 6) AS cut
     FROM cuts, range(1, 12) r(i) WHERE i <= len(cuts)""")
 def _(t):
-    cuts = B.psi_cuts(counts(t), DRIFT_KEYS)
+    cuts = B.psi_cuts(counts(t), DRIFT_KEYS, store=t.stored)
     return cuts.select(*DRIFT_KEYS, F.posexplode("cuts").alias("edge", "cut")).withColumn(
         "edge", F.col("edge").cast("bigint"))
 
@@ -70,7 +70,7 @@ def _(t):
 @query("psi_hist", PSI_SQL + "SELECT * FROM hist")
 def _(t):
     values = counts(t)
-    return B.psi_hist(values, t.stored(B.psi_cuts(values, DRIFT_KEYS)), DRIFT_KEYS)
+    return B.psi_hist(values, t.stored(B.psi_cuts(values, DRIFT_KEYS, store=t.stored)), DRIFT_KEYS)
 
 
 @query("psi_score", PSI_SQL + """
