@@ -16,6 +16,7 @@ from telemark.streaming import bronze as BR
 from telemark.streaming import moments as MO
 from telemark.streaming import silver as SV
 from telemark.streaming import windows as SW
+from telemark.streaming.inventory import CURRENT, current_inventory
 
 FILES = 2
 
@@ -182,6 +183,16 @@ def _(t):
     return silver.filter(F.col("batch_id") >= RP.REPLAY_BATCH).select(X.seq(), "site_id", "role")
 
 
+@query("st_inventory_snapshot", "SELECT device_id, site_id, vendor, role FROM devices")
+def _(t):
+    """The inventory that the micro-batches carry forward, after first listings and corrections."""
+    job = silver_job(t)
+    messages = inventory_messages(t, t.inventory_history, F.col("_ingested_at"))
+    source = SS.file_raw(t.spark, land(t, messages), max_files=1)
+    job.start(source, "inventory", once=True).awaitTermination()
+    return current_inventory(t.spark, job.path(CURRENT)).select("device_id", "site_id", "vendor", "role")
+
+
 @query("st_baseline_ttl", """
     SELECT site_id, interface_name, CAST(day_of_week AS INTEGER) AS day_of_week,
            round(baseline_mean, 6) AS baseline_mean FROM params""")

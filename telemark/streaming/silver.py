@@ -15,11 +15,11 @@ from telemark.operators import flatline as FL
 from telemark.operators import parse as P
 from telemark.operators import route as RT
 from telemark.operators.score import merge_flatline, score_ingest
-from telemark.operators.versions import latest_inventory
 from telemark.plans import reprocess as RP
 from telemark.schema import PARTITIONS, SEASON_KEYS, ddl
 from telemark.sinks.tables import read_batches, write_micro_batch
 from telemark.streaming.bronze import to_bronze
+from telemark.streaming.inventory import CURRENT, advance
 from telemark.streaming.moments import flat_from_moments
 
 BASELINE_TTL = 1800.0
@@ -130,9 +130,9 @@ class SilverJob:
             return
         spark = batch.sparkSession
         self._write(to_bronze(batch, "bronze_inventory", self._at()), batch_id, "bronze_inventory")
-        history = spark.read.parquet(self.path("bronze_inventory"))
-        inventory = latest_inventory(history)
-        arrived = history.filter(F.col("batch_id") == batch_id)
+        arrived = self._arrived(spark, batch_id)
+        inventory = advance(
+            spark, self.path(CURRENT), arrived, batch_id, lambda: self._earlier(spark, batch_id))
         pending = self._read("silver_pending_enrichment", ddl("silver_pending_enrichment"), spark)
         closed = self._read("pending_log", RP.PENDING_LOG, spark).filter(
             (F.col("resolution") != RP.RETRY) & (F.col("batch_id") < batch_id))
@@ -145,6 +145,15 @@ class SilverJob:
             "record_key", "raw_payload", "device_id", F.lit(RP.PROMOTED).alias("resolution"))
         self._write(log.distinct(), batch_id, "pending_log")
 
+    def _arrived(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The inventory rows of one micro-batch, from its own directory."""
+        return spark.read.schema(ddl("bronze_inventory")).parquet(f"{self.path('bronze_inventory')}/batch_id={batch_id}")
+
+    def _earlier(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The inventory rows of all micro-batches before one."""
+        return self._read("bronze_inventory", ddl("bronze_inventory"), spark).filter(
+            F.col("batch_id") < batch_id).drop("batch_id")
+
     def _timed(self, stage: str, handler: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
         """The handler, followed by one row about the batch in `metrics_batches`.
 
