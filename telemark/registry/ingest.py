@@ -1,4 +1,6 @@
 """Batch sources and sinks (sections 2.1 and 2.2)."""
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from telemark import fixtures as X
@@ -8,11 +10,14 @@ from telemark.plans import baseline as B
 from telemark.plans import reprocess as RP
 from telemark.plans.collect import collect_topic
 from telemark.registry.base import query
-from telemark.schema import struct
+from telemark.schema import ddl, struct
 from telemark.session import scratch
+from telemark.sinks import compact as CO
 from telemark.sinks import tables as SK
 from telemark.sources import files as SF
 
+# The test tables hold a few rows per site and day.
+DAILY = ("_partition_date",)
 # Coarser than the default, so that the test table has records to drop.
 COLLECT_KEYS = ("device_id", "interface_name")
 
@@ -103,6 +108,24 @@ def _(t):
     ).agg(F.count("*").alias("n"), F.round(F.sum("effective_util_in"), 4).alias("total"))
 
 
+@query("sink_compact", """
+    SELECT site_id, CAST(device_ts AS DATE) AS partition_date, count(*) AS n,
+           round(sum(effective_util_in), 4) AS total FROM scored GROUP BY 1, 2""")
+def _(t):
+    """Four micro-batches, the last two with late rows for closed days, and two compactions."""
+    path, table = scratch(t.spark, "silver"), "silver_interface_stats"
+    silver = t.stored(P.to_silver_stats(t.scored))
+    batch = F.pmod(F.xxhash64("device_id", "device_ts"), F.lit(4))
+    for i in range(4):
+        SK.write_micro_batch(silver.filter(batch == i), i, path, DAILY, table)
+        if i % 2:
+            closed = t.latest.date() - timedelta(days=20 - 6 * i)
+            CO.compact(t.spark, path, ddl(table), DAILY, closed, table)
+    return CO.read_compacted(t.spark, path, ddl(table), DAILY).groupBy(
+        "site_id", F.col("_partition_date").alias("partition_date"),
+    ).agg(F.count("*").alias("n"), F.round(F.sum("effective_util_in"), 4).alias("total"))
+
+
 @query("sink_overwrite_parts", """
     SELECT event_type, CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS version,
            count(*) AS n FROM events GROUP BY 1, 2""")

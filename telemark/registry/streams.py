@@ -11,6 +11,7 @@ from telemark.registry.base import query
 from telemark.schema import struct
 from telemark.session import scratch
 from telemark.sinks import tables as SK
+from telemark.sinks.layouts import read_evolving
 from telemark.sources import streams as SS
 from telemark.streaming import bronze as BR
 from telemark.streaming import moments as MO
@@ -115,6 +116,26 @@ def _(t):
         F.count("*").alias("n"), F.count_distinct("event_id").alias("events"))
 
 
+@query("sink_evolve_stream", """
+    SELECT CASE WHEN k <> 93 THEN event_id END AS seq,
+           CASE WHEN k <> 93 AND event_id % 2 = 0 THEN CAST(event_id AS DOUBLE) END AS packet_loss
+    FROM stats""")
+def _(t):
+    """A stream table whose second run brings a column; earlier rows have none of it."""
+    path, checkpoint = scratch(t.spark, "evolving"), scratch(t.spark, "evolving-checkpoint")
+    seq = F.col("event_id")
+    wide = F.concat(F.regexp_replace("payload", r"}\s*$", ""), F.lit(', "packet_loss": '), seq.cast("string"), F.lit("}"))
+    feed = scratch(t.spark, "topic")
+    for odd, text, extra in ((1, F.col("payload"), {}), (0, wide, {"packet_loss": "double"})):
+        half = t.payloads.filter(seq % 2 == odd).select(
+            text.alias("value"), F.col("_ingested_at").alias("timestamp"), F.col("source_topic").alias("topic"))
+        half.write.mode("append").parquet(feed)
+        BR.start_bronze(SS.file_raw(t.spark, feed), "bronze_interface_stats", path, checkpoint, F.col("kafka_ts"),
+                        once=True, extra=extra).awaitTermination()
+    return read_evolving(t.spark, path).select(
+        P.json_field("_raw_payload", "seq").cast("bigint").alias("seq"), "packet_loss")
+
+
 @query("st_bronze_ingest", """
     SELECT 'stats' AS feed, count(*) AS n, count(ts) AS with_ts, count(device_id) AS with_device FROM stats
     UNION ALL SELECT 'syslogs', count(*), count(ts), count(device_id) FROM logs
