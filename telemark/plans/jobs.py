@@ -23,6 +23,7 @@ from telemark.plans import gold as G
 from telemark.plans import reprocess as RP
 from telemark.plans import validation as VA
 from telemark.schema import PARTITIONS, SEASON_KEYS, TABLES, ddl, struct
+from telemark.sinks.compact import compact, read_compacted
 from telemark.sinks.tables import align, overwrite_touched, read_batches, write_micro_batch
 
 GATE = ("candidate_precision double, candidate_recall double, current_precision double, current_recall double, "
@@ -52,6 +53,8 @@ class Jobs:
     as_of: datetime
     keys: tuple[str, ...] = SEASON_KEYS
     partitions: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(PARTITIONS))
+    # Tables that `compact` looks after; they are read from its runs as far as these go.
+    compacted: frozenset[str] = frozenset()
 
     @property
     def run(self) -> int:
@@ -66,8 +69,8 @@ class Jobs:
 
     def batches(self, table: str) -> DataFrame:
         schema = LOGS.get(table) or ddl(table)
-        return read_batches(
-            self.spark, f"{self.root}/{table}", schema, self.partitions.get(table, ()))
+        read = read_compacted if table in self.compacted else read_batches
+        return read(self.spark, f"{self.root}/{table}", schema, self.partitions.get(table, ()))
 
     def read(self, table: str) -> DataFrame:
         return self.batches(table).drop("batch_id")
@@ -89,6 +92,12 @@ class Jobs:
     def params(self) -> DataFrame:
         return B.latest_params(self.read("device_baseline_params"))
 
+    def compact(self, open_days: int = 2) -> None:
+        """Days that ended before the last `open_days` are rewritten in the `compacted` tables."""
+        closed_before = self.as_of.date() - timedelta(days=open_days - 1)
+        for table in sorted(self.compacted):
+            compact(self.spark, f"{self.root}/{table}", ddl(table), self.partitions.get(table, ()), closed_before, table)
+
     # -- nightly ------------------------------------------------------------------
 
     def replay_dlq(self) -> None:

@@ -1,10 +1,12 @@
 """Columns that appear later, and compaction of closed days, on stored tables."""
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType, TimestampType
 
+from telemark.plans.jobs import Jobs
+from telemark.schema import PARTITIONS, struct
 from telemark.session import scratch
 from telemark.sinks import compact as C
 from telemark.sinks import layouts as L
@@ -118,3 +120,21 @@ def test_runs_are_sorted_and_covered_directories_are_not_read(spark):
     assert plan.count("PartitionFilters: [") >= 2 and plan.count("batch_id") > 2
     files = read.select(F.input_file_name().alias("f")).distinct().collect()
     assert sorted({r["f"].split(path)[1].split("/_partition")[0] for r in files}) == ["-compacted/run=0", "/batch_id=3"]
+
+
+def test_jobs_read_a_compacted_table_whole(spark):
+    table, root = "silver_dlq_quarantine", scratch(spark, "jobs")
+    plain = Jobs(spark, root, datetime(2024, 1, 9, 12))
+    jobs = Jobs(spark, root, datetime(2024, 1, 9, 12), compacted=frozenset({table}))
+    for i in range(3):
+        rows = spark.createDataFrame([(f"{i}-{n}", day(n)) for n in (5, 7, 8, 9)], "raw_payload string, _partition_date date")
+        SK.write_micro_batch(SK.align(rows, struct(table)), i, f"{root}/{table}", PARTITIONS[table], table)
+    jobs.compact()
+    runs = spark.read.parquet(f"{root}/{table}-compacted")
+    assert {r["_partition_date"] for r in runs.collect()} == {day(5), day(7)}
+    assert runs.count() == 4
+
+    def content(of):
+        return sorted((r["raw_payload"], r["batch_id"]) for r in of.batches(table).collect())
+
+    assert content(jobs) == content(plain) and len(content(jobs)) == 12
