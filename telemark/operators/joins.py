@@ -26,6 +26,11 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return estimated_bytes(df) <= limit
 
 
+def planner_limit(df: DataFrame) -> int:
+    """Up to which estimate Spark's planner broadcasts a side by itself."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def attach(
     fact: DataFrame, small: DataFrame, on: str | list[str], how: str = "left",
     limit: int = BROADCAST_BYTES, salts: int = SALTS, store: Store | None = None,
@@ -35,7 +40,10 @@ def attach(
     Small side within the checked bound: broadcast, no shuffle of the fact.
     Otherwise a shuffle join on (key, salt): the salt is a hash of the fact
     row, so one hot key, NULL included, is spread over `salts` tasks, and the
-    same row gets the same salt when a lost task is run again.
+    same row gets the same salt when a lost task is run again. Catalyst's estimate
+    leaves out the copies per salt, and the planner would broadcast them through
+    the driver; where it could, a hint keeps the join a shuffle. What is estimated
+    larger and turns out small is left to adaptive execution.
 
     An aggregate is estimated as large as its input. `store` writes such a side
     as a table first, so that its true size decides. For two large sides pass
@@ -54,6 +62,8 @@ def attach(
     hashed = [f.name for f in fact.schema.fields if not isinstance(f.dataType, MapType)]
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
     spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if fits_broadcast(small, salts * planner_limit(small)):
+        spread = spread.hint("merge")
     return salted.join(spread, [*on, "_salt"], how).drop("_salt")
 
 

@@ -61,6 +61,13 @@ def test_large_side_is_not_broadcast(spark):
     assert "_salt" in plan and "broadcast" not in plan.lower()
 
 
+@pytest.mark.parametrize("how", ["left", "left_semi"])
+def test_copies_per_salt_are_not_broadcast_by_the_planner(spark, how):
+    fact, small = skewed(spark), spark.range(10).select(F.col("id").cast("string").alias("device_id"))
+    plan = J.attach(fact, small, "device_id", how, limit=0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_routes_partition_the_input(t):
     counts = {r["route"]: r["n"] for r in t.routed.groupBy("route").agg(F.count("*").alias("n")).collect()}
     assert sum(counts.values()) == t.events.count() and set(counts) == {"INVALID", "PENDING", "ENRICHED"}
