@@ -13,6 +13,7 @@ DOWN_STATES = (2, 3)
 CRITICAL_BELOW = 3
 CRITICAL_CAP = 4
 DEGRADED_BELOW = 40.0
+SCORE_PLACES = 9
 SUBTYPES = {
     "HIGH_Z_SCORE": "Z_SCORE_SPIKE",
     "IQR_OUTLIER": "IQR_FENCE_BREACH",
@@ -70,8 +71,11 @@ def day_of_week(ts: str = "device_ts") -> Column:
 
 
 def health_score(saturation: Column, critical: Column, down: Column) -> Column:
+    """To `SCORE_PLACES` decimals: the rates are fractions of counts, so a score at a limit
+    is met exactly and does not hang on the last bit of the sums."""
     penalty = saturation * 40 + F.least(critical, F.lit(CRITICAL_CAP)) * 10 + down * 20
-    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.lit(100.0) - penalty))
+    score = F.round(F.lit(100.0) - penalty, SCORE_PLACES)
+    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), score))
 
 
 def is_degraded(score: str = "health_score") -> Column:

@@ -139,6 +139,16 @@ def test_health_score(spark, sat, crit, down, score):
     assert row["health_score"] == pytest.approx(score) and row["low"] == (score < 40)
 
 
+def test_score_at_the_limit_is_not_degraded(spark):
+    """All fractions of counts up to 60 that give a score of 40, and the nearest ones below it."""
+    parts = [(sat, down, n) for n in range(1, 61) for sat in range(n + 1)
+             for down in range(n + 1) if 40 * sat + 20 * down in (20 * n, 20 * n + 20)]
+    df = spark.createDataFrame(parts, "sat int, down int, n int").select(
+        "*", C.health_score(F.col("sat") / F.col("n"), F.lit(4), F.col("down") / F.col("n")).alias("health_score"))
+    wrong = df.filter(C.is_degraded() != (F.col("sat") * 40 + F.col("down") * 20 > F.col("n") * 20))
+    assert wrong.count() == 0
+
+
 def numpy_psi(base, cur, bins=10):
     """The index by its definition, for comparison."""
     cuts = np.unique(np.quantile(base, np.linspace(0, 1, bins + 1)))
