@@ -141,10 +141,13 @@ def type_pivot(anomalies: DataFrame) -> DataFrame:
 
 
 def degraded_sites(health: DataFrame) -> DataFrame:
+    """Scores to one decimal, a hair upwards: a mean that ends exactly between two
+    decimals does not hang on the order of its sum."""
+    hair = F.lit(1e-9)
     return health.filter("is_degraded").groupBy("site_id").agg(
         F.count("*").alias("degraded_windows"),
-        F.round(F.min("health_score"), 1).alias("min_score"),
-        F.round(F.avg("health_score"), 1).alias("avg_score"),
+        F.round(F.min("health_score") + hair, 1).alias("min_score"),
+        F.round(F.avg("health_score") + hair, 1).alias("avg_score"),
     ).orderBy("min_score", "site_id")
 
 

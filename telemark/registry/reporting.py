@@ -165,8 +165,8 @@ def _(t):
 
 
 @query("rpt_degraded_sites", """
-    SELECT site_id, count(*) AS degraded_windows, round(min(health_score), 1) AS min_score,
-           round(avg(health_score), 1) AS avg_score FROM health WHERE is_degraded GROUP BY 1""")
+    SELECT site_id, count(*) AS degraded_windows, round(min(health_score) + 1e-9, 1) AS min_score,
+           round(avg(health_score) + 1e-9, 1) AS avg_score FROM health WHERE is_degraded GROUP BY 1""")
 def _(t):
     return R.degraded_sites(t.health)
 

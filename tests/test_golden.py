@@ -14,6 +14,7 @@ from telemark.operators import score as S
 from telemark.plans import baseline as B
 from telemark.plans import gold as G
 from telemark.plans import validation as VA
+from telemark.plans.reports import degraded_sites
 
 T0 = datetime(2024, 3, 4, 10, 0, tzinfo=timezone.utc)  # a Monday
 INVENTORY = [("d1", "S1", "v", "edge"), ("d2", None, "v", "edge")]
@@ -149,6 +150,14 @@ def test_score_at_the_limit_is_not_degraded(spark):
     assert wrong.count() == 0
 
 
+def test_mean_between_two_decimals_rounds_up(spark):
+    """The sum of three scores of 30.15 ends below 90.45."""
+    df = spark.createDataFrame(
+        [("S", 30.15, True)] * 3, "site_id string, health_score double, is_degraded boolean")
+    row = degraded_sites(df).first()
+    assert row["min_score"] == row["avg_score"] == 30.2
+
+
 def numpy_psi(base, cur, bins=10):
     """The index by its definition, for comparison."""
     cuts = np.unique(np.quantile(base, np.linspace(0, 1, bins + 1)))
