@@ -1,12 +1,16 @@
 """Ingest-time scoring against seasonal baselines."""
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from telemark.functions import columns as C
 from telemark.operators.joins import Store, attach, attach_baseline
 from telemark.operators.parse import season_keys
+from telemark.operators.rolling import trailing_quantiles
 from telemark.schema import SEASON_KEYS
 
 BASELINE_DDL = (
@@ -66,26 +70,31 @@ def merge_flatline(
 def rolling_iqr(
     stats: DataFrame, value: str = "effective_util_in", hours: int = 4,
     keys: tuple[str, ...] = ("device_id", "interface_name"), ts: str = "device_ts",
+    buckets: int = 32,
 ) -> DataFrame:
     """First and third quartile of each row's trailing `hours`, exact.
 
     A row is owned by its own time slice and copied once into the next slice,
     where it can only serve as history. A window then needs (key, slice) rows
-    only, so a hot series is spread over as many tasks as it has slices.
+    only, so a hot series is spread over as many tasks as it has slices. The series
+    of a slice go through Python in `buckets` groups, each in one pass; all columns
+    travel with their rows, so select those that are needed.
     """
-    width = hours * 3600
-    slice_no = F.floor(F.unix_timestamp(ts) / F.lit(width))
-    copies = F.explode(F.array(F.lit(0), F.lit(1)))
-    spread = stats.withColumn("_ahead", copies).withColumn("_slice", slice_no + F.col("_ahead"))
-    over = (
-        f"OVER (PARTITION BY {', '.join(keys)}, _slice ORDER BY {ts} "
-        f"RANGE BETWEEN INTERVAL {hours} HOURS PRECEDING AND CURRENT ROW)"
-    )
-    return (
-        spread.withColumns({
-            "q1": F.expr(f"percentile({value}, 0.25D) {over}"),
-            "q3": F.expr(f"percentile({value}, 0.75D) {over}"),
-        })
-        .filter(F.col("_ahead") == 0)
-        .drop("_ahead", "_slice")
-    )
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    width = hours * 3_600_000_000
+    # Rows without a time have no next slice: they would meet their own copies.
+    copies = F.when(micros.isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    spread = stats.withColumns({
+        "_t": micros, "_v": F.col(value).cast("double"), "_ahead": F.explode(copies),
+    }).withColumns({
+        "_slice": F.floor(F.col("_t") / F.lit(width)) + F.col("_ahead"),
+        "_bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)),
+    })
+    add = trailing_quantiles(list(keys), width, {"q1": 0.25, "q3": 0.75})
+    layout = StructType([*stats.schema.fields, StructField("q1", DoubleType()), StructField("q3", DoubleType())])
+
+    def owned(group: pa.Table) -> pa.Table:
+        done = add(group)
+        return done.filter(pc.equal(done["_ahead"], 0)).select(layout.names)
+
+    return spread.groupBy("_slice", "_bucket").applyInArrow(owned, layout)

@@ -95,7 +95,8 @@ def _(t):
                                RANGE BETWEEN INTERVAL 4 HOUR PRECEDING AND CURRENT ROW)""")
 def _(t):
     """Per site, so that the sparse test series overlap."""
-    return S.rolling_iqr(t.enriched, keys=("site_id", "interface_name")).select("event_id", "q1", "q3")
+    rows = t.enriched.select("event_id", "site_id", "interface_name", "device_ts", "effective_util_in")
+    return S.rolling_iqr(rows, keys=("site_id", "interface_name")).select("event_id", "q1", "q3")
 
 
 @query("doc_rules_at_ingest")

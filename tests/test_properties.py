@@ -1,4 +1,5 @@
 """Properties that must hold on any input: whole results, one row per key, replay once."""
+import math
 import random
 from datetime import datetime, timedelta, timezone
 
@@ -104,6 +105,24 @@ def test_total_per_hour_counts_hot_groups(spark):
     assert groups.filter("count <> total_ifaces").count() == 0
 
 
+@pytest.mark.parametrize("keys", [("device_id", "interface_name"), ("interface_name",)])
+def test_rolling_iqr_equals_percentile_over_ranges(spark, keys):
+    """Peers, windows' borders, repeated rows, NULLs, NaN and rows without time or key."""
+    rng = random.Random(5)
+    hours = [timedelta(hours=rng.choice((0, 1, 2, 4, 6, 8)), seconds=rng.choice((0, 1))) for _ in range(400)]
+    values = (None, math.nan, math.inf, -1.5, 0.0, 2.0, 7.25)
+    data = [(rng.choice((None, "a", "b")), "e", None if i % 17 == 0 else T0 + h, rng.choice(values), i)
+            for i, h in enumerate(hours)]
+    df = spark.createDataFrame(
+        data, "device_id string, interface_name string, device_ts timestamp, v double, n bigint")
+    over = (f"OVER (PARTITION BY {', '.join(keys)} ORDER BY device_ts "
+            "RANGE BETWEEN INTERVAL 4 HOURS PRECEDING AND CURRENT ROW)")
+    want = df.selectExpr("n", f"percentile(v, 0.25D) {over} AS q1", f"percentile(v, 0.75D) {over} AS q3")
+    got = S.rolling_iqr(df, "v", keys=keys).select("n", "q1", "q3")
+    assert rows(got.selectExpr("n", "string(q1)", "string(q3)")) == rows(
+        want.selectExpr("n", "string(q1)", "string(q3)"))
+
+
 def test_rolling_iqr_against_brute_force(spark):
     rng = np.random.default_rng(2)
     data = [("hot" if i % 3 == 0 else f"d{i % 5}", "e",
