@@ -19,17 +19,26 @@ from telemark.streaming import silver as SV
 from telemark.streaming import windows as SW
 from telemark.streaming.inventory import CURRENT, current_inventory
 
+# Micro-batches of a run in pieces, and the least number of files of a topic.
 FILES = 2
+FILE_ROWS = 200_000
 
 
-def land(t, messages, time="_ingested_at") -> str:
-    """Messages as files of a topic, in order of their time."""
+def files_per_batch(rows: int, batches: int) -> int:
+    """So many files that none holds more than about `FILE_ROWS` rows."""
+    return max(FILES // batches, -(-rows // (batches * FILE_ROWS)))
+
+
+def land(t, messages, batches=1, time="_ingested_at"):
+    """A stream of messages from files of a topic, which are in order of their time, in so
+    many micro-batches. Rows of one time are dealt by their text."""
     path = scratch(t.spark, "topic")
     rows = messages.select(
         F.col("payload").alias("value"), F.col(time).alias("timestamp"),
         F.col("source_topic").alias("topic"))
-    rows.repartitionByRange(FILES, "timestamp").write.parquet(path)
-    return path
+    per = files_per_batch(messages.count(), batches)
+    rows.repartitionByRange(batches * per, "timestamp", F.xxhash64("value")).write.parquet(path)
+    return SS.file_raw(t.spark, path, per if batches > 1 else None)
 
 
 def drain(stream, path, checkpoint) -> None:
@@ -64,11 +73,10 @@ def silver_job(t, inventory=None) -> SV.SilverJob:
         partitions={"silver_interface_stats": ("_partition_date",)})
 
 
-def run_interface(t, job=None, max_files=None):
+def run_interface(t, job=None, batches=1):
     """All stats messages through the micro-batch job; the tables it wrote."""
     job = job or silver_job(t)
-    source = SS.file_raw(t.spark, land(t, t.payloads), max_files)
-    running = job.start(source, "interface_stats", once=True)
+    running = job.start(land(t, t.payloads, batches), "interface_stats", once=True)
     running.awaitTermination()
 
     def read(table):
@@ -87,14 +95,14 @@ def run_interface(t, job=None, max_files=None):
     SELECT 'raw.interface-stats' AS source_topic, date_trunc('day', ingested) AS day, count(*) AS n
     FROM stats GROUP BY 2""")
 def _(t):
-    messages = drained(t, SS.file_raw(t.spark, land(t, t.payloads)))
+    messages = drained(t, land(t, t.payloads))
     return messages.groupBy("source_topic", F.date_trunc("day", "kafka_ts").alias("day")).agg(
         F.count("*").alias("n"))
 
 
 @query("src_stream_limited", "SELECT count(*) AS n, 'raw.interface-stats' AS source_topic FROM stats")
 def _(t):
-    messages = drained(t, SS.file_raw(t.spark, land(t, t.payloads), max_files=1))
+    messages = drained(t, land(t, t.payloads, FILES))
     return messages.groupBy("source_topic").agg(F.count("*").alias("n"))
 
 
@@ -151,7 +159,7 @@ def _(t):
     out, started = None, []
     for feed, (table, messages) in feeds.items():
         path = scratch(t.spark, table)
-        source = SS.file_raw(t.spark, land(t, messages))
+        source = land(t, messages)
         started.append((feed, table, path, BR.start_bronze(
             source, table, path, f"{path}-checkpoint", at, once=True)))
     for feed, table, path, running in started:
@@ -177,14 +185,14 @@ def _(t):
 @query("st_interface_routes", "SELECT route, count(*) AS n FROM routed GROUP BY 1")
 def _(t):
     """Counts of the micro-batches, written by the job rather than collected."""
-    return run_interface(t, max_files=1)["routes"].groupBy("route").agg(F.sum("n").alias("n"))
+    return run_interface(t, batches=FILES)["routes"].groupBy("route").agg(F.sum("n").alias("n"))
 
 
 @query("st_syslogs", """
     SELECT device_id, site_id, device_ts, severity, is_critical, message FROM clean_logs""")
 def _(t):
     job = silver_job(t)
-    source = SS.file_raw(t.spark, land(t, X.syslog_payloads(t.events)))
+    source = land(t, X.syslog_payloads(t.events))
     job.start(source, "syslogs", once=True).awaitTermination()
     return t.spark.read.parquet(job.path("silver_syslogs")).select(
         "device_id", "site_id", "device_ts", "severity",
@@ -198,7 +206,7 @@ def _(t):
     """Stats first, then the late inventory, whose micro-batch replays parked rows."""
     job = run_interface(t)["job"]
     at = F.lit("2024-01-30 00:00:00").cast("timestamp")
-    source = SS.file_raw(t.spark, land(t, inventory_messages(t, t.devices, at)))
+    source = land(t, inventory_messages(t, t.devices, at))
     job.start(source, "inventory", once=True).awaitTermination()
     silver = t.spark.read.parquet(job.path("silver_interface_stats"))
     return silver.filter(F.col("batch_id") >= RP.REPLAY_BATCH).select(X.seq(), "site_id", "role")
@@ -209,7 +217,7 @@ def _(t):
     """The inventory that the micro-batches carry forward, after first listings and corrections."""
     job = silver_job(t)
     messages = inventory_messages(t, t.inventory_history, F.col("_ingested_at"))
-    source = SS.file_raw(t.spark, land(t, messages), max_files=1)
+    source = land(t, messages, FILES)
     job.start(source, "inventory", once=True).awaitTermination()
     return current_inventory(t.spark, job.path(CURRENT)).select("device_id", "site_id", "vendor", "role")
 
@@ -292,7 +300,7 @@ def _(t):
 @query("rpt_batch_p99")
 def _(t):
     """Micro-batch durations of a run over all messages, from the table the batches write."""
-    return R.batch_p99(run_interface(t, max_files=1)["job"].batch_log(t.spark))
+    return R.batch_p99(run_interface(t, batches=FILES)["job"].batch_log(t.spark))
 
 
 @query("rpt_batch_log", """
@@ -300,7 +308,7 @@ def _(t):
 def _(t):
     """Each message was routed in a micro-batch that the log holds, and the report covers
     the whole log."""
-    run = run_interface(t, max_files=1)
+    run = run_interface(t, batches=FILES)
     log = run["job"].batch_log(t.spark)
     routed = run["routes"].join(log, "batch_id").groupBy("stage").agg(F.sum("n").alias("messages"))
     whole = log.groupBy("stage").agg(F.max("seconds").alias("slowest"), F.count("*").alias("logged"))
