@@ -327,8 +327,10 @@ def _(t):
 def _(t):
     """Moments of every series as stream state, after two micro-batches of silver files."""
     path, checkpoint = scratch(t.spark, "silver-table"), scratch(t.spark, "moments-checkpoint")
-    P.to_silver_stats(t.scored).repartitionByRange(FILES, "device_ts").write.parquet(path)
-    silver = SS.table_stream(t.spark, path, struct("silver_interface_stats"), max_files=1)
+    per = files_per_batch(t.events.count(), FILES)
+    P.to_silver_stats(t.scored).repartitionByRange(
+        FILES * per, "device_ts", F.xxhash64("device_id", "interface_name")).write.parquet(path)
+    silver = SS.table_stream(t.spark, path, struct("silver_interface_stats"), max_files=per)
     # Files may come in any order: all of the data counts as in time.
     changes = MO.moments_stream(silver, watermark="400 days", idle_days=400)
     MO.start_moments(changes, checkpoint, once=True).awaitTermination()

@@ -13,10 +13,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -51,29 +50,30 @@ def partials(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
 
 class Moments(StatefulProcessor):
     def __init__(self, keys: list[str], idle_ms: int) -> None:
-        self.keys, self.idle_ms = keys, idle_ms
+        self.changed, self.idle_ms = Row(*keys, "n", "mean", "m2", "last_ms"), idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("moments", STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        found = self.state.get() if self.state.exists() else (0, None, 0.0, None)
-        for part in rows:
-            last = part["last_ts"].astype("datetime64[ms]")
-            for n, mean, m2, at in zip(part["n"], part["mean"], part["m2"], last):
-                one = (int(n), float(mean) if n else None, float(m2),
-                       None if pd.isna(at) else int(at.value // 1_000_000))
-                found = merge(found, one)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = self.state.get() or (0, None, 0.0, None)
+        found = before
+        for row in rows:
+            found = merge(found, (row["n"], row["mean"] if row["n"] else None, row["m2"], row["last_ms"]))
         self.state.update(found)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if found[3] is not None:
+        # One timer per series, set once: when it fires, it is moved to where it is due by then.
+        if before[3] is None and found[3] is not None:
             self.handle.registerTimer(found[3] + self.idle_ms)
-        yield pd.DataFrame([(*key, *found)], columns=[*self.keys, "n", "mean", "m2", "last_ms"])
+        yield self.changed(*key, *found)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        found = self.state.get()
+        due = found[3] + self.idle_ms if found else 0
+        if due > expiredTimerInfo.getExpiryTimeInMs() and due >= timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(due)
+        else:
+            self.state.clear()
         return iter(())
 
 
@@ -88,7 +88,8 @@ def moments_stream(
     reduced = named.mapInArrow(
         lambda batches: partials(batches, keys),
         f"{kinds}, n bigint, mean double, m2 double, last_ts timestamp")
-    return reduced.withWatermark("last_ts", watermark).groupBy(*keys).transformWithStateInPandas(
+    timed = reduced.withWatermark("last_ts", watermark).withColumn("last_ms", F.unix_millis("last_ts"))
+    return timed.groupBy(*keys).transformWithState(
         Moments(keys, idle_days * 86_400_000), f"{kinds}, {STATE}", "Update", "EventTime")
 
 

@@ -1,6 +1,7 @@
 """Moments kept as stream state equal the batch aggregate; idle series start anew."""
 import math
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -99,3 +100,54 @@ def test_every_micro_batch_is_logged(spark):
         run(frame, batch_id)
     report = {r["stage"]: r["batches"] for r in batch_p99(job.batch_log(spark)).collect()}
     assert report == {"syslogs": 110}
+
+
+class Kept:
+    """A state handle that notes its calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], []
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.calls.append("registerTimer")
+        self.timers.append(at)
+
+
+def test_a_series_costs_two_state_calls_and_keeps_one_timer():
+    handle, series = Kept(), M.Moments(["d"], idle_ms=100)
+    series.init(handle)
+
+    def read(at):
+        handle.calls.clear()
+        row = {"n": 1, "mean": 2.0, "m2": 0.0, "last_ms": at}
+        assert len(list(series.handleInputRows(("a",), iter([row]), None))) == 1
+        return handle.calls
+
+    def fire(at, watermark):
+        handle.timers.remove(at)
+        list(series.handleExpiredTimer(("a",), SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark),
+                                       SimpleNamespace(getExpiryTimeInMs=lambda: at)))
+
+    assert read(None) == ["get", "update"] and handle.timers == []
+    assert read(1000) == ["get", "update", "registerTimer"] and handle.timers == [1100]
+    assert read(1050) == ["get", "update"] and handle.timers == [1100]
+    fire(1100, watermark=1101)
+    assert handle.value[0] == 3 and handle.timers == [1150]
+    fire(1150, watermark=1151)
+    assert handle.value is None and handle.timers == []
+    read(1000), read(1050), fire(1100, watermark=2000)
+    assert handle.value is None and handle.timers == []
