@@ -40,6 +40,7 @@ Z_MIN = 4.5
 FOLDS = 3
 THRESHOLD = 0.5
 PREFIXES = (4, 5, 6)
+PIECE = 1 << 20  # (row, feature) pairs of the fit that are worked on at once
 
 
 def features(column) -> tuple[np.ndarray, np.ndarray]:
@@ -88,35 +89,61 @@ class Linear:
         return _sigmoid(margin + before @ self.earlier)
 
 
-def choose(rows: np.ndarray, feats: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The features whose share of positive rows differs from the overall share beyond chance."""
+def _pieces(n: int) -> Iterator[slice]:
+    for begin in range(0, n, PIECE):
+        yield slice(begin, min(begin + PIECE, n))
+
+
+def choose(rows: np.ndarray, feats: np.ndarray, use: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The features whose share of positive rows differs from the overall share beyond chance,
+    among the rows in `use`."""
     size = 1 << FEATURE_BITS
-    total = np.bincount(feats, minlength=size).astype(float)
-    good = np.bincount(feats, weights=y[rows], minlength=size)
-    share = y.mean() if len(y) else 0.0
+    total, good = np.zeros(size), np.zeros(size)
+    mine, positive = use.astype(float), use * y.astype(float)
+    for part in _pieces(len(feats)):
+        r, f = rows[part], feats[part].astype(np.int64)
+        total += np.bincount(f, weights=mine[r], minlength=size)
+        good += np.bincount(f, weights=positive[r], minlength=size)
+    share = y[use].astype(float).mean() if use.any() else 0.0
     spread = np.sqrt(np.maximum(total * share * (1 - share), 1e-9))
     z = np.where(total >= 3, np.abs(good - total * share) / spread, 0)
     best = np.argsort(-z, kind="stable")[:KEPT]
     return np.sort(best[z[best] >= Z_MIN])
 
 
-def fit(rows: np.ndarray, feats: np.ndarray, y: np.ndarray, before: np.ndarray, steps: int = 150) -> Linear:
-    n, share = len(y), float(y.mean()) if len(y) else 0.0
+def entries(rows: np.ndarray, feats: np.ndarray, use: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows in `use` and chosen features, both by their number among these."""
+    place = np.full(1 << FEATURE_BITS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen), dtype=np.int32)
+    number = (np.cumsum(use) - 1).astype(np.int32)
+    out_rows, out = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for part in _pieces(len(feats)):
+        r, c = rows[part], place[feats[part]]
+        have = use[r] & (c >= 0)
+        out_rows.append(number[r[have]])
+        out.append(c[have])
+    return np.concatenate(out_rows), np.concatenate(out)
+
+
+def fit(rows: np.ndarray, feats: np.ndarray, use: np.ndarray, y: np.ndarray, before: np.ndarray, steps: int = 150) -> Linear:
+    """The model of the rows in `use`. All pairs are read in pieces; only those of chosen
+    features are copied."""
+    n = int(use.sum())
+    known, before = y[use].astype(float), before[use]
+    share = float(known.mean()) if n else 0.0
     bias = float(np.log((share * n + 0.5) / ((1 - share) * n + 0.5)))
     earlier = np.zeros(before.shape[1])
     if not 0 < share < 1:
         return Linear(np.zeros(0, np.int64), np.zeros(0), earlier, bias if n else -10.0)
-    chosen = choose(rows, feats, y)
-    place = np.searchsorted(chosen, feats)
-    have = place < len(chosen)
-    have[have] = chosen[place[have]] == feats[have]
-    r, c, k = rows[have], place[have], len(chosen)
+    chosen = choose(rows, feats, use, y)
+    r, c = entries(rows, feats, use, chosen)
+    k = len(chosen)
     theta = np.zeros(k + before.shape[1] + 1)
     theta[-1] = bias
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
         margin = np.bincount(r, weights=theta[c], minlength=n) + before @ theta[k:-1] + theta[-1]
-        error = (_sigmoid(margin) - y) / n
+        error = (_sigmoid(margin) - known) / n
         slope = np.concatenate([np.bincount(c, weights=error[r], minlength=k), before.T @ error, [error.sum()]])
         slope[:-1] += 1e-5 * theta[:-1]
         first = 0.9 * first + 0.1 * slope
@@ -125,29 +152,28 @@ def fit(rows: np.ndarray, feats: np.ndarray, y: np.ndarray, before: np.ndarray,
     return Linear(chosen, theta[:k], theta[k:-1], float(theta[-1]))
 
 
+def gathered(lists: Sequence[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and items of all lists, one after another."""
+    lengths = [np.diff(np.asarray(x.offsets)) for x in lists]
+    return np.concatenate(lengths), np.concatenate([np.asarray(x.flatten(), dtype=np.int32) for x in lists])
+
+
 def fit_chain(lengths: np.ndarray, feats: np.ndarray, folds: np.ndarray, labels: np.ndarray) -> list[Linear]:
     """One model per label column (values 1, 0, -1 for unknown) in order."""
     n = len(lengths)
-    rows = np.repeat(np.arange(n), lengths)
+    rows = np.repeat(np.arange(n, dtype=np.int32), lengths)
     before = np.zeros((n, 0))
     models = []
-
-    def trained(use: np.ndarray, y: np.ndarray) -> Linear:
-        number = np.cumsum(use) - 1
-        mine = use[rows]
-        return fit(number[rows[mine]], feats[mine], y[use].astype(float), before[use])
-
     for j in range(labels.shape[1]):
         y = labels[:, j]
         known = y >= 0
         unseen = np.zeros(n)
         for f in range(FOLDS):
-            model = trained(known & (folds != f), y)
+            model = fit(rows, feats, known & (folds != f), y, before)
             held = folds == f
-            number = np.cumsum(held) - 1
-            mine = held[rows]
-            unseen[held] = model.probability(number[rows[mine]], feats[mine], int(held.sum()), before[held])
-        models.append(trained(known, y))
+            r, c = entries(rows, feats, held, model.chosen)
+            unseen[held] = model.probability(r, model.chosen[c], int(held.sum()), before[held])
+        models.append(fit(rows, feats, known, y, before))
         before = np.column_stack([before, unseen])
     return models
 
@@ -177,15 +203,15 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col:
     names = [f"y{j}" for j in range(len(categories))]
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if table.num_rows == 0:
+        lists, others = [], []
+        for batch in batches:
+            lists.append(batch.column("feats"))
+            others.append(batch.select(["fold", *names]))
+        if not sum(map(len, lists)):
             return
-        table = table.combine_chunks()
-        lists = table["feats"].combine_chunks()
-        if isinstance(lists, pa.ChunkedArray):
-            lists = lists.chunk(0)
-        feats = np.asarray(lists.flatten()).astype(np.int64)
-        lengths = np.diff(np.asarray(lists.offsets))
+        lengths, feats = gathered(lists)
+        lists.clear()
+        table = pa.Table.from_batches(others)
         marks = np.column_stack([np.asarray(table[n]) for n in names])
         for j, m in enumerate(fit_chain(lengths, feats, np.asarray(table["fold"]), marks)):
             yield pa.RecordBatch.from_arrays(
