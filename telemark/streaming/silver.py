@@ -5,7 +5,6 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -69,6 +68,14 @@ class SilverJob:
     def _write(self, df: DataFrame, batch_id: int, table: str) -> None:
         write_micro_batch(df, batch_id, self.path(table), self.partitions.get(table, ()), table)
 
+    def _staged(self, routed: DataFrame, stage: str) -> DataFrame:
+        """The routed rows of a micro-batch as a table. Several writes read them; a cached
+        partition would be read whole by one task, files are split by their size. The next
+        micro-batch (or a retry) of the stage replaces the table."""
+        path = self.path(f"_staged/{stage}")
+        routed.write.mode("overwrite").parquet(path)
+        return routed.sparkSession.read.schema(routed.schema).parquet(path)
+
     def _at(self) -> Column:
         return F.current_timestamp() if self.ingest_time is None else self.ingest_time
 
@@ -83,41 +90,35 @@ class SilverJob:
     def interface_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Route, score, mark flat series, write silver, quarantine, parking and counts.
 
-        The routed rows feed all of these, so they are kept for the batch.
+        The routed rows feed all of these, so they are written once for the batch.
         """
         if batch.isEmpty():
             return
         parsed = P.parse_stats(batch.withColumn("_ingested_at", self._at()))
-        routed = RT.route_stats(parsed, self.inventory()).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            scored = self._score(RT.only(routed, RT.ENRICHED))
-            self._write(P.to_silver_stats(scored), batch_id, "silver_interface_stats")
-            self._write(P.to_silver_dlq(RT.only(routed, RT.INVALID), at=F.col("_ingested_at")),
-                        batch_id, "silver_dlq_quarantine")
-            self._write(P.to_silver_pending(RT.only(routed, RT.PENDING), at=F.col("_ingested_at")),
-                        batch_id, "silver_pending_enrichment")
-            counts = RT.route_counts(routed, "source_topic")
-            self._write(counts, batch_id, "metrics_routes")
-            silver = batch.sparkSession.read.parquet(
-                f"{self.path('silver_interface_stats')}/batch_id={batch_id}")
-            self._write(A.flag_counts(silver), batch_id, "metrics_flags")
-            self._write(A.site_now(silver), batch_id, "metrics_sites")
-        finally:
-            routed.unpersist()
+        routed = self._staged(RT.route_stats(parsed, self.inventory()), "interface_stats")
+        scored = self._score(RT.only(routed, RT.ENRICHED))
+        self._write(P.to_silver_stats(scored), batch_id, "silver_interface_stats")
+        self._write(P.to_silver_dlq(RT.only(routed, RT.INVALID), at=F.col("_ingested_at")),
+                    batch_id, "silver_dlq_quarantine")
+        self._write(P.to_silver_pending(RT.only(routed, RT.PENDING), at=F.col("_ingested_at")),
+                    batch_id, "silver_pending_enrichment")
+        counts = RT.route_counts(routed, "source_topic")
+        self._write(counts, batch_id, "metrics_routes")
+        silver = batch.sparkSession.read.parquet(
+            f"{self.path('silver_interface_stats')}/batch_id={batch_id}")
+        self._write(A.flag_counts(silver), batch_id, "metrics_flags")
+        self._write(A.site_now(silver), batch_id, "metrics_sites")
 
     def syslog_batch(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         parsed = P.parse_syslogs(batch.withColumn("_ingested_at", self._at()))
-        routed = RT.route_syslogs(parsed, self.inventory()).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._write(P.to_silver_syslogs(RT.only(routed, RT.ENRICHED)), batch_id, "silver_syslogs")
-            self._write(P.to_silver_dlq(RT.only(routed, RT.INVALID), at=F.col("_ingested_at")),
-                        batch_id, "syslog_dlq_quarantine")
-            self._write(P.to_silver_pending(RT.only(routed, RT.PENDING), at=F.col("_ingested_at")),
-                        batch_id, "syslog_pending_enrichment")
-        finally:
-            routed.unpersist()
+        routed = self._staged(RT.route_syslogs(parsed, self.inventory()), "syslogs")
+        self._write(P.to_silver_syslogs(RT.only(routed, RT.ENRICHED)), batch_id, "silver_syslogs")
+        self._write(P.to_silver_dlq(RT.only(routed, RT.INVALID), at=F.col("_ingested_at")),
+                    batch_id, "syslog_dlq_quarantine")
+        self._write(P.to_silver_pending(RT.only(routed, RT.PENDING), at=F.col("_ingested_at")),
+                    batch_id, "syslog_pending_enrichment")
 
     def inventory_batch(self, batch: DataFrame, batch_id: int) -> None:
         """New inventory: keep it, then replay the parked rows of its devices.
