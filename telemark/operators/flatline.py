@@ -1,7 +1,7 @@
 """Flat series: mergeable variance over groups, tumbling and sliding windows."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SERIES = ("device_id", "interface_name")
@@ -76,8 +76,9 @@ def flat_windows_sliding(
 
     Rows are first folded into panes of one slide each, and the panes of a series into
     blocks as long as a window. A window is the end of one block and the beginning of the
-    next, so each pane goes to two blocks only, where running merges in both directions
-    give the two parts of every window. A series of any length spreads over its blocks.
+    next, so each pane goes to two blocks only. A block and its next are one short array,
+    from which all windows that begin in the block are merged: neither window starts nor
+    blocks of too few points are sorted. A series of any length spreads over its blocks.
     A window with equal minimum and maximum has variance exactly 0.
     """
     slide, per = slide_minutes * 60, width_minutes // slide_minutes
@@ -94,39 +95,41 @@ def flat_windows_sliding(
         )
     )
     block = F.floor(F.col("_pane") / per)
-    homes = F.array(*[F.struct((block - i).alias("block"), F.lit(i == 1).alias("next")) for i in (0, 1)])
-    copies = panes.withColumn("_home", F.explode(homes)).select(
-        *keys, "_home.block", "_home.next", (F.col("_pane") - block * per).alias("pos"), F.lit(False).alias("start"),
-        "n", (F.col("n") * F.col("mean")).alias("s1"), (F.col("n") * F.col("mean") * F.col("mean")).alias("s2"), "m2", "low", "high")
-    starts = copies.groupBy(*keys, "block").agg(F.sum("n").alias("all")).filter(F.col("all") >= min_points).select(
-        *keys, "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(per - 1).cast("long"))).alias("pos"), F.lit(True).alias("start"))
-    lined = copies.unionByName(starts, allowMissingColumns=True)
-    from_end = Window.partitionBy(*keys, "block").orderBy(F.desc("pos"), "start").rowsBetween(Window.unboundedPreceding, 0)
-    from_begin = Window.partitionBy(*keys, "block").orderBy("pos", F.desc("start")).rowsBetween(Window.unboundedPreceding, 0)
-
-    def part(merge, name: str):
-        """What a window has of its own block, and of the next one."""
-        own = merge(F.when(~F.col("next"), F.col(name))).over(from_end)
-        return own, merge(F.when(F.col("next"), F.col(name))).over(from_begin)
-
-    def total(name: str):
-        own, after = (F.coalesce(x, F.lit(0)) for x in part(F.sum, name))
-        return own + after
-
-    merged = lined.select(
-        *keys, "block", "pos", "start", total("n").alias("points"), total("s1").alias("_s1"), total("s2").alias("_s2"),
-        total("m2").alias("_m2"), F.least(*part(F.min, "low")).alias("low"), F.greatest(*part(F.max, "high")).alias("high"),
-    ).filter(F.col("start") & (F.col("points") >= min_points)).withColumn(
-        "_start", (F.col("block") * per + F.col("pos")) * slide)
+    at = (F.col("_pane") - block * per).cast("int") + F.when(F.col("_next"), per).otherwise(0)
+    # At most twice the panes of a window each, in order; blocks of too few points end here.
+    blocks = (
+        panes.filter("n > 0").withColumn("_next", F.explode(F.array(F.lit(False), F.lit(True))))
+        .groupBy(*keys, (block - F.col("_next").cast("int")).alias("block"))
+        .agg(F.array_sort(F.collect_list(F.struct(at.alias("pos"), "n", "mean", "m2", "low", "high"))).alias("_panes"),
+             F.sum("n").alias("_all"))
+        .filter(F.col("_all") >= min_points)
+    )
+
+    def moments(n, mean, m2, low, high, pos):
+        return F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"), low.alias("low"), high.alias("high"), pos.alias("pos"))
+
+    def merge(w, p):
+        n, off = w["n"] + p["n"], p["mean"] - w["mean"]
+        return moments(
+            n, w["mean"] + off * p["n"] / n, w["m2"] + p["m2"] + off * off * w["n"] * p["n"] / n,
+            F.least(w["low"], p["low"]), F.greatest(w["high"], p["high"]), w["pos"])
+
+    def window(pos):
+        nothing = F.lit(None).cast("double")
+        start = moments(F.lit(0).cast("long"), F.lit(0.0), F.lit(0.0), nothing, nothing, pos)
+        return F.aggregate(F.filter("_panes", lambda p: (p["pos"] >= pos) & (p["pos"] < pos + per)), start, merge)
+
+    windows = blocks.select(
+        *keys, "block", F.explode(F.transform(F.sequence(F.lit(0), F.lit(per - 1)), window)).alias("_w"))
+    merged = windows.filter(F.col("_w.n") >= min_points).select(
+        *keys, F.col("_w.n").alias("points"), F.col("_w.mean").alias("mean_util_in"), F.col("_w.low").alias("low"),
+        F.col("_w.high").alias("high"), F.col("_w.m2").alias("_m2"),
+        ((F.col("block") * per + F.col("_w.pos")) * slide).alias("_start"))
     width = width_minutes * 60
-    mean = F.col("_s1") / F.col("points")
-    between = F.greatest(F.col("_s2") - F.col("_s1") * mean, F.lit(0.0))
-    spread = F.coalesce(
-        F.try_divide(F.col("_m2") + between, F.col("points") - 1), F.lit(0.0))
+    spread = F.coalesce(F.try_divide(F.col("_m2"), F.col("points") - 1), F.lit(0.0))
     return (
         merged.withColumns({
             "variance": F.when(F.col("low") == F.col("high"), 0.0).otherwise(spread),
-            "mean_util_in": mean,
             "window_start": F.timestamp_seconds("_start"),
             "window_end": F.timestamp_seconds(F.col("_start") + width),
         })

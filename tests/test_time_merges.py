@@ -71,3 +71,13 @@ def test_a_pane_goes_to_two_blocks(spark):
     assert plan.count("Generate explode(_home") <= plan.count("Generate explode") <= 3
     assert "Generate explode([0,1,2" in plan or plan.count("explode(sequence(") <= 1
     assert out.count() == 2000 + 47 - 2     # windows of fewer than two points are left out
+
+
+def test_sliding_windows_sort_neither_starts_nor_lone_points(spark):
+    lone = spark.range(50).select(
+        F.col("id").cast("string").alias("device_id"), F.lit("s").alias("site_id"), F.lit("i").alias("interface_name"),
+        F.lit(1).alias("oper_status"), F.timestamp_seconds(F.col("id") * 300).alias("device_ts"), F.lit(1.0).alias("effective_util_in"))
+    out = FL.flat_windows_sliding(lone.unionByName(lone.filter("id < 2")))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" not in plan and "Union" not in plan.split("Aggregate")[0]
+    assert out.count() == 2 * 48
