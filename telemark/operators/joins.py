@@ -13,6 +13,8 @@ from pyspark.sql.types import MapType
 BROADCAST_BYTES = 8 * 1024 * 1024
 # Above the bound the fact side is spread over this many salts per key.
 SALTS = 16
+# All copies of a side of known size, one per salt, may take this much together.
+COPIED_BYTES = SALTS * BROADCAST_BYTES
 
 Store = Callable[[DataFrame], DataFrame]
 
@@ -26,6 +28,12 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return estimated_bytes(df) <= limit
 
 
+def salts_for(small: DataFrame) -> int:
+    """The fewer salts the larger a stored side is, so that its copies do not grow with it;
+    with a single one adaptive execution splits a hot partition of the fact."""
+    return max(1, min(SALTS, COPIED_BYTES // max(1, estimated_bytes(small))))
+
+
 def planner_limit(df: DataFrame) -> int:
     """Up to which estimate Spark's planner broadcasts a side by itself."""
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from telemark.functions import rules as R
 from telemark.functions.columns import as_number, as_whole
-from telemark.operators.joins import attach
+from telemark.operators.joins import attach, salts_for
 
 INVALID, PENDING, ENRICHED = "INVALID", "PENDING", "ENRICHED"
 
@@ -33,7 +33,7 @@ def _with_route(df: DataFrame) -> DataFrame:
 
 def _enrich_known(df: DataFrame, inventory: DataFrame) -> DataFrame:
     known = inventory.select("device_id", "site_id", "vendor", "role", F.lit(True).alias("_known"))
-    return attach(df, known, "device_id")
+    return attach(df, known, "device_id", salts=salts_for(known))
 
 
 def route_stats(

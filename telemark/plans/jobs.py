@@ -151,22 +151,22 @@ class Jobs:
             parts = ["batch_id", *self.partitions.get(table, ())]
             day = F.date_format(came, "yyyyMMdd").cast("bigint")
             fresh = align(df, struct(table)).withColumn("batch_id", F.lit(BACKFILL_BATCH) - day)
-            old = self.batches(table).filter(F.col("batch_id").between(backfill_batch(last), backfill_batch(first)))
+            span = F.col("batch_id").between(backfill_batch(last), backfill_batch(first))
+            old = self.batches(table).filter(span)
             if sites and table == BACKFILLED[0]:
                 asked = F.coalesce(F.col("site_id").isin(sites), F.lit(False))
                 fresh = fresh.filter(asked)
                 if "site_id" in parts:      # other sites have directories of their own
                     old = old.filter(asked)
-                else:
-                    fresh = fresh.unionByName(old.filter(~asked).select(*fresh.columns))
-            fresh = keep(fresh, table)      # before anything of it is overwritten
-            folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
-            before = old.select(*parts, folder.alias("folder")).distinct()
-            same = [F.col(f"b.{c}").eqNullSafe(F.col(f"f.{c}")) for c in parts]
-            # Directories, not rows: those that hold nothing any more.
-            empty = before.alias("b").join(fresh.select(*parts).distinct().alias("f"), same, "left_anti").select("folder").collect()
+                else:                       # kept before the days are overwritten
+                    others = old.filter(~asked).select(*fresh.columns)
+                    fresh = fresh.unionByName(keep(others, f"{table}-others"))
+            file = F.col("_metadata.file_path").alias("file")
+            before = keep(old.select(file).distinct(), f"{table}-before")
             overwrite_touched(fresh, f"{self.root}/{table}", parts)
-            for r in empty:
+            # Directories, not rows: a file that is still there is of one that got no rows.
+            left = self.batches(table).filter(span).select(file).distinct().join(before, "file", "left_semi")
+            for r in left.select(F.regexp_replace("file", "/[^/]*$", "")).distinct().collect():
                 fresh.drop(*parts).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(unquote(r[0]))
 
     def note_replays(self, upto: int | None) -> None:
@@ -196,7 +196,7 @@ class Jobs:
         def store(df: DataFrame, part: str = "all") -> DataFrame:
             path = f"{self.root}/_{label}/run={self.run}/part={part}"
             df.write.mode("overwrite").parquet(path)
-            return self.spark.read.parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path)
         return store
 
     def detect_and_validate(self, model: str) -> None:

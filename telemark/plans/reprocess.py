@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from telemark.functions import rules as R
 from telemark.operators import parse as P
 from telemark.operators.joins import attach, enrich
-from telemark.operators.route import ENRICHED, INVALID, PENDING, only, route_stats, validate_stats
+from telemark.operators.route import ENRICHED, PENDING, only, route_stats, validate_stats
 from telemark.operators.score import score_ingest
 from telemark.schema import SEASON_KEYS
 from telemark.sinks.tables import delete_matched
@@ -209,12 +209,15 @@ def silver_routes(
     keys: tuple[str, ...] = SEASON_KEYS, extra: list[R.Rule] | None = None, at: Column | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All three routes of a bronze batch: scored silver, quarantine and parking.
-    Every row goes to exactly one of them."""
-    routed = route_stats(P.derive_stats(bronze), inventory, extra)
+    Every row goes to exactly one of them. A row is invalid by its own reading, so
+    quarantine is found without the inventory."""
+    derived = P.derive_stats(bronze)
+    routed = route_stats(derived, inventory, extra)
+    invalid = validate_stats(derived, extra).filter(F.col("validation_reason").isNotNull())
     at = F.col("_ingested_at") if at is None else at
     return (
         P.to_silver_stats(score_ingest(only(routed, ENRICHED), params, keys)),
-        P.to_silver_dlq(only(routed, INVALID), "_raw_payload", topic="_source_topic", at=at),
+        P.to_silver_dlq(invalid, "_raw_payload", topic="_source_topic", at=at),
         P.to_silver_pending(only(routed, PENDING), "_raw_payload", "_source_topic", at=at),
     )
 

@@ -169,3 +169,46 @@ def test_a_cluster_must_name_a_shared_folder(spark):
     conf = {"spark.master": "spark://somewhere:7077"}
     with pytest.raises(RuntimeError):
         shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d))))
+
+
+def test_a_backfill_writes_its_rows_once_and_asks_for_devices_only_where_needed(spark):
+    t = X.Tables(spark, SF)
+    jobs = Jobs(spark, scratch(spark, "backfill-once"), AS_OF, partitions={})
+    start = Jobs(spark, jobs.root, datetime(2024, 1, 1, tzinfo=timezone.utc), partitions={})
+    start.write(t.stats.withColumn("_partition_date", F.to_date("_ingested_at")), "bronze_interface_stats")
+    start.write(t.inventory.withColumn("_ingested_at", F.lit("2024-01-01").cast("timestamp")), "bronze_inventory")
+    stored, keep = {}, jobs.keep
+
+    def spy(label):
+        def store(df, part="all"):
+            out = keep(label)(df, part)
+            stored[part] = stored.get(part, 0) + out.count()
+            return out
+        return store
+
+    jobs.keep = spy
+    whole = (datetime(2000, 1, 1), datetime(2100, 1, 1))
+    jobs.backfill(*whole)
+    devices = t.inventory.count()
+    assert stored.pop("inventory") == devices and sum(stored.values()) == 0
+    jobs.backfill(*whole)
+    tables = ("silver_interface_stats", "silver_dlq_quarantine", "silver_pending_enrichment")
+    assert sum(stored.values()) - devices == sum(len(jobs.read(n).inputFiles()) - 1 for n in tables)
+    assert sum(jobs.read(n).count() for n in tables) == t.stats.count()
+    quarantine = RP.silver_routes(jobs.read("bronze_interface_stats"), t.inventory, t.params, X.DENSE_KEYS)[1]
+    assert "Join" not in quarantine._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_large_inventory_is_copied_fewer_times(spark, monkeypatch):
+    from telemark.operators import joins as J
+    from telemark.operators import route as RT
+
+    t = X.Tables(spark, SF)
+    count = lambda df: sorted(map(tuple, RT.route_counts(df).collect()))
+    routed = count(RT.route_stats(t.derived, t.inventory))
+    for size, salts in ((J.BROADCAST_BYTES + 1, 15), (64 * 2**20, 2), (2**40, 1)):
+        monkeypatch.setattr(J, "estimated_bytes", lambda df, size=size: size)
+        again = RT.route_stats(t.derived, t.inventory)
+        plan = again._jdf.queryExecution().analyzed().toString()
+        assert ("_salt" in plan) == (salts > 1) and J.salts_for(t.inventory) == salts
+        assert count(again) == routed
