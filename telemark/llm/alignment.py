@@ -11,7 +11,9 @@ are tallied by Table.group_by: per (document, a, b), and from that per (a, b) th
 that hold the pair. Only these partial counts go to Spark, which sums them over all shards.
 The totals return to a shard for its own distinct pairs, once per shard and not per
 document, and each document then reads its pairs' totals there. No key gathers rows: the
-shuffles hold one row per pair and shard, and partial sums are taken before them.
+shuffles hold one row per pair and shard, and partial sums are taken before them. Totals and
+shards meet as a cogroup, one shard at a time, and the shards' table has small row groups, so
+memory does not grow with the shards of a task or file.
 
 Encoding. Texts are cut into units at single blanks between two characters that are neither
 blank nor the word mark, where neither tokenizer has a token reaching over (for B checked
@@ -52,6 +54,7 @@ SHARD_BYTES = 1 << 20    # text bytes tallied together
 ENCODE_BYTES = 1 << 16   # text in one call of an encoder
 CACHE_BYTES = 1 << 22    # unit text whose encodings are kept
 SLICE_LINKS = 1 << 22    # links expanded at once
+GROUP_SHARDS = 8         # shards in a row group of their table, which a task decodes at once
 _SAFE = re.compile(rf"(?<=[^\s{MARK}]) (?=[^\s{MARK}])")
 _HEX = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
@@ -349,36 +352,26 @@ def pair_counts(shards: DataFrame) -> DataFrame:
 
 
 def measure(shards: DataFrame, counts: DataFrame) -> DataFrame:
-    """One row per document of the shards: its figures with n_best and count_sum."""
+    """One row per document of the shards: its figures with n_best and count_sum. A Python
+    worker is given one shard and the counts of its pairs at a time."""
     asked = shards.select("shard", F.posexplode(F.arrays_zip("a", "b"))).select("shard", "pos", "col.a", "col.b")
-    told = attach(asked, counts, ["a", "b"], "inner", salts=1).groupBy("shard").agg(
-        F.collect_list(F.struct("pos", "held", "best")).alias("told"))
-    both = shards.select("shard", "stats", "bounds", "pair", "times").join(told, "shard", "left")
-    stats = shards.schema["stats"].dataType.elementType
+    told = attach(asked, counts, ["a", "b"], "inner", salts=1).select(F.col("shard").alias("of"), "pos", "held", "best")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                row = batch.slice(r, 1)
-                of = {c: row.column(row.schema.get_field_index(c)) for c in row.schema.names}
-                body = of["stats"].flatten()
-                if not len(body):
-                    continue
-                bounds, pair, times = (of[c].flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("bounds", "pair", "times"))
-                held = np.zeros(int(pair.max(initial=-1)) + 1, dtype=np.int64)
-                best = np.zeros(len(held), dtype=np.int64)
-                answers = of["told"].flatten()
-                if len(answers):
-                    pos, n, top = (x.to_numpy(zero_copy_only=False) for x in answers.flatten())
-                    held[pos], best[pos] = n, top
-                sums = [np.diff(np.concatenate([[0], np.cumsum(times * x[pair])])[bounds]) for x in (best, held)]
-                fields = dict(zip((f.name for f in body.type), body.flatten()))
-                yield pa.RecordBatch.from_arrays(
-                    [fields["id"], *(fields[c] for c in ("n_a", "n_b", "n_groups", "n_links")), *map(pa.array, sums), fields["groups_sha256"]],
-                    ["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
-
-    kind = stats["id"].dataType.simpleString()
-    return both.mapInArrow(run, f"id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+    def run(shard: pa.Table, told: pa.Table) -> pa.Table:
+        body = shard["stats"].combine_chunks().flatten()
+        bounds, pair, times = (shard[c].combine_chunks().flatten().to_numpy().astype(np.int64) for c in ("bounds", "pair", "times"))
+        held, best = (np.zeros(len(told), dtype=np.int64) for _ in range(2))
+        pos = told["pos"].to_numpy()
+        held[pos], best[pos] = told["held"].to_numpy(), told["best"].to_numpy()
+        sums = [np.diff(np.concatenate([[0], np.cumsum(times * x[pair])])[bounds]) for x in (best, held)]
+        fields = dict(zip((f.name for f in body.type), body.flatten()))
+        return pa.table(
+            [fields["id"], *(fields[c] for c in ("n_a", "n_b", "n_groups", "n_links")), *map(pa.array, sums), fields["groups_sha256"]],
+            ["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+
+    kind = shards.schema["stats"].dataType.elementType["id"].dataType.simpleString()
+    return shards.select("shard", "stats", "bounds", "pair", "times").groupBy("shard").cogroup(told.groupBy("of")).applyInArrow(
+        run, f"id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
 def _sha256(text: str) -> str:
@@ -390,6 +383,6 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
     """One row per row of `docs`: id, n_a, n_b, n_groups, n_links, n_best, count_sum and the
     groups in writing (`groups`), or with `hashed` their SHA-256 (`groups_sha256`)."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    shards = stored(shard_table(slim, path_a, path_b, _sha256 if hashed else None), "aligned")
+    shards = stored(shard_table(slim, path_a, path_b, _sha256 if hashed else None), "aligned", GROUP_SHARDS)
     done = measure(shards, stored(pair_counts(shards), "pair-counts"))
     return done.withColumnsRenamed({"id": id_col} if hashed else {"id": id_col, "groups_sha256": "groups"})

@@ -12,12 +12,14 @@ from telemark.operators.joins import attach
 from telemark.session import scratch
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, group_rows: int | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts the lineage, survives
-    the loss of executors, and gives the planner its true size."""
+    the loss of executors, and gives the planner its true size. Spark decodes up to 4096 rows
+    of a row group at once: for rows with long arrays `group_rows` limits those of a group."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    writer = df.write.option("parquet.block.row.count.limit", group_rows) if group_rows else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

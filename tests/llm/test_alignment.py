@@ -3,12 +3,15 @@ import hashlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from itertools import accumulate
+from urllib.parse import urlparse
 
 import public_tokenizers
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from telemark.llm import alignment as A
 from telemark.llm import queries as Q
+from telemark.llm import tables as TB
 
 PATHS = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
 TEXTS = [
@@ -103,3 +106,24 @@ def test_query_on_whole_table(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     got = Q.queries()["op13_token_alignment"](spark, "/root/testdata/sf0.001")
     assert rows_of(got) == wanted([r[0] for r in rows], [r[1] for r in rows])
+
+
+def test_one_shard_at_a_time(spark, monkeypatch):
+    """Neither a read of the shards' table nor a Python worker takes the shards of a whole task."""
+    kept = {}
+
+    def keep(frame, label, *more):
+        kept[label] = TB.stored(frame, label, *more)
+        return kept[label]
+
+    monkeypatch.setattr(A, "SHARD_BYTES", 1)
+    monkeypatch.setattr(A, "stored", keep)
+    texts = [f"plain words {i}, then more words." for i in range(40)] + TEXTS
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = A.align_documents(docs, *PATHS, hashed=True)
+    assert rows_of(got) == wanted(range(len(texts)), texts)
+    assert kept["aligned"].count() > 40
+    files = [pq.ParquetFile(urlparse(f).path).metadata for f in kept["aligned"].inputFiles()]
+    assert max(m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)) <= 8
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan and "collect_list" not in plan
