@@ -11,13 +11,18 @@ is freed, and as soon as all survivors share an ancestor, the edits up to it are
 leave the tree. Equally cheap ways into a state are compared over their whole unresolved
 suffixes, back to where they part. Memory is that of the unresolved part.
 
-Distribution. Rows are range-partitioned by (conversation, turn, role, text), so a long
-conversation spreads over many tasks, and cut into chunks of bounded rows and bytes. A chunk
+What survives a row depends only on what was alive, by how much each was dearer than the
+cheapest, and the order of their edits; these few cases are worked out once per process.
+
+Distribution. An aggregate finds the conversations of more than one chunk, which has bounded
+rows and bytes. All others are shuffled once, by conversation, and each is decoded once, in
+one piece. Rows of the longer ones are range-partitioned by (conversation, turn, role, text),
+so a long conversation spreads over many tasks, and cut into chunks. A chunk
 is decoded from each state it may be entered in; what leaves it is a table of costs and the
 order of its equally cheap ends. Chunk tables of one conversation are put together in groups
 of FAN, and those again, as a tree, until one is left; down the tree every chunk then learns
 where the best way enters and leaves it, and is decoded once more to give its edits.
-Conversations of one chunk skip the tree. A row is a duplicate if an aggregate over
+There a row is a duplicate if an aggregate over
 (conversation, role, text) knows an earlier turn, or if the row before it is equal.
 
 Rows are ordered by turn, nulls first, then role and text; null roles and texts are read as
@@ -26,11 +31,13 @@ than those named do not matter. An empty table gives an empty result.
 """
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain, groupby
+from operator import itemgetter
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -77,6 +84,24 @@ _STEPS = {(i, k): _steps(i, k) for i in ("s", "u", "a", "") for k in range(4)}
 _CATCH_UP = {START: {S: 0, U: 2, A: 4}, S: {START: 4, U: 2, A: 4}, U: {START: 5, S: 2, A: 2}, A: {START: 3, S: 0, U: 2}}
 
 
+@functools.cache
+def _survivors(alive: tuple[tuple[int, int], ...], initial: str, kind: int) -> tuple[int, tuple[tuple[int, int], ...], tuple[tuple[int, str], ...]]:
+    """What survives a row. `alive` has (state, how much dearer than the cheapest) in the order
+    of their edits. Returns what the cheapest has paid for the row, the new `alive`, and for
+    each of it (place in the old one that it comes from, edits of the row)."""
+    place = {state: (at, cost) for at, (state, cost) in enumerate(alive)}
+    chosen: dict[int, tuple[int, int, str]] = {}
+    for state, to, price, edits in _STEPS[initial, kind]:
+        if state in place:
+            at, cost = place[state]
+            chosen[to] = min(chosen.get(to, (FAR, 0, "")), (cost + price, at, edits))
+    # A state that another beats whatever follows does not survive.
+    lost = {q for q in chosen for p in chosen if p != q and chosen[p][0] + _CATCH_UP[p][q] < chosen[q][0]}
+    order = sorted(chosen.keys() - lost, key=lambda to: chosen[to][1:])
+    low = min(chosen[to][0] for to in order)
+    return low, tuple((to, chosen[to][0] - low) for to in order), tuple(chosen[to][1:] for to in order)
+
+
 class _Node:
     __slots__ = ("edits", "parent", "level", "refs")
 
@@ -93,38 +118,27 @@ class Survivors:
     def __init__(self, entry: int, final=None):
         root = _Node("", None, -1)
         root.refs = 1
-        self.alive: dict[int, tuple[int, _Node]] = {entry: (0, root)}
+        self.paid = 0                           # by the cheapest survivor
+        self.alive: tuple[tuple[int, int], ...] = ((entry, 0),)     # (state, dearer by), in the order of their edits
+        self.nodes = [root]                     # of each of `alive`
         self.levels: deque[list] = deque()      # per unresolved row: [live nodes, ...]
         self.first, self.rows = 0, 0
         self.final = final or (lambda edits: None)
 
-    @staticmethod
-    def before(one: _Node, x: str, two: _Node, y: str) -> bool:
-        """Whether the way over `one` and x comes before that over `two` and y."""
-        while one is not two:
-            x, y = one.edits, two.edits
-            one, two = one.parent, two.parent
-        return x < y
-
     def push(self, initial: str, kind: int) -> None:
-        chosen: dict[int, tuple[int, _Node, str]] = {}
-        for state, to, price, edits in _STEPS[initial if initial in ("s", "u", "a") else "", kind]:
-            here = self.alive.get(state)
-            if here is None:
-                continue
-            cost, node = here[0] + price, here[1]
-            best = chosen.get(to)
-            if best is None or cost < best[0] or (cost == best[0] and self.before(node, edits, best[1], best[2])):
-                chosen[to] = (cost, node, edits)
-        # A state that another beats whatever follows does not survive.
-        lost = [q for q in chosen for p in chosen if p != q and chosen[p][0] + _CATCH_UP[p][q] < chosen[q][0]]
-        alive = {to: (cost, _Node(edits, node, self.rows)) for to, (cost, node, edits) in chosen.items() if to not in lost}
-        self.levels.append([n for _, n in alive.values()])
-        for _, node in alive.values():
+        paid, self.alive, ways = _survivors(self.alive, initial if initial in ("s", "u", "a") else "", kind)
+        self.paid += paid
+        if len(ways) == 1 and not self.levels:  # nothing open before or after the row
+            self.final(ways[0][1])
+            self.first += 1
+            self.rows += 1
+            return
+        old, self.nodes = self.nodes, [_Node(edits, self.nodes[at], self.rows) for at, edits in ways]
+        self.levels.append(list(self.nodes))
+        for node in self.nodes:
             node.refs += 1
-        old, self.alive = self.alive, alive
         self.rows += 1
-        for _, node in old.values():
+        for node in old:
             self._release(node)
         self._emit()
 
@@ -148,22 +162,17 @@ class Survivors:
 
     def finish(self, state: int) -> None:
         """Keep the survivor of one state only; gives out what is left."""
-        for other, (_, node) in list(self.alive.items()):
+        for (other, _), node in zip(self.alive, self.nodes):
             if other != state:
-                del self.alive[other]
                 self._release(node)
+        kept = [at for at, (other, _) in enumerate(self.alive) if other == state]
+        self.alive, self.nodes = tuple(self.alive[at] for at in kept), [self.nodes[at] for at in kept]
         self._emit()
 
     def table(self) -> tuple[list[int], list[int]]:
         """(cost per state, states from the first in the order of their edits)."""
-        cost = [self.alive[s][0] if s in self.alive else FAR for s in range(4)]
-        order: list[int] = []
-        for s in sorted(self.alive):
-            at = 0
-            while at < len(order) and self.before(self.alive[order[at]][1], "", self.alive[s][1], ""):
-                at += 1
-            order.insert(at, s)
-        return cost, order + [s for s in range(4) if s not in self.alive]
+        dearer = dict(self.alive)
+        return [self.paid + dearer[s] if s in dearer else FAR for s in range(4)], [*dearer, *(s for s in range(4) if s not in dearer)]
 
 
 Table = tuple[list[list[int]], list[list[int]]]   # per entry: cost per exit, exits in the order of their edits
@@ -220,12 +229,17 @@ def states_between(tables: list[Table], entry: int, leave: int) -> list[int]:
 _TAIL = {START: "", S: "II", U: "I", A: ""}
 
 
-def last_state(table: Table) -> tuple[int, int]:
+def ending(costs: list[int], order: list[int]) -> tuple[int, int]:
     """(cost, state) at the end of a conversation, insertions at the end included."""
-    cost, _, state = min((table[0][START][s] + 2 * len(_TAIL[s]), table[1][START].index(s), s) for s in range(4))
+    cost, _, state = min((costs[s] + 2 * len(_TAIL[s]), order.index(s), s) for s in range(4))
     return cost, state
 
 
+def last_state(table: Table) -> tuple[int, int]:
+    """The end of a conversation whose chunks have this table together."""
+    return ending(table[0][START], table[1][START])
+
+
 class Repair:
     """Writes a chunk's edits and the repaired turns."""
 
@@ -245,7 +259,8 @@ class Repair:
             self.turn(ROLE[self.state], "")
 
     def __call__(self, edits: str) -> None:
-        self.insert(edits[:-1])
+        if len(edits) > 1:
+            self.insert(edits[:-1])
         role, text, last = self.roles[self.at], self.texts[self.at], edits[-1]
         if last == "R":
             self.state = _NEXT[self.state]
@@ -270,6 +285,38 @@ def repaired_chunk(entry: int, leave: int, roles: list[str], texts: list[str], k
     return found
 
 
+def repaired_whole(roles: list[str], texts: list[str], kinds: list[int]) -> tuple[int, Repair]:
+    """Cost and repair of a conversation in one piece."""
+    found = Repair(START, roles, texts)
+    run = Survivors(START, found)
+    for role, kind in zip(roles, kinds):
+        run.push(role[:1], kind)
+    cost, leave = ending(*run.table())
+    run.finish(leave)
+    found.insert(_TAIL[leave])
+    found.edits.append(_TAIL[leave])
+    return cost, found
+
+
+def kinds_of(roles: list[str], texts: list[str]) -> list[int]:
+    """The first fault of each row of a whole conversation: 1 blank, 2 duplicate, 3 truncated, else 0."""
+    seen: set[tuple[str, str]] = set()
+    kinds = []
+    for said in zip(roles, texts):
+        body = said[1].rstrip(BLANKS)
+        kinds.append(1 if not body else 2 if said in seen else 3 if body[-1] not in ".!?" else 0)
+        seen.add(said)
+    return kinds
+
+
+def counts(turns: list, roles: list[str], kinds: list[int]) -> tuple:
+    """The values of _COUNTS for rows in order."""
+    initials, numbered = [r[:1] for r in roles], [t for t in turns if t is not None]
+    illegal = sum(x + y not in ("su", "ua", "au") for x, y in zip(initials, initials[1:]))
+    first, last = (numbered[0], numbered[-1]) if numbered else (None, None)
+    return kinds.count(1), kinds.count(2), kinds.count(3), illegal, initials[0], initials[-1], first, last, len(set(numbered))
+
+
 # -- Spark ---------------------------------------------------------------------------------
 
 def damage(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -307,64 +354,104 @@ def _flagged(rows: DataFrame) -> DataFrame:
         "conv", "turn", "role", "text", "blank", F.coalesce(later, F.lit(False)).alias("later"), "cut")
 
 
-_CHUNK = ("conv {kind}, part long, roles array<string>, texts array<string>, kinds array<int>, costs array<long>, orders array<int>, "
-          "blank long, duplicate long, truncated long, illegal long, first_initial string, last_initial string")
-_COUNTS = ("blank", "duplicate", "truncated", "illegal", "first_initial", "last_initial")
+_COUNTED = ("blank long, duplicate long, truncated long, illegal long, first_initial string, last_initial string, "
+            "first_turn {turn}, last_turn {turn}, turns long")
+_COUNTS = tuple(c.split(" ")[0] for c in _COUNTED.split(", "))
+_CHUNK = "conv {kind}, part long, roles array<string>, texts array<string>, kinds array<int>, costs array<long>, orders array<int>, " + _COUNTED
+_REPAIRED = "conv {kind}, part long, only boolean, edits string, roles array<string>, texts array<string>, cost long, " + _COUNTED
+
+
+def _kinds(rows: DataFrame) -> dict[str, str]:
+    return {"kind": rows.schema["conv"].dataType.simpleString(), "turn": rows.schema["turn"].dataType.simpleString()}
+
+
+def _arrow(ddl: str) -> pa.Schema:
+    return to_arrow_schema(_parse_datatype_string(ddl))
 
 
-def chunks(rows: DataFrame, most: int = CHUNK_ROWS) -> DataFrame:
-    """Rows (conv, turn, role, text) in order, as chunks of at most so many rows: `part` orders
-    those of a conversation."""
-    kind = rows.schema["conv"].dataType.simpleString()
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def whole(rows: DataFrame) -> DataFrame:
+    """The repaired conversations of rows (conv, turn, role, text), each one chunk."""
+    ddl = _REPAIRED.format(**_kinds(rows))
+    schema = _arrow(ddl)
+    placed = rows.select("conv", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text")).repartition(
+        "conv").sortWithinPartitions("conv", "turn", "role", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        said = chain.from_iterable(zip(*(c.to_pylist() for c in b.columns)) for b in batches)
+        out, held, size = [], 0, 0
+        for conv, mine in groupby(said, itemgetter(0)):
+            _, turns, roles, texts = map(list, zip(*mine))
+            kinds = kinds_of(roles, texts)
+            cost, done = repaired_whole(roles, texts, kinds)
+            out.append((conv, 0, True, "".join(done.edits), done.out_roles, done.out_texts, cost, *counts(turns, roles, kinds)))
+            held, size = held + len(roles), size + sum(map(len, texts))
+            if held >= CHUNK_ROWS or size >= CHUNK_BYTES:
+                yield _batch(out, schema)
+                out, held, size = [], 0, 0
+        if out:
+            yield _batch(out, schema)
+
+    return placed.mapInArrow(run, ddl)
+
+
+def chunks(rows: DataFrame, most: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """Of rows (conv, turn, role, text) the conversations of one chunk, repaired, and the others,
+    if there are any, as chunks of at most so many rows: `part` orders those of a conversation."""
+    size = rows.groupBy("conv").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    longer = stored(size.filter((F.col("n") > most) | (F.col("bytes") > CHUNK_BYTES)).select(_key().alias("c")), "longer")
+    if longer.isEmpty():
+        return whole(rows), None
+    keyed = rows.withColumn("c", _key())
+    return (whole(attach(keyed, longer, "c", "left_anti", salts=1).drop("c")),
+            cut_up(attach(keyed, longer, "c", "left_semi", salts=1).drop("c"), most))
+
+
+def cut_up(rows: DataFrame, most: int) -> DataFrame:
+    """Chunks of long conversations."""
+    ddl = _CHUNK.format(**_kinds(rows))
+    schema = _arrow(ddl)
     placed = _flagged(rows).repartitionByRange("conv", "turn", "role", "text").sortWithinPartitions("conv", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: tuple | None = None
         number = TaskContext.get().partitionId() << 40
-        roles, texts, kinds, conv, size, out = [], [], [], None, 0, []
+        turns, roles, texts, kinds, conv, size, out = [], [], [], [], None, 0, []
 
         def close() -> None:
             nonlocal number
             if not roles:
                 return
-            initials = [r[:1] for r in roles]
-            costs, orders = chunk_table(initials, kinds)
-            n = np.bincount(kinds, minlength=4).tolist()
-            illegal = sum(x + y not in ("su", "ua", "au") for x, y in zip(initials, initials[1:]))
+            costs, orders = chunk_table([r[:1] for r in roles], kinds)
             out.append((conv, number, roles[:], texts[:], kinds[:], [c for x in costs for c in x], [o for x in orders for o in x],
-                        n[1], n[2], n[3], illegal, initials[0], initials[-1]))
-            roles.clear(), texts.clear(), kinds.clear()
+                        *counts(turns, roles, kinds)))
+            turns.clear(), roles.clear(), texts.clear(), kinds.clear()
             number += 1
 
-        def batch() -> pa.RecordBatch:
-            done = pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
-            out.clear()
-            return done
-
-        schema = None
         for b in batches:
-            if schema is None:
-                text, long, short = pa.string(), pa.int64(), pa.int32()
-                types = [b.schema.field("conv").type, long, *[pa.list_(text)] * 2, pa.list_(short), pa.list_(long), pa.list_(short), *[long] * 4, text, text]
-                schema = pa.schema(list(zip([c.strip().split(" ")[0] for c in _CHUNK.split(", ")], types)))
-            for row in zip(*(b.column(i).to_pylist() for i in range(7))):
+            for row in zip(*(c.to_pylist() for c in b.columns)):
                 if roles and (row[0] != conv or len(roles) >= most or size >= CHUNK_BYTES):
                     close()
                     size = 0
                 conv = row[0]
                 again = row[5] or (before is not None and row[:4] == before)
                 before = row[:4]
+                turns.append(row[1])
                 roles.append(row[2])
                 texts.append(row[3])
                 kinds.append(1 if row[4] else 2 if again else 3 if row[6] else 0)
                 size += len(row[3])
                 if len(out) >= 256 or sum(len(x[2]) for x in out) > CHUNK_ROWS:
-                    yield batch()
+                    yield _batch(out, schema)
+                    out.clear()
         close()
         if out:
-            yield batch()
+            yield _batch(out, schema)
 
-    return placed.mapInArrow(run, _CHUNK.format(kind=kind))
+    return placed.mapInArrow(run, ddl)
 
 
 def _tables(costs: list[list[int]], orders: list[list[int]]) -> list[Table]:
@@ -427,18 +514,18 @@ def _ways_through(cut: DataFrame) -> DataFrame | None:
     return stored(_ways(many).join(ends, "part", "left"), "ways")
 
 
-def repair(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """The repaired conversations in chunks (conv, part, only, edits, roles, texts, cost, ...):
-    in the order of `part` a conversation's chunks give its edits and its turns. `only`: the
-    conversation has no other chunk. Cost and counts of faults are the chunk's share."""
+def _repaired(rows: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """repair() in two frames: conversations of one chunk, and those of several, if any."""
     slim = rows.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
-    cut = stored(chunks(slim), "chunks")
+    single, cut = chunks(slim)
+    if cut is None:
+        return single, None
+    cut = stored(cut, "chunks")
     ways = _ways_through(cut)
     if ways is None:
         full = cut.withColumns({c: F.lit(None).cast(t) for c, t in (("entry", "int"), ("leave", "int"), ("cost", "long"), ("ends", "boolean"))})
     else:
         full = attach(cut, ways, "part", "left", salts=1)
-    kind = slim.schema["conv"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -459,27 +546,37 @@ def repair(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
                  pa.array([x.out_texts for x in done], words), pa.array(cost, pa.int64()), *(got[c] for c in _COUNTS)],
                 ["conv", "part", "only", "edits", "roles", "texts", "cost", *_COUNTS])
 
-    return full.mapInArrow(run, f"conv {kind}, part long, only boolean, edits string, roles array<string>, texts array<string>, cost long, "
-                                "blank long, duplicate long, truncated long, illegal long, first_initial string, last_initial string")
+    return single, full.mapInArrow(run, _REPAIRED.format(**_kinds(slim)))
 
 
-def digest(repaired: DataFrame) -> DataFrame:
-    """One row per conversation: counts, cost, audit and the hash of the repaired turns. A
-    conversation of several chunks is read chunk by chunk in order, as its hash demands."""
-    kind = repaired.schema["conv"].dataType.simpleString()
-    schema = f"conv {kind}, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
-    names = [c.strip().split(" ")[0] for c in schema.split(", ")]
-    lines = repaired.select(
-        "conv", "part", "only", "edits", "cost", *_COUNTS,
-        F.concat_ws("\n", F.transform(F.arrays_zip("roles", "texts"), lambda x: F.concat(x["roles"], F.lit(":"), x["texts"]))).alias("body"))
-    lines = stored(lines, "repaired")
+def repair(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """The repaired conversations in chunks (conv, part, only, edits, roles, texts, cost, ...):
+    in the order of `part` a conversation's chunks give its edits and its turns. `only`: the
+    conversation has no other chunk. Cost and counts of faults are the chunk's share; `turns`
+    counts distinct turns between `first_turn` and `last_turn`."""
+    single, longer = _repaired(rows, conv_col, turn_col, role_col, text_col)
+    return single if longer is None else single.unionByName(longer)
+
+
+def digest(single: DataFrame, longer: DataFrame | None = None) -> DataFrame:
+    """One row per conversation of repair()'s frames: gaps, counts, cost, audit and the hash of
+    the repaired turns. One of several chunks (all in `longer`) is read chunk by chunk in order,
+    as its hash demands."""
+    names = ("conv", "first_turn", "last_turn", "turns", *_COUNTS[:4], "cost", "audit", "repaired_sha256")
+    body = F.concat_ws("\n", F.zip_with("roles", "texts", lambda role, text: F.concat(role, F.lit(":"), text)))
+    found = single.withColumns({"audit": F.col("edits"), "repaired_sha256": F.sha2(body.cast("binary"), 256)}).select(*names)
+    if longer is not None:
+        found = found.unionByName(_joined_digests(longer.withColumn("body", body), names))
+    return found.withColumn("gaps", (F.col("last_turn") - F.col("first_turn") + 1 - F.col("turns")).cast("long")).drop("first_turn", "last_turn", "turns")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_, sha, before, edits = None, None, None, []
 
-        def row(x: dict, illegal: int) -> dict:
-            return {"conv": x["conv"], **{c: x[c] for c in _COUNTS[:3]}, "illegal": illegal, "cost": x["cost"]}
+def _joined_digests(lines: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    kinds = {c: lines.schema[c].dataType.simpleString() for c in ("conv", "cost", *_COUNTS)}
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in names)
+    arrow = _arrow(schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, sha, before, edits = None, None, None, []
         for b in batches:
             out = []
             for x in b.to_pylist():
@@ -488,10 +585,15 @@ def digest(repaired: DataFrame) -> DataFrame:
                     for c in ("blank", "duplicate", "truncated", "cost"):
                         open_[c] += x[c]
                     open_["illegal"] += x["illegal"] + (before + x["first_initial"] not in ("su", "ua", "au"))
+                    if x["turns"]:
+                        open_["turns"] += x["turns"] - (x["first_turn"] == open_["last_turn"])
+                        open_["last_turn"] = x["last_turn"]
+                        if open_["first_turn"] is None:
+                            open_["first_turn"] = x["first_turn"]
                 else:
                     if open_ is not None:
                         out.append(open_ | {"audit": "".join(edits), "repaired_sha256": sha.hexdigest()})
-                    open_, sha, edits, said = row(x, x["illegal"]), hashlib.sha256(), [], False
+                    open_, sha, edits, said = {c: x.get(c) for c in names}, hashlib.sha256(), [], False
                 edits.append(x["edits"])
                 if body:
                     sha.update((b"\n" if said else b"") + body)
@@ -502,23 +604,17 @@ def digest(repaired: DataFrame) -> DataFrame:
         if open_ is not None:
             yield pa.RecordBatch.from_pylist([open_ | {"audit": "".join(edits), "repaired_sha256": sha.hexdigest()}], arrow)
 
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
-    single = lines.filter("only").select(
-        "conv", *_COUNTS[:4], "cost", F.col("edits").alias("audit"), F.sha2(F.col("body").cast("binary"), 256).alias("repaired_sha256"))
-    longer = lines.filter("NOT only").repartition("conv").sortWithinPartitions("conv", "part").mapInArrow(run, schema)
-    return single.select(names).unionByName(longer)
+    slim = lines.select("conv", "part", "edits", "cost", *_COUNTS, "body")
+    return slim.repartition("conv").sortWithinPartitions("conv", "part").mapInArrow(run, schema)
 
 
 def report(rows: DataFrame, damaged: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
            text_col: str = "text") -> DataFrame:
     """One row per conversation of `rows`: gaps in the turns of `damaged`, its faults, and what
     repair() does to it. A conversation without damaged rows has zeros and nothing to hash."""
-    turns = damaged.groupBy(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn")).count()
-    gaps = turns.groupBy("conv").agg((F.max("turn") - F.min("turn") + 1 - F.count("turn")).cast("long").alias("gaps"))
-    found = digest(repair(damaged, conv_col, turn_col, role_col, text_col)).withColumnRenamed("conv", "of")
+    found = digest(*_repaired(damaged, conv_col, turn_col, role_col, text_col)).withColumnRenamed("conv", "of")
     every = rows.select(F.col(conv_col).alias("conv")).distinct()
-    both = every.join(gaps.withColumnRenamed("conv", "at"), F.col("conv").eqNullSafe(F.col("at")), "left").join(
-        found, F.col("conv").eqNullSafe(F.col("of")), "left")
+    both = every.join(found, F.col("conv").eqNullSafe(F.col("of")), "left")
     zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return both.select(F.col("conv").alias(conv_col), *zero, F.coalesce("audit", F.lit("")).alias("audit"),
                        F.coalesce("repaired_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("repaired_sha256"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from telemark.llm import conversations as C
 from telemark.llm import queries as Q
+from telemark.llm.tables import stored
 
 FULL = re.compile(r"(s?(ua)+)?\Z")
 R = random.Random(5)
@@ -185,3 +186,27 @@ def test_chunk_tables_join_as_the_whole():
 def test_query_on_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     assert got(Q.queries()["op12_conversation_repair"](spark, "/root/testdata/sf0.01")) == expected(rows)
+
+
+def test_short_conversations_are_shuffled_and_decoded_once(spark, rows, monkeypatch):
+    labels, decoded = [], []
+    monkeypatch.setattr(C, "stored", lambda df, label: labels.append(label) or stored(df, label))
+    said = frame(spark, rows)
+    done = C.report(said, C.damage(said))
+    assert got(done) == expected(rows)
+    assert labels == ["longer"]                  # which has no row: nothing else is written
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("RepartitionByExpression") == 1 and plan.count("Join") == 1
+    monkeypatch.setattr(C.Survivors, "push", lambda self, *row, push=C.Survivors.push: decoded.append(row) or push(self, *row))
+    C.repaired_whole(["user", "assistant"], ["x.", "y."], [0, 0])
+    assert len(decoded) == 2
+
+
+def test_few_long_rows_are_cut_too(spark, rows, monkeypatch):
+    labels = []
+    monkeypatch.setattr(C, "stored", lambda df, label: labels.append(label) or stored(df, label))
+    monkeypatch.setattr(C, "CHUNK_BYTES", 12)
+    some = [r for r in rows if r[0] in (100, 102, None, *range(20))]
+    said = frame(spark, some)
+    assert got(C.report(said, C.damage(said))) == expected(some)
+    assert {"longer", "chunks", "ways"} <= set(labels)
